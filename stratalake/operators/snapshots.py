@@ -1,0 +1,129 @@
+"""A keyed Parquet table that can be merged into, on storage without row updates.
+
+Rows are spread over hash buckets of the key. A merge reads and rewrites only the buckets
+its source touches, into a new version folder, and then adds one line to a small log that
+says which version holds each bucket. Readers follow the newest line, so a job that dies
+half way leaves the table as it was, and a replay with the same tag does nothing.
+One writer at a time.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stratalake.operators.dedup import content_order, latest_per_key
+from stratalake.operators.merge import merge_upsert, require_unique
+
+LOG_SCHEMA = "version BIGINT, tag STRING, columns STRING, layout ARRAY<STRUCT<bucket: INT, version: BIGINT>>"
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, root: str, keys: list[str], buckets: int = 32):
+        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+
+    # -- log ---------------------------------------------------------------
+
+    def _log(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(LOG_SCHEMA).json(f"{self.root}/_log")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _head(self, version: int | None = None) -> Row | None:
+        log = self._log()
+        if log is None:
+            return None
+        if version is not None:
+            log = log.where(F.col("version") == version)
+        return log.orderBy(F.desc("version")).first()
+
+    def _commit(self, version: int, tag: str | None, columns: T.StructType, layout: dict[int, int]) -> None:
+        line = [(version, tag, columns.json(), sorted(layout.items()))]
+        self.spark.createDataFrame(line, LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{self.root}/_log")
+
+    # -- reading -----------------------------------------------------------
+
+    def exists(self) -> bool:
+        return self._head() is not None
+
+    def version(self) -> int:
+        head = self._head()
+        return -1 if head is None else head["version"]
+
+    def has_tag(self, tag: str) -> bool:
+        log = self._log()
+        return log is not None and not log.where(F.col("tag") == tag).isEmpty()
+
+    def read(self, version: int | None = None) -> DataFrame:
+        """The newest content, or that of an earlier version."""
+        head = self._head(version)
+        if head is None:
+            raise ValueError(f"no table, or no version {version}, at {self.root}")
+        return self._load(head, {b for b, _ in head["layout"]})
+
+    def _load(self, head: Row, buckets: set[int]) -> DataFrame:
+        columns = T.StructType.fromJson(json.loads(head["columns"]))
+        paths = [f"{self.root}/v={v}/bucket={b}" for b, v in head["layout"] if b in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], columns)
+        return self.spark.read.schema(columns).parquet(*paths)
+
+    # -- writing -----------------------------------------------------------
+
+    def _bucket(self):
+        # hashed as text so that an INT key and a BIGINT key meet in the same bucket
+        return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def _write(self, df: DataFrame, version: int) -> dict[int, int]:
+        path = f"{self.root}/v={version}"
+        placed = df.withColumn("bucket", self._bucket()).hint("rebalance", F.col("bucket"))
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        # at most `buckets` rows, taken from the folder names
+        written = self.spark.read.schema("bucket INT").parquet(path).distinct().collect()
+        return {row["bucket"]: version for row in written}
+
+    def overwrite(self, df: DataFrame, tag: str | None = None) -> None:
+        """Replace the content; the schema may change."""
+        version = self.version() + 1
+        self._commit(version, tag, df.schema, self._write(df, version))
+
+    def merge(self, source: DataFrame, tag: str | None = None) -> None:
+        """Upsert by key. A source with two rows for one key is refused."""
+        if tag is not None and self.has_tag(tag):
+            return
+        require_unique(source, self.keys)
+        self._rewrite(source, tag, lambda old: merge_upsert(old, source, self.keys, check=False))
+
+    def apply_changes(self, changes: DataFrame, sequence_by: str, tag: str | None = None) -> None:
+        """Keep the highest `sequence_by` per key among stored and incoming rows."""
+        if tag is not None and self.has_tag(tag):
+            return
+
+        def newest(old: DataFrame) -> DataFrame:
+            rows = old.unionByName(changes, allowMissingColumns=True)
+            lead = F.col(sequence_by).desc_nulls_last()
+            return latest_per_key(rows, self.keys, content_order(rows, [lead], (*self.keys, sequence_by)))
+
+        self._rewrite(changes, tag, newest)
+
+    def _rewrite(self, source: DataFrame, tag: str | None, combine: Callable[[DataFrame], DataFrame]) -> None:
+        head = self._head()
+        if head is None:
+            nothing = self.spark.createDataFrame([], source.schema)
+            merged = combine(nothing)
+            self._commit(0, tag, merged.schema, self._write(merged, 0))
+            return
+        version = head["version"] + 1
+        touched = {r[0] for r in source.select(self._bucket()).distinct().collect()}  # <= buckets rows
+        merged = combine(self._load(head, touched))
+        layout = {b: v for b, v in head["layout"]}
+        layout.update(self._write(merged, version))
+        self._commit(version, tag, merged.schema, layout)
