@@ -82,7 +82,7 @@ def _split_features(df: DataFrame, hot: DataFrame, wanted: list[str], hot_rows:
 
     rows = big.count()
     bounds = sample_bounds(big, [DAY, ORDER], min(MAX_RANGES, 2 + 4 * rows // hot_rows), rows)
-    cut = big.withColumn("__r", range_of([DAY, ORDER], bounds))
+    cut = big.withColumn("__r", range_of(big, [DAY, ORDER], bounds))
     w = Window.partitionBy(KEY, "__r").orderBy(F.col(DAY), F.col(ORDER))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
 

@@ -67,9 +67,9 @@ def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TAR
     return file_count(spark, target)
 
 
-def z_value(cols: list[str], bounds: dict[str, list[tuple]], bits: int = Z_BITS) -> Column:
+def z_value(df: DataFrame, cols: list[str], bounds: dict[str, list[tuple]], bits: int = Z_BITS) -> Column:
     """Bit-interleaved rank of the columns; each column is ranked by its own bounds."""
-    ranks = [range_of([c], bounds[c]).cast("bigint") for c in cols]
+    ranks = [range_of(df, [c], bounds[c]).cast("bigint") for c in cols]
     z = F.lit(0).cast("bigint")
     for bit in range(bits):
         for i, rank in enumerate(ranks):
@@ -88,7 +88,7 @@ def cluster(df: DataFrame, cols: list[str], files: int, bits: int = Z_BITS) -> D
     rows = df.count()
     bounds = {c: sample_bounds(df, [c], ranges, rows) for c in cols}
     return (
-        df.withColumn("__z", z_value(cols, bounds, bits))
+        df.withColumn("__z", z_value(df, cols, bounds, bits))
         .repartitionByRange(files, "__z", *cols)
         .sortWithinPartitions("__z", *cols)
         .drop("__z")

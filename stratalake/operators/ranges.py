@@ -8,10 +8,13 @@ range again.
 
 from __future__ import annotations
 
+import json
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.session import shuffle_width
 
@@ -40,28 +43,33 @@ def sample_bounds(df: DataFrame, cols: list[str], ranges: int, rows: int | None
     return [tuple(picked[i]) for i in sorted(cuts) if i < len(picked)]
 
 
-def range_of(cols: list[str], bounds: list[tuple]) -> Column:
+def range_of(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
     """Number of bounds below the row's key: 0 .. len(bounds).
 
     Looked up in two steps (block, then position in the block), about 2*sqrt(n)
-    comparisons a row, inside the JVM.
+    comparisons a row, inside the JVM. The result never falls as the key grows, whatever
+    the bounds are.
     """
     if not bounds:
         return F.lit(0)
     key = F.struct(*[F.col(c) for c in cols])
+    key_type = T.StructType([T.StructField(c, df.schema[c].dataType) for c in cols])
 
-    def bound(values):
-        return F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, values)])
+    def constant(value, kind: T.DataType) -> Column:
+        # one folded literal, however many bounds there are
+        return F.from_json(F.lit(json.dumps(value, default=_as_json)), kind)
 
     width = max(1, math.isqrt(len(bounds)))
-    blocks = [bounds[i : i + width] for i in range(0, len(bounds), width)]
-    tops = F.array(*[bound(block[-1]) for block in blocks])
-    table = F.array(*[F.array(*[bound(b) for b in block]) for block in blocks])
+    blocks = [[dict(zip(cols, b)) for b in bounds[i : i + width]] for i in range(0, len(bounds), width)]
+    tops = constant([block[-1] for block in blocks], T.ArrayType(key_type))
+    table = constant(blocks, T.ArrayType(T.ArrayType(key_type)))
     block_no = F.size(F.filter(tops, lambda b: b < key))
     inside = F.coalesce(F.size(F.filter(F.get(table, block_no), lambda b: b < key)), F.lit(0))
-    return F.when(
-        block_no == len(blocks), F.lit(len(bounds))
-    ).otherwise(block_no * width + inside)
+    return F.when(block_no == len(blocks), F.lit(len(bounds))).otherwise(block_no * width + inside)
+
+
+def _as_json(value):
+    return float(value) if isinstance(value, Decimal) else value.isoformat()
 
 
 def add_row_number(df: DataFrame, order: list[str], out: str, ranges: int | None = None) -> DataFrame:
@@ -73,7 +81,7 @@ def add_row_number(df: DataFrame, order: list[str], out: str, ranges: int | None
     ranges = ranges or shuffle_width(df.sparkSession)
     bounds = sample_bounds(df, order, ranges)
     part, inner, start, n = "__range", "__inner", "__start", "__n"
-    cut = df.withColumn(part, range_of(order, bounds))
+    cut = df.withColumn(part, range_of(df, order, bounds))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         cut.groupBy(part)

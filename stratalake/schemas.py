@@ -7,17 +7,27 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-CUSTOMERS = T.StructType.fromDDL(
+
+def columns(text: str) -> T.StructType:
+    """A schema from "name type, name type" with simple types; needs no running session."""
+    out = T.StructType()
+    for part in text.split(","):
+        name, kind = part.split()
+        out.add(name, {"int": "integer", "bigint": "long"}.get(kind.lower(), kind.lower()))
+    return out
+
+
+CUSTOMERS = columns(
     "customer_id STRING, location STRING, tenure_months INT, account_creation_date DATE"
 )
-ORDERS = T.StructType.fromDDL(
+ORDERS = columns(
     "order_id STRING, customer_id STRING, order_date DATE, payment_method STRING, "
     "days_since_last_purchase INT, repeat_customer INT, total_amount DOUBLE"
 )
-ORDER_ITEMS = T.StructType.fromDDL(
+ORDER_ITEMS = columns(
     "order_item_id STRING, order_id STRING, product_id STRING, quantity INT, unit_price DOUBLE, line_total DOUBLE"
 )
-PRODUCTS = T.StructType.fromDDL(
+PRODUCTS = columns(
     "product_id STRING, product_name STRING, category STRING, unit_price DOUBLE, stock_level INT, "
     "product_launch_date DATE, supplier_id STRING"
 )
@@ -31,50 +41,52 @@ TABLE_SCHEMAS = {
 
 #: Typed landing columns of the bronze tables loaded from string-only CSV.
 BRONZE_CASTS = {
-    "customers": T.StructType.fromDDL(
+    "customers": columns(
         "customer_id STRING, email STRING, name STRING, city STRING, state STRING, country STRING, signup_date DATE"
     ),
-    "orders": T.StructType.fromDDL(
+    "orders": columns(
         "order_id STRING, customer_id STRING, order_date DATE, order_total DOUBLE, order_status STRING"
     ),
-    "order_items": T.StructType.fromDDL(
+    "order_items": columns(
         "order_item_id STRING, order_id STRING, product_id STRING, quantity INT, unit_price DOUBLE"
     ),
-    "products": T.StructType.fromDDL(
+    "products": columns(
         "product_id STRING, product_name STRING, category STRING, subcategory STRING, price DOUBLE"
     ),
 }
 
-BATCH_SALES = T.StructType.fromDDL(
+BATCH_SALES = columns(
     "sale_id INT, product_id INT, sale_date TIMESTAMP, quantity INT, unit_price DOUBLE"
 )
 
-RAW_SALES = T.StructType.fromDDL(
+RAW_SALES = columns(
     "event_id STRING, customer_id STRING, product_id STRING, quantity INT, unit_price DOUBLE, "
     "currency STRING, region STRING, event_timestamp TIMESTAMP, source_system STRING"
 )
 
-DEVICE_PAYLOAD = T.StructType.fromDDL(
+DEVICE_PAYLOAD = columns(
     "deviceId STRING, ts STRING, temperature DOUBLE, humidity DOUBLE, pressure DOUBLE, battery DOUBLE, "
     "lat DOUBLE, lon DOUBLE, status STRING"
 )
-DEVICE_ALERT_PAYLOAD = T.StructType.fromDDL("deviceId STRING, ts STRING, temperature DOUBLE, battery DOUBLE")
+DEVICE_ALERT_PAYLOAD = columns("deviceId STRING, ts STRING, temperature DOUBLE, battery DOUBLE")
 
 #: Envelope of one message-bus record; `body` holds a JSON array of payloads.
-BUS_ENVELOPE = T.StructType.fromDDL("body BINARY, enqueuedTime TIMESTAMP, partition STRING")
+BUS_ENVELOPE = columns("body BINARY, enqueuedTime TIMESTAMP, partition STRING")
 
-REST_USERS = T.StructType.fromDDL(
-    "id INT, name STRING, username STRING, email STRING, phone STRING, "
-    "address STRUCT<city: STRING, geo: STRUCT<lat: STRING, lng: STRING>>, company STRUCT<name: STRING>"
+GEO = T.StructType().add("lat", "string").add("lng", "string")
+REST_USERS = (
+    columns("id INT, name STRING, username STRING, email STRING, phone STRING")
+    .add("address", T.StructType().add("city", "string").add("geo", GEO))
+    .add("company", T.StructType().add("name", "string"))
 )
-REST_POSTS = T.StructType.fromDDL("id INT, userId INT, title STRING, body STRING")
+REST_POSTS = columns("id INT, userId INT, title STRING, body STRING")
 
 FEATURE_COLUMNS = (
     "customer_id STRING, order_id STRING, order_date DATE, order_amount DOUBLE, label_next_order_amount DOUBLE, "
     "last_order_amount DOUBLE, days_since_prev_order INT, purchase_count_to_date INT, hist_avg_purchase DOUBLE, "
     "total_spend_to_date DOUBLE"
 )
-FEATURES = T.StructType.fromDDL(FEATURE_COLUMNS)
+FEATURES = columns(FEATURE_COLUMNS)
 
 
 def schema_for(table: str) -> T.StructType:
