@@ -72,14 +72,16 @@ def _as_json(value):
     return float(value) if isinstance(value, Decimal) else value.isoformat()
 
 
-def add_row_number(df: DataFrame, order: list[str], out: str, ranges: int | None = None) -> DataFrame:
+def add_row_number(
+    df: DataFrame, order: list[str], out: str, ranges: int | None = None, bounds: list[tuple] | None = None
+) -> DataFrame:
     """Global `row_number() over (order by order)` as BIGINT, without a one-task window.
 
     Rows are numbered inside each range; the start of a range is the running count of the
     ranges before it, a table of at most MAX_RANGES rows.
     """
-    ranges = ranges or shuffle_width(df.sparkSession)
-    bounds = sample_bounds(df, order, ranges)
+    if bounds is None:
+        bounds = sample_bounds(df, order, ranges or shuffle_width(df.sparkSession))
     part, inner, start, n = "__range", "__inner", "__start", "__n"
     cut = df.withColumn(part, range_of(df, order, bounds))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
@@ -100,7 +102,8 @@ def add_row_number(df: DataFrame, order: list[str], out: str, ranges: int | None
 def add_dense_rank(df: DataFrame, order: list[str], out: str, ranges: int | None = None) -> DataFrame:
     """Global `dense_rank() over (order by order)`: the distinct keys are numbered and
     joined back, so copies of one key never gather in a window."""
-    keys = add_row_number(df.select(*order).distinct(), order, out, ranges)
+    bounds = sample_bounds(df, order, ranges or shuffle_width(df.sparkSession))
+    keys = add_row_number(df.select(*order).distinct(), order, out, bounds=bounds)
     renamed = keys.select(*[F.col(c).alias(f"__k_{c}") for c in order], out)
     match = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in order]
     joined = df.join(renamed, match, "inner")

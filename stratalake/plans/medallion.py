@@ -124,13 +124,17 @@ def fact_sales(
 ) -> DataFrame:
     """Order items with the keys of their dimensions. Dimensions join without hints: their
     size decides between broadcast and shuffle, and hot keys are split at run time."""
-    facts = (
-        items.select("order_id", "order_item_id", "product_id", "quantity", "unit_price")
-        .join(orders.select("order_id", "customer_id", "order_date"), "order_id")
+    sold = items.select("order_id", "order_item_id", "product_id", "quantity", "unit_price").join(
+        orders.select("order_id", "customer_id", "order_date"), "order_id"
+    )
+    # numbered before the left joins, which keep every row: only the keys are ranked
+    return (
+        add_dense_rank(sold, ["order_id", "order_item_id"], "sale_id")
         .join(customers.select("customer_id", "customer_sk"), "customer_id", "left")
         .join(products.select("product_id", "product_sk"), "product_id", "left")
         .join(dates.select(F.col("date_value").alias("order_date"), "date_sk"), "order_date", "left")
         .select(
+            "sale_id",
             "order_id",
             "order_item_id",
             "date_sk",
@@ -141,8 +145,6 @@ def fact_sales(
             (F.col("quantity") * F.col("unit_price")).alias("line_total"),
         )
     )
-    ranked = add_dense_rank(facts, ["order_id", "order_item_id"], "sale_id")
-    return ranked.select("sale_id", *facts.columns)
 
 
 # -- checked silver tables -------------------------------------------------
