@@ -122,6 +122,16 @@ def create_table(spark: SparkSession, table: str, columns: dict[str, tuple[str,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({body}) USING parquet COMMENT '{comment}'")
 
 
+def create_or_replace_as(spark: SparkSession, table: str, df: DataFrame) -> None:
+    """`CREATE OR REPLACE TABLE ... AS` for a session catalog: the rows are written to a
+    staging table first and renamed, so a failing query leaves the old table in place."""
+    staging = f"{table}__new"
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    df.write.saveAsTable(staging)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+
+
 def discard(df: DataFrame) -> None:
     """Run the whole plan and throw the rows away."""
     df.write.format("noop").mode("overwrite").save()

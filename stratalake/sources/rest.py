@@ -89,3 +89,12 @@ def posts_with_authors(posts: DataFrame, users: DataFrame) -> DataFrame:
     return p.join(u, F.col("p.user_id") == F.col("u.user_id")).select(
         "p.post_id", "p.title", F.col("u.name").alias("author_name"), "u.company_name", "u.city"
     )
+
+
+def create_authors_view(spark: SparkSession, view: str, posts: str, users: str) -> None:
+    """The same join as a stored view over two tables."""
+    spark.sql(
+        f"""CREATE OR REPLACE VIEW {view} AS
+            SELECT p.post_id, p.title, u.name AS author_name, u.company_name, u.city
+            FROM {posts} p JOIN {users} u ON p.user_id = u.user_id"""
+    )
