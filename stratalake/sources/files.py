@@ -117,7 +117,8 @@ def json_rescued(spark: SparkSession, path: str, schema: T.StructType, array_fil
 def _json_objects(reader, path: str, array_files: bool) -> DataFrame:
     if not array_files:
         return reader.schema("value STRING").text(path)
-    whole = reader.option("wholetext", "true").schema("value STRING").text(path)
+    # a file is one row here: suits landing files of device batches, not bulk exports
+    whole = reader.schema("value STRING").text(path, wholetext=True)
     items = F.from_json("value", T.ArrayType(T.MapType(T.StringType(), T.StringType())))
     return whole.select(F.explode(items).alias("m")).select(F.to_json("m").alias("value"))
 
