@@ -119,8 +119,10 @@ def _json_objects(reader, path: str, array_files: bool) -> DataFrame:
         return reader.schema("value STRING").text(path)
     # a file is one row here: suits landing files of device batches, not bulk exports
     whole = reader.schema("value STRING").text(path, wholetext=True)
-    items = F.from_json("value", T.ArrayType(T.MapType(T.StringType(), T.StringType())))
-    return whole.select(F.explode(items).alias("m")).select(F.to_json("m").alias("value"))
+    fields = T.MapType(T.StringType(), T.StringType())
+    items = F.coalesce(F.from_json("value", T.ArrayType(fields)), F.array(F.from_json("value", fields)))
+    # a file that is neither an array nor an object goes on as its own text
+    return whole.select(F.explode(items).alias("m"), "value").select(F.coalesce(F.to_json("m"), "value").alias("value"))
 
 
 def drifting(*frames: DataFrame) -> DataFrame:
