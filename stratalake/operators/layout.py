@@ -67,31 +67,32 @@ def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TAR
     return file_count(spark, target)
 
 
-def z_value(df: DataFrame, cols: list[str], bounds: dict[str, list[tuple]], bits: int = Z_BITS) -> Column:
-    """Bit-interleaved rank of the columns; each column is ranked by its own bounds."""
-    ranks = [range_of(df, [c], bounds[c]).cast("bigint") for c in cols]
+def z_value(ranks: list[str], bits: int = Z_BITS) -> Column:
+    """Bits of the ranks interleaved, first rank in the lowest place."""
     z = F.lit(0).cast("bigint")
     for bit in range(bits):
         for i, rank in enumerate(ranks):
-            one = F.shiftright(rank, bit).bitwiseAND(F.lit(1))
-            z = z.bitwiseOR(F.shiftleft(one, bit * len(cols) + i))
+            one = F.shiftright(F.col(rank), bit).bitwiseAND(F.lit(1)).cast("bigint")
+            z = z.bitwiseOR(F.shiftleft(one, bit * len(ranks) + i))
     return z
 
 
 def cluster(df: DataFrame, cols: list[str], files: int, bits: int = Z_BITS) -> DataFrame:
     """Rows arranged so that each file covers a small range of every clustering column.
 
-    The table is range-partitioned on the interleaved rank plus the columns themselves, so
-    a value that fills many files is cut by the other columns.
+    Each column is ranked by sampled bounds. The table is range-partitioned on the
+    interleaved ranks plus the columns themselves, so a value that fills many files is cut
+    by the other columns.
     """
     ranges = min(2**bits, max(2, 4 * files))
     rows = df.count()
-    bounds = {c: sample_bounds(df, [c], ranges, rows) for c in cols}
+    ranks = {f"__r{i}": range_of(df, [c], sample_bounds(df, [c], ranges, rows)) for i, c in enumerate(cols)}
     return (
-        df.withColumn("__z", z_value(df, cols, bounds, bits))
+        df.withColumns(ranks)
+        .withColumn("__z", z_value(list(ranks), bits))
         .repartitionByRange(files, "__z", *cols)
         .sortWithinPartitions("__z", *cols)
-        .drop("__z")
+        .drop("__z", *ranks)
     )
 
 

@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from stratalake.session import shuffle_width
 
 SAMPLE_PER_RANGE = 20
+RANGES_PER_TASK = 3
+ROWS_PER_RANGE = 50_000
 MAX_RANGES = 2048
 
 
@@ -34,13 +36,20 @@ def sample_bounds(df: DataFrame, cols: list[str], ranges: int, rows: int | None
     want = SAMPLE_PER_RANGE * ranges
     if ranges < 2 or total == 0:
         return []
-    sample = keys.dropna()
-    if total > want:
-        sample = sample.sample(fraction=min(1.0, 1.2 * want / total), seed=17)
+    sample = keys.sample(fraction=1.2 * want / total, seed=17) if total > 2 * want else keys
     picked = sample.distinct().orderBy(*cols).limit(4 * want).collect()
-    step = len(picked) / ranges
-    cuts = {int(step * i) for i in range(1, ranges)} if picked else set()
-    return [tuple(picked[i]) for i in sorted(cuts) if i < len(picked)]
+    cuts = sorted({len(picked) * i // ranges for i in range(1, ranges)})
+    return [tuple(picked[i]) for i in cuts if i < len(picked)]
+
+
+def _bounds(df: DataFrame, order: list[str], ranges: int | None) -> list[tuple]:
+    """Bounds for numbering: by default a few ranges per shuffle task, so that unequal
+    ranges even out, and none for a table that one task numbers at once."""
+    if ranges is not None:
+        return sample_bounds(df, order, ranges)
+    rows = df.select(*order).count()
+    enough = min(RANGES_PER_TASK * shuffle_width(df.sparkSession), -(-rows // ROWS_PER_RANGE))
+    return sample_bounds(df, order, enough, rows)
 
 
 def range_of(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
@@ -63,27 +72,39 @@ def range_of(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
     blocks = [[dict(zip(cols, b)) for b in bounds[i : i + width]] for i in range(0, len(bounds), width)]
     tops = constant([block[-1] for block in blocks], T.ArrayType(key_type))
     table = constant(blocks, T.ArrayType(T.ArrayType(key_type)))
-    block_no = F.size(F.filter(tops, lambda b: b < key))
-    inside = F.coalesce(F.size(F.filter(F.get(table, block_no), lambda b: b < key)), F.lit(0))
-    return F.when(block_no == len(blocks), F.lit(len(bounds))).otherwise(block_no * width + inside)
+
+    def below(candidates: Column, k: Column) -> Column:
+        return F.size(F.filter(candidates, lambda b: b < k))
+
+    def position(k: Column) -> Column:
+        # the block number is bound by a lambda so that it is found once per row
+        in_block = F.transform(
+            F.array(below(tops, k)), lambda no: no * width + F.coalesce(below(F.get(table, no), k), F.lit(0))
+        )
+        return F.least(F.get(in_block, 0), F.lit(len(bounds)))
+
+    # never NULL, so that a join on the range infers no filter that looks it up again
+    return F.coalesce(F.get(F.transform(F.array(key), position), 0), F.lit(0))
 
 
 def _as_json(value):
     return float(value) if isinstance(value, Decimal) else value.isoformat()
 
 
-def add_row_number(
-    df: DataFrame, order: list[str], out: str, ranges: int | None = None, bounds: list[tuple] | None = None
-) -> DataFrame:
+def add_row_number(df: DataFrame, order: list[str], out: str, ranges: int | None = None) -> DataFrame:
     """Global `row_number() over (order by order)` as BIGINT, without a one-task window.
 
     Rows are numbered inside each range; the start of a range is the running count of the
     ranges before it, a table of at most MAX_RANGES rows.
     """
-    if bounds is None:
-        bounds = sample_bounds(df, order, ranges or shuffle_width(df.sparkSession))
+    bounds = _bounds(df, order, ranges)
+    if not bounds:
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    return _number_ranges(df.withColumn("__range", range_of(df, order, bounds)), order, out)
+
+
+def _number_ranges(cut: DataFrame, order: list[str], out: str) -> DataFrame:
     part, inner, start, n = "__range", "__inner", "__start", "__n"
-    cut = df.withColumn(part, range_of(df, order, bounds))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         cut.groupBy(part)
@@ -99,11 +120,18 @@ def add_row_number(
     )
 
 
-def add_dense_rank(df: DataFrame, order: list[str], out: str, ranges: int | None = None) -> DataFrame:
+def add_dense_rank(
+    df: DataFrame, order: list[str], out: str, ranges: int | None = None, bounds_from: DataFrame | None = None
+) -> DataFrame:
     """Global `dense_rank() over (order by order)`: the distinct keys are numbered and
-    joined back, so copies of one key never gather in a window."""
-    bounds = sample_bounds(df, order, ranges or shuffle_width(df.sparkSession))
-    keys = add_row_number(df.select(*order).distinct(), order, out, bounds=bounds)
+    joined back, so copies of one key never gather in a window.
+
+    `bounds_from` is a cheaper table with the same order columns to sample the bounds from.
+    """
+    bounds = _bounds(df if bounds_from is None else bounds_from, order, ranges)
+    # ranged after the distinct: both uses below then read one shuffle of the keys
+    unique = df.select(*order).distinct()
+    keys = _number_ranges(unique.withColumn("__range", range_of(unique, order, bounds)), order, out)
     renamed = keys.select(*[F.col(c).alias(f"__k_{c}") for c in order], out)
     match = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in order]
     joined = df.join(renamed, match, "inner")

@@ -129,7 +129,7 @@ def fact_sales(
     )
     # numbered before the left joins, which keep every row: only the keys are ranked
     return (
-        add_dense_rank(sold, ["order_id", "order_item_id"], "sale_id")
+        add_dense_rank(sold, ["order_id", "order_item_id"], "sale_id", bounds_from=items)
         .join(customers.select("customer_id", "customer_sk"), "customer_id", "left")
         .join(products.select("product_id", "product_sk"), "product_id", "left")
         .join(dates.select(F.col("date_value").alias("order_date"), "date_sk"), "order_date", "left")

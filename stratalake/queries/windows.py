@@ -144,7 +144,7 @@ def dim_product(spark, sf):
 )
 def win_surrogate_rn(spark, sf):
     orders = e.load(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return add_row_number(orders, ["o_orderdate", "o_orderkey"], "order_sk")
+    return add_row_number(orders, ["o_orderdate", "o_orderkey"], "order_sk", ranges=24)
 
 
 @query(
@@ -154,7 +154,7 @@ def win_surrogate_rn(spark, sf):
 )
 def win_surrogate_dense(spark, sf):
     items = e.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return add_dense_rank(items, ["l_orderkey", "l_linenumber"], "sale_id")
+    return add_dense_rank(items, ["l_orderkey", "l_linenumber"], "sale_id", ranges=24)
 
 
 # -- order features --------------------------------------------------------
