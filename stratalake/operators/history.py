@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.operators.joins import hot_keys
+from stratalake.operators.joins import BROADCAST_ROWS, hot_keys
 from stratalake.operators.ranges import MAX_RANGES, range_of, sample_bounds
 
 KEY, DAY, ORDER, AMOUNT = "customer_id", "order_date", "order_id", "order_amount"
@@ -70,13 +70,14 @@ def order_features(df: DataFrame, features: list[str] | None = None, hot_rows: i
     plain = plain_features()
     wanted = list(plain) if features is None else features
     hot = hot_keys(df, [KEY], hot_rows)
-    if hot.isEmpty():
+    n_hot = hot.count()
+    if n_hot == 0:
         return df.select("*", *[plain[f].alias(f) for f in wanted])
-    return _split_features(df, hot.select(KEY), wanted, hot_rows)
+    keys = hot.select(KEY)
+    return _split_features(df, F.broadcast(keys) if n_hot <= BROADCAST_ROWS else keys, wanted, hot_rows)
 
 
 def _split_features(df: DataFrame, hot: DataFrame, wanted: list[str], hot_rows: int) -> DataFrame:
-    # at most rows/hot_rows keys, so the semi and anti joins broadcast on their own
     big = df.join(hot, KEY, "left_semi")
     small = df.join(hot, KEY, "left_anti").select("*", *[plain_features()[f].alias(f) for f in wanted])
 

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalake.session import shuffle_width
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 2_000_000
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measured, not guessed: reads at most `max_rows + 1` rows and adds up their size."""
+    """Measured, not guessed: first the row count, then, only for few rows, their size."""
+    if df.count() > max_rows:
+        return False
     row_bytes = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("b")).first()
-    return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
+    return (df.agg(F.sum(row_bytes)).first()[0] or 0) <= max_bytes
 
 
 def join_small(fact: DataFrame, dim: DataFrame, on, how: str = "inner", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -22,10 +25,14 @@ def join_small(fact: DataFrame, dim: DataFrame, on, how: str = "inner", max_byte
     return fact.join(F.broadcast(dim) if fits_broadcast(dim, max_bytes) else dim, on, how)
 
 
-def salt_of(df: DataFrame, salts: int) -> Column:
-    """A salt that does not depend on row order, so a retried task repeats it, and that
+def salt_hash(df: DataFrame) -> Column:
+    """A number that does not depend on row order, so a retried task repeats it, and that
     differs between identical rows read by different tasks."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    return F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
+
+
+def salt_of(df: DataFrame, salts: int) -> Column:
+    return F.pmod(salt_hash(df), F.lit(salts)).cast("int")
 
 
 def hot_keys(df: DataFrame, keys: list[str], more_than: int) -> DataFrame:
@@ -34,26 +41,35 @@ def hot_keys(df: DataFrame, keys: list[str], more_than: int) -> DataFrame:
 
 
 def join_salted_selective(
-    fact: DataFrame, dim: DataFrame, key: str, more_than: int = 1000, salts: int = 10
+    fact: DataFrame, dim: DataFrame, key: str, more_than: int | None = None, salts: int | None = None
 ) -> DataFrame:
     """Inner join where only the hot keys are salted.
 
-    The hot list carries its own marker column, so a fact row is hot exactly when the list
-    has its key. Hot dimension rows are replicated once per salt, the others keep salt 0.
+    A key is hot with more than `more_than` rows; by default with more than a quarter of an
+    average shuffle task's share, so there are at most four hot keys per task. Each hot key
+    gets as many salts as it has multiples of that limit (or the fixed number `salts`), so
+    no salt holds much more than the limit however hot the key is.
+
+    The hot list carries the number of salts, so a fact row is hot exactly when the list has
+    its key. Hot dimension rows are replicated once per salt, the others keep salt 0.
     """
-    hot = hot_keys(fact, [key], more_than).select(key, F.lit(True).alias("__hot"))
-    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
+    if more_than is None:
+        more_than = max(1000, fact.count() // (4 * shuffle_width(fact.sparkSession)))
+    wanted = F.ceil(F.col("cnt") / more_than).cast("int") if salts is None else F.lit(salts)
+    hot = hot_keys(fact, [key], more_than).select(key, wanted.alias("__salts"))
+    hot = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
     salted_fact = (
-        fact.withColumn("__salt_all", salt_of(fact, salts))
+        fact.withColumn("__hash", salt_hash(fact))
         .join(hot, key, "left")
-        .withColumn("__salt", F.when(F.col("__hot"), F.col("__salt_all")).otherwise(F.lit(0)))
-        .drop("__hot", "__salt_all")
+        .withColumn("__salt", F.when(F.col("__salts").isNull(), 0).otherwise(F.pmod("__hash", "__salts")).cast("int"))
+        .drop("__salts", "__hash")
     )
-    replicated = dim.join(hot.drop("__hot"), key, "left_semi").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    salted_dim = (
+        dim.join(hot, key, "left")
+        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)))
+        .drop("__salts")
     )
-    plain = dim.join(hot.drop("__hot"), key, "left_anti").withColumn("__salt", F.lit(0))
-    return salted_fact.join(replicated.unionByName(plain), [key, "__salt"], "inner").drop("__salt")
+    return salted_fact.join(salted_dim, [key, "__salt"], "inner").drop("__salt")
 
 
 def join_salted_full(fact: DataFrame, dim: DataFrame, key: str, salts: int = 10, how: str = "left") -> DataFrame:

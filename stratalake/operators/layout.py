@@ -48,13 +48,23 @@ def file_stats(spark: SparkSession, path: str, *cols: str) -> DataFrame:
     )
 
 
+def file_list(spark: SparkSession, path: str) -> DataFrame:
+    """One row per data file, with its size; no file is opened."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    return listing.load(path).select("path", "length")
+
+
 def file_count(spark: SparkSession, path: str) -> int:
-    return spark.read.parquet(path).select("_metadata.file_path").distinct().count()
+    return file_list(spark, path).count()
 
 
 def table_bytes(spark: SparkSession, path: str) -> int:
-    sizes = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size").distinct()
-    return sizes.agg(F.sum("file_size")).first()[0] or 0
+    return file_list(spark, path).agg(F.sum("length")).first()[0] or 0
+
+
+def files_for(spark: SparkSession, path: str, file_bytes: int = TARGET_FILE_BYTES, at_least: int = 1) -> int:
+    """How many files of about `file_bytes` the table at `path` makes."""
+    return max(at_least, math.ceil(table_bytes(spark, path) / file_bytes))
 
 
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TARGET_FILE_BYTES) -> int:
@@ -62,7 +72,7 @@ def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TAR
 
     `repartition` spreads rows evenly, so no output task holds more than its share.
     """
-    files = max(1, math.ceil(table_bytes(spark, source) / file_bytes))
+    files = files_for(spark, source, file_bytes)
     spark.read.parquet(source).repartition(files).write.mode("overwrite").parquet(target)
     return file_count(spark, target)
 
@@ -97,14 +107,15 @@ def cluster(df: DataFrame, cols: list[str], files: int, bits: int = Z_BITS) -> D
 
 
 def compact_partition(
-    spark: SparkSession, path: str, column: str, value, sort_by: list[str], files: int = 1, staging: str | None = None
+    spark: SparkSession, path: str, column: str, value, sort_by: list[str], staging: str | None = None
 ) -> None:
     """Rewrite one partition of a partitioned table in sorted, fewer files.
 
     The new files are staged first and the partition is then replaced from the staged copy;
-    the other partitions are not read.
+    the other partitions are not read. A run that dies in the swap leaves the staged copy.
     """
     staging = staging or f"{path.rstrip('/')}_compact_{column}={value}"
+    files = files_for(spark, f"{path.rstrip('/')}/{column}={value}")
     rows = spark.read.parquet(path).where(F.col(column) == F.lit(value))
     rows.repartitionByRange(files, *sort_by).sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(staging)
     (

@@ -85,6 +85,9 @@ def failed_rules(rules: dict[str, str]) -> Column:
 def expect(df: DataFrame, rules: dict[str, str], observation: Observation | str | None = None) -> DataFrame:
     """Keep every row; failure counts are observed while the data passes through.
 
+    The counts are for watching, not for decisions: rows of a task that had to be run again
+    are counted again. Use `violations` or `require` where the number matters.
+
     Pass an Observation for a batch, or a name for a stream (the counts then appear in the
     progress of the query).
     """
@@ -187,20 +190,26 @@ def clean_sales(df: DataFrame, execution_date: str, rates: dict[str, float] | No
     )
 
 
-def clean_metrics(df: DataFrame, execution_date: str) -> DataFrame:
-    """One row of counts for `clean_sales`, from a single pass over the raw rows."""
-    counted = df.agg(
+def _clean_counts() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("input_records"),
         F.count_if(_complete() & _valid_amounts()).alias("output_records"),
         F.count_if(~_complete()).alias("null_records_dropped"),
         F.count_if(_complete() & ~_valid_amounts()).alias("invalid_amount_dropped"),
-    )
-    return counted.select(
-        "*",
+    ]
+
+
+def _clean_rates(execution_date: str) -> list[Column]:
+    return [
         (F.col("input_records") - F.col("output_records")).alias("total_records_dropped"),
         F.coalesce(percent(F.col("output_records"), F.col("input_records")), F.lit(0.0)).alias("pass_rate_pct"),
         F.lit(execution_date).alias("execution_date"),
-    )
+    ]
+
+
+def clean_metrics(df: DataFrame, execution_date: str) -> DataFrame:
+    """One row of counts for `clean_sales`, from a single pass over the raw rows."""
+    return df.agg(*_clean_counts()).select("*", *_clean_rates(execution_date))
 
 
 def clean_and_enrich_sales(
@@ -211,24 +220,50 @@ def clean_and_enrich_sales(
     return clean_sales(df, execution_date, rates), clean_metrics(df, execution_date).first().asDict()
 
 
+CRITICAL = ["event_id", "customer_id", "revenue_usd", "event_date"]
+
+
 def output_checks(df: DataFrame) -> DataFrame:
     """One row: NULL counts of the critical columns, non-positive revenue, total."""
-    critical = ["event_id", "customer_id", "revenue_usd", "event_date"]
     return df.agg(
         F.count(F.lit(1)).alias("total_records"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in critical],
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in CRITICAL],
         F.count_if(F.col("revenue_usd") <= 0).alias("non_positive_revenue"),
     )
 
 
+def passes(checks: dict, min_pass_rate: float = MIN_PASS_RATE, pass_rate: float | None = None) -> bool:
+    """Verdict on a row of `output_checks`."""
+    if checks["total_records"] < LOW_VOLUME:
+        low = f"very low record count: {checks['total_records']}, expected at least {LOW_VOLUME}"
+        warnings.warn(low, stacklevel=3)
+    faults = sum(n for name, n in checks.items() if name != "total_records")
+    return faults == 0 and (pass_rate is None or pass_rate >= min_pass_rate)
+
+
 def validate_output(df: DataFrame, min_pass_rate: float = MIN_PASS_RATE, pass_rate: float | None = None) -> bool:
     """True when no critical value is NULL, every revenue is positive and, when the pass
     rate of the cleaning step is given, it reaches the minimum."""
-    checks = output_checks(df).first().asDict()
-    total = checks.pop("total_records")
-    if total < LOW_VOLUME:
-        warnings.warn(f"very low record count: {total}, expected at least {LOW_VOLUME}", stacklevel=2)
-    return not any(checks.values()) and (pass_rate is None or pass_rate >= min_pass_rate)
+    return passes(output_checks(df).first().asDict(), min_pass_rate, pass_rate)
+
+
+def metrics_and_checks(df: DataFrame, execution_date: str, rates: dict[str, float] | None = None) -> tuple[dict, dict]:
+    """`clean_metrics` and the `output_checks` of the cleaned rows, from one aggregate over
+    the raw rows. (Observed metrics would not do here: they count a re-run task twice.)"""
+    ok = _complete() & _valid_amounts()
+    revenue = F.col("quantity") * F.col("unit_price") * usd_rate(F.upper(F.trim("currency")), rates)
+    value = {
+        "event_id": F.col("event_id"),
+        "customer_id": F.col("customer_id"),
+        "revenue_usd": revenue,
+        "event_date": F.to_date("event_timestamp"),
+    }
+    checks = [F.count_if(ok & value[c].isNull()).alias(f"null_{c}") for c in CRITICAL]
+    checks.append(F.count_if(ok & (revenue <= 0)).alias("non_positive_revenue"))
+    names = [f"null_{c}" for c in CRITICAL] + ["non_positive_revenue"]
+    row = df.agg(*_clean_counts(), *checks).select("*", *_clean_rates(execution_date)).first().asDict()
+    found = {name: row.pop(name) for name in names}
+    return row, {"total_records": row["output_records"], **found}
 
 
 # -- alerts ----------------------------------------------------------------

@@ -21,7 +21,7 @@ from stratalake.session import shuffle_width
 SAMPLE_PER_RANGE = 20
 RANGES_PER_TASK = 3
 ROWS_PER_RANGE = 50_000
-MAX_RANGES = 2048
+MAX_RANGES = 8192
 
 
 def sample_bounds(df: DataFrame, cols: list[str], ranges: int, rows: int | None = None) -> list[tuple]:

@@ -115,11 +115,10 @@ def run_daily_sales(
     one for all metrics and checks, one for the write.
     """
     raw = dated_partition(spark, source_path, execution_date)
-    cleaned = quality.clean_sales(raw, execution_date, rates)
-    metrics = quality.clean_metrics(raw, execution_date).first().asDict()
-    if not quality.validate_output(cleaned, min_pass_rate, metrics["pass_rate_pct"]):
+    metrics, checks = quality.metrics_and_checks(raw, execution_date, rates)
+    if not quality.passes(checks, min_pass_rate, metrics["pass_rate_pct"]):
         raise RuntimeError("output validation failed, nothing written")
-    replace_partitions(cleaned, target_path, "event_date")
+    replace_partitions(quality.clean_sales(raw, execution_date, rates), target_path, "event_date")
     return {
         "success": True,
         "records_written": metrics["output_records"],

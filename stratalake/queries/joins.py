@@ -225,7 +225,7 @@ def _sum(df):
 
 @query("join_salted_selective", SKEWED_SUM)
 def join_salted_selective(spark, sf):
-    return _sum(joins.join_salted_selective(*_skewed(spark, sf), "suppkey", more_than=1000, salts=10))
+    return _sum(joins.join_salted_selective(*_skewed(spark, sf), "suppkey"))
 
 
 @query(

@@ -17,7 +17,7 @@ from stratalake.queries import entities as e
 from stratalake.queries.entities import check
 from stratalake.queries.registry import query
 from stratalake.schemas import columns
-from stratalake.session import scratch_path
+from stratalake.session import scratch_path, shuffle_width
 from stratalake.sources import files, synthetic
 
 # -- sources ---------------------------------------------------------------
@@ -372,19 +372,26 @@ def dq_gate(spark, sf):
 # -- layout ----------------------------------------------------------------
 
 
+def _parts(spark) -> int:
+    return max(10, shuffle_width(spark))
+
+
 @query("lay_hash")
 def lay_hash(spark, sf):
-    return layout.partition_counts(layout.hash_layout(e.load(spark, sf, "events"), 10, "user_id"), 10)
+    parts = _parts(spark)
+    return layout.partition_counts(layout.hash_layout(e.load(spark, sf, "events"), parts, "user_id"), parts)
 
 
 @query("lay_range")
 def lay_range(spark, sf):
-    return layout.partition_counts(layout.range_layout(e.load(spark, sf, "events"), 10, "ts"), 10)
+    parts = _parts(spark)
+    return layout.partition_counts(layout.range_layout(e.load(spark, sf, "events"), parts, "ts"), parts)
 
 
 @query("lay_stats")
 def lay_stats(spark, sf):
-    return layout.partition_spread(layout.hash_layout(e.load(spark, sf, "events"), 10, "user_id"), 10)
+    parts = _parts(spark)
+    return layout.partition_spread(layout.hash_layout(e.load(spark, sf, "events"), parts, "user_id"), parts)
 
 
 LINES = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem"
@@ -394,11 +401,20 @@ def _lines(spark, sf):
     return e.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
+def _small_files(spark, sf, table: str) -> int:
+    """A fragmented layout: files of 32 MB, and several of them for a small table too."""
+    return layout.files_for(spark, f"{sf}/{table}.parquet", 32 * 1024 * 1024, at_least=32)
+
+
+def _clustered_files(spark, sf) -> int:
+    return layout.files_for(spark, f"{sf}/lineitem.parquet", at_least=16)
+
+
 @query("lay_compact", LINES)
 def lay_compact(spark, sf):
     """Many small files rewritten as few."""
     base = scratch_path(spark, "compact")
-    _lines(spark, sf).repartition(32).write.parquet(f"{base}/small")
+    _lines(spark, sf).repartition(_small_files(spark, sf, "lineitem")).write.parquet(f"{base}/small")
     layout.compact(spark, f"{base}/small", f"{base}/large")
     return spark.read.parquet(f"{base}/large")
 
@@ -406,15 +422,32 @@ def lay_compact(spark, sf):
 @query("lay_cluster", LINES)
 def lay_cluster(spark, sf):
     path = scratch_path(spark, "clustered")
-    layout.cluster(_lines(spark, sf), ["l_partkey", "l_suppkey"], files=8).write.parquet(path)
+    layout.cluster(_lines(spark, sf), ["l_partkey", "l_suppkey"], _clustered_files(spark, sf)).write.parquet(path)
     return spark.read.parquet(path)
 
 
+LOOKUP = "count(*) AS n, sum(round(l_extendedprice * 100)) AS total FROM lineitem WHERE l_partkey = 1000"
+
+
+@query("lay_point_lookup", f"SELECT 'plain' AS layout, {LOOKUP} UNION ALL SELECT 'clustered', {LOOKUP}")
+def lay_point_lookup(spark, sf):
+    """Count and sum for one part, on the table as many unordered files and clustered."""
+    base, lines = scratch_path(spark, "lookup"), _lines(spark, sf)
+    lines.repartition(_small_files(spark, sf, "lineitem")).write.parquet(f"{base}/plain")
+    layout.cluster(lines, ["l_partkey", "l_suppkey"], _clustered_files(spark, sf)).write.parquet(f"{base}/clustered")
+    found = None
+    for name in ("plain", "clustered"):
+        hits = spark.read.parquet(f"{base}/{name}").where("l_partkey = 1000")
+        one = hits.agg(F.lit(name).alias("layout"), F.count("*").alias("n"), F.sum(e.minor("l_extendedprice")).alias("total"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query("lay_compact_partition", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
 def lay_compact_partition(spark, sf):
     path = scratch_path(spark, "by-status")
     orders = e.load(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    orders.repartition(6).write.partitionBy("o_orderstatus").parquet(path)
+    orders.repartition(_small_files(spark, sf, "orders")).write.partitionBy("o_orderstatus").parquet(path)
     layout.compact_partition(spark, path, "o_orderstatus", "F", ["o_orderkey"], staging=scratch_path(spark, "staged"))
     return spark.read.parquet(path)
 

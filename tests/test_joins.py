@@ -22,8 +22,9 @@ def sides(spark, keys, dims=30):
 def test_salted_joins_equal_the_plain_join(spark, keys, more_than):
     fact, dim = sides(spark, keys + [1] * 40)
     inner = rows(fact.join(dim, "customer_id"))
-    salted = joins.join_salted_selective(fact, dim, "customer_id", more_than, salts=4)
-    assert rows(salted.select("customer_id", "amount", "customer_name")) == inner
+    for salts in (None, 4):
+        salted = joins.join_salted_selective(fact, dim, "customer_id", more_than, salts)
+        assert rows(salted.select("customer_id", "amount", "customer_name")) == inner
     left = rows(fact.join(dim, "customer_id", "left"))
     assert rows(joins.join_salted_full(fact, dim, "customer_id", 3).select("customer_id", "amount", "customer_name")) == left
 
@@ -34,6 +35,14 @@ def test_salting_keeps_the_keys_that_are_not_hot(spark):
     assert rows(got) == sorted([(1, 900)] + [(k, 3) for k in range(2, 31)], key=repr)
 
 
+def test_a_hotter_key_gets_more_salts(spark):
+    fact, dim = sides(spark, [1] * 4000 + [2] * 1500 + list(range(3, 31)))
+    joined = joins.join_salted_selective(fact, dim, "customer_id")
+    assert joined.count() == 5528
+    text = plan(joined, "simple")
+    assert "sequence" in text and "BroadcastHashJoin" in text
+
+
 def test_salts_spread_identical_rows(spark):
     df = spark.range(4000).select(F.lit(1).alias("k")).repartition(16)
     assert df.select(joins.salt_of(df, 8).alias("s")).distinct().count() > 4
