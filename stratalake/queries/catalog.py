@@ -26,17 +26,20 @@ def scratch_schema(spark: SparkSession) -> str:
 
 @query(
     "snk_append_evolve",
-    """SELECT o_orderkey, o_totalprice, NULL AS o_orderpriority, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0
-       UNION ALL SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderstatus FROM orders WHERE o_orderkey % 2 = 1""",
+    """SELECT o_orderkey, o_totalprice, NULL AS o_orderpriority, o_orderstatus FROM orders
+       WHERE o_orderdate < TIMESTAMP '1998-01-01'
+       UNION ALL SELECT o_orderkey, o_totalprice, o_orderpriority, o_orderstatus FROM orders
+       WHERE o_orderdate >= TIMESTAMP '1998-01-01'""",
 )
 def snk_append_evolve(spark, sf):
     """An append that brings a new column."""
     orders = e.load(spark, sf, "orders")
     table = f"spark_catalog.{scratch_schema(spark)}.orders"
-    even = orders.where("o_orderkey % 2 = 0").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    odd = orders.where("o_orderkey % 2 = 1").select("o_orderpriority", "o_orderkey", "o_totalprice", "o_orderstatus")
-    sinks.write_table(even, table, ["o_orderstatus"])
-    sinks.write_table(odd, table, ["o_orderstatus"])
+    turn = F.lit("1998-01-01").cast("timestamp_ntz")
+    early = orders.where(F.col("o_orderdate") < turn).select("o_orderkey", "o_totalprice", "o_orderstatus")
+    later = orders.where(F.col("o_orderdate") >= turn)
+    sinks.write_table(early, table, ["o_orderstatus"])
+    sinks.write_table(later.select("o_orderpriority", "o_orderkey", "o_totalprice", "o_orderstatus"), table, ["o_orderstatus"])
     return spark.table(table)
 
 
@@ -141,7 +144,7 @@ def snk_stream_status(spark, sf):
     return status.withColumn("n_rows", rows.scalar())
 
 
-LATE_SQL = """WITH a AS (SELECT ts, event_id % 10 = 0 AS held, ts < TIMESTAMP '2024-01-20' AS early FROM events),
+LATE_SQL = """WITH a AS (SELECT ts, event_type = 'signup' AS held, ts < TIMESTAMP '2024-01-20' AS early FROM events),
     mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY AS first_mark FROM a WHERE early AND NOT held),
     w AS (SELECT *, time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') AS period_start FROM a),
     kept AS (SELECT * FROM w, mark WHERE (early AND NOT held) OR period_start + INTERVAL 6 HOUR > first_mark)
@@ -151,11 +154,11 @@ LATE_SQL = """WITH a AS (SELECT ts, event_id % 10 = 0 AS held, ts < TIMESTAMP '2
 
 @query("stm_late_data", LATE_SQL)
 def stm_late_data(spark, sf):
-    """A tenth of the early events arrives in a second delivery: those within a day of the
+    """The early sign-ups arrive in a second delivery: those within a day of the
     newest event are counted, the others are dropped."""
     base = scratch_path(spark, "late")
-    events = e.load(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    early, held = F.col("ts") < F.lit("2024-01-20").cast("timestamp"), F.col("event_id") % 10 == 0
+    events = e.load(spark, sf, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"))
+    early, held = F.col("ts") < F.lit("2024-01-20").cast("timestamp"), F.col("event_type") == "signup"
     deliveries = [events.where(early & ~held), events.where(~(early & ~held))]
     for rows in deliveries:
         rows.write.mode("append").parquet(f"{base}/in")
@@ -174,24 +177,25 @@ def stm_late_data(spark, sf):
     check(
         "ord customers",
         """SELECT order_id, customer_id, country FROM ord JOIN customers USING (customer_id)
-           WHERE customer_id % 2 = 0 OR order_id % 2 = 1""",
+           WHERE segment IN ('BUILDING', 'MACHINERY') OR order_date >= DATE '1998-01-01'""",
     ),
 )
 def stm_static_refresh(spark, sf):
     """One running query: the customer table gains rows between two micro-batches, and the
     second batch sees them."""
     base, table = scratch_path(spark, "refresh"), f"{scratch_schema(spark)}.customers"
-    customers = e.customers(spark, sf).select("customer_id", "country")
-    orders = e.load(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"))
-    customers.where("customer_id % 2 = 0").write.saveAsTable(table)
-    orders.where("order_id % 2 = 0").write.parquet(f"{base}/in")
+    known = F.col("segment").isin("BUILDING", "MACHINERY")
+    customers, columns = e.customers(spark, sf), ["customer_id", "country"]
+    orders = e.orders(spark, sf).select("order_id", "customer_id", "order_date")
+    customers.where(known).select(*columns).write.saveAsTable(table)
+    orders.where("order_date < '1998-01-01'").write.parquet(f"{base}/in")
     stream = spark.readStream.schema(orders.schema).parquet(f"{base}/in")
     located = stream.join(spark.table(table), "customer_id").select("order_id", "customer_id", "country")
     running = jobs.append_to_path(located, f"{base}/out", f"{base}/checkpoint")
     try:
         running.processAllAvailable()
-        customers.where("customer_id % 2 = 1").write.insertInto(table)
-        orders.where("order_id % 2 = 1").write.mode("append").parquet(f"{base}/in")
+        customers.where(~known).select(*columns).write.insertInto(table)
+        orders.where("order_date >= '1998-01-01'").write.mode("append").parquet(f"{base}/in")
         running.processAllAvailable()
     finally:
         running.stop()

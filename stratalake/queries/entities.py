@@ -271,7 +271,7 @@ def usage(spark: SparkSession, sf: str) -> DataFrame:
     u = F.col("user_id")
     return load(spark, sf, "events").select(
         _workspace().alias("workspace_id"),
-        F.lit("AZURE").alias("cloud"),
+        F.lit("CLOUD").alias("cloud"),
         F.concat(
             F.upper("event_type"), F.when(F.col("event_type") == "view", "_SQL").otherwise("_JOBS")
         ).alias("sku_name"),
@@ -400,7 +400,7 @@ SQL = {
           'state of ' || event_id AS state_message
         FROM events""",
     "usage": """
-        SELECT 'ws' || (user_id % 3) AS workspace_id, 'AZURE' AS cloud,
+        SELECT 'ws' || (user_id % 3) AS workspace_id, 'CLOUD' AS cloud,
           upper(event_type) || CASE WHEN event_type = 'view' THEN '_SQL' ELSE '_JOBS' END AS sku_name,
           CASE WHEN event_id % 4 = 0 THEN 'STORAGE' ELSE 'COMPUTE_TIME' END AS usage_type,
           CAST(ts AS DATE) AS usage_date, ts AS usage_start_time,
@@ -413,7 +413,7 @@ SQL = {
         FROM events""",
     "list_prices": """
         SELECT cloud, sku_name, price_start_time, price_end_time, p AS default_price, p * 2 AS effective_price
-        FROM (SELECT DISTINCT 'AZURE' AS cloud,
+        FROM (SELECT DISTINCT 'CLOUD' AS cloud,
                 upper(event_type) || CASE WHEN event_type = 'view' THEN '_SQL' ELSE '_JOBS' END AS sku_name FROM events),
              (VALUES (TIMESTAMP '2023-06-01', TIMESTAMP '2024-01-10', 2.0::DOUBLE),
                      (TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-20', 3.0::DOUBLE),

@@ -249,15 +249,16 @@ def act_collect(spark, sf):
 
 # -- upserts ---------------------------------------------------------------
 
-MERGED = """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-    CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS version FROM orders"""
+CHANGED_SQL = "o_orderstatus = 'P' OR o_orderpriority = '1-URGENT'"
+MERGED = f"""SELECT o_orderkey, CASE WHEN {CHANGED_SQL} THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+    CASE WHEN {CHANGED_SQL} THEN 'new' ELSE 'old' END AS version FROM orders"""
 
 
 def _merge_sides(spark, sf):
-    """The target lacks every sixth order; the source holds every third, changed."""
-    orders = e.load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    target = orders.where("o_orderkey % 6 <> 0").withColumn("version", F.lit("old"))
-    source = orders.where("o_orderkey % 3 = 0").select(
+    """The target lacks the pending orders; the source holds these and the urgent ones."""
+    orders = e.load(spark, sf, "orders")
+    target = orders.where("o_orderstatus <> 'P'").select("o_orderkey", "o_totalprice", F.lit("old").alias("version"))
+    source = orders.where(CHANGED_SQL).select(
         "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), F.lit("new").alias("version")
     )
     return target, source
@@ -280,8 +281,8 @@ def tbl_merge_stored(spark, sf):
 
 @query(
     "tbl_merge_insert_only",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-         CASE WHEN o_orderkey % 6 = 0 THEN 'new' ELSE 'old' END AS version FROM orders""",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+         CASE WHEN o_orderstatus = 'P' THEN 'new' ELSE 'old' END AS version FROM orders""",
 )
 def tbl_merge_insert_only(spark, sf):
     return merge.merge_insert_only(*_merge_sides(spark, sf), ["o_orderkey"])

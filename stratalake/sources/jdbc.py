@@ -45,4 +45,4 @@ def changed_since(
 ) -> DataFrame:
     """Rows changed after a point in time, filtered in the database."""
     stamp = after.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return query(spark, url, f"SELECT * FROM {name} WHERE {column} > TIMESTAMP('{stamp}')", "changed", properties)
+    return query(spark, url, f"SELECT * FROM {name} WHERE {column} > '{stamp}'", "changed", properties)
