@@ -37,7 +37,7 @@ def sample_bounds(df: DataFrame, cols: list[str], ranges: int, rows: int | None
     if ranges < 2 or total == 0:
         return []
     sample = keys.sample(fraction=1.2 * want / total, seed=17) if total > 2 * want else keys
-    picked = sample.distinct().orderBy(*cols).limit(4 * want).collect()
+    picked = sample.distinct().orderBy(*cols).limit(4 * want).collect() or keys.limit(want).distinct().orderBy(*cols).collect()
     cuts = sorted({len(picked) * i // ranges for i in range(1, ranges)})
     return [tuple(picked[i]) for i in cuts if i < len(picked)]
 

@@ -97,8 +97,7 @@ def dq_incomplete_dim(spark, sf):
     f"""SELECT max(ts) AS last_altered, max(ts) < TIMESTAMP '{e.AS_OF}' - INTERVAL 3 DAY AS is_stale FROM events""",
 )
 def dq_freshness(spark, sf):
-    events = e.load(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"))
-    return q.freshness(events, "ts", e.as_of())
+    return q.freshness(e.load(spark, sf, "events"), "ts", e.as_of())
 
 
 CLEAN_SQL = check(

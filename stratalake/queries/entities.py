@@ -18,7 +18,9 @@ def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
 
 
 def as_of() -> Column:
-    return F.lit(AS_OF).cast("timestamp")
+    """The tables hold timestamps without zone; comparing like with like lets the filter
+    reach the scan."""
+    return F.lit(AS_OF).cast("timestamp_ntz")
 
 
 def minor(c: str) -> Column:
@@ -223,7 +225,7 @@ def _result() -> Column:
 
 
 def _ends() -> Column:
-    return F.col("ts").cast("timestamp") + F.make_dt_interval(secs=F.floor("value").cast("decimal(18,6)"))
+    return F.col("ts") + F.make_dt_interval(secs=F.floor("value").cast("decimal(18,6)"))
 
 
 def jobs(spark: SparkSession, sf: str) -> DataFrame:
@@ -233,7 +235,7 @@ def jobs(spark: SparkSession, sf: str) -> DataFrame:
         _workspace().alias("workspace_id"),
         F.col("user_id").alias("job_id"),
         F.concat_ws("-", F.lit("job"), "user_id", "event_id").alias("name"),
-        F.col("ts").cast("timestamp").alias("change_time"),
+        F.col("ts").alias("change_time"),
     )
 
 
@@ -250,7 +252,7 @@ def job_run_timeline(spark: SparkSession, sf: str) -> DataFrame:
         F.col("user_id").alias("job_id"),
         F.col("event_id").alias("run_id"),
         _result().alias("result_state"),
-        F.col("ts").cast("timestamp").alias("period_start_time"),
+        F.col("ts").alias("period_start_time"),
         _ends().alias("period_end_time"),
     )
 
@@ -260,7 +262,7 @@ def job_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.col("user_id").alias("job_id"),
         F.col("event_id").alias("run_id"),
         _result().alias("result_state"),
-        F.col("ts").cast("timestamp").alias("start_time"),
+        F.col("ts").alias("start_time"),
         _ends().alias("end_time"),
         F.when(F.col("event_id") % 2 == 0, "PERIODIC").otherwise("MANUAL").alias("trigger_type"),
         F.concat(F.lit("state of "), F.col("event_id").cast("string")).alias("state_message"),
@@ -277,7 +279,7 @@ def usage(spark: SparkSession, sf: str) -> DataFrame:
         ).alias("sku_name"),
         F.when(F.col("event_id") % 4 == 0, "STORAGE").otherwise("COMPUTE_TIME").alias("usage_type"),
         F.col("ts").cast("date").alias("usage_date"),
-        F.col("ts").cast("timestamp").alias("usage_start_time"),
+        F.col("ts").alias("usage_start_time"),
         _ends().alias("usage_end_time"),
         F.floor("value").cast("double").alias("usage_quantity"),
         (F.col("event_id") % 3 + 1).cast("double").alias("list_price"),
@@ -301,8 +303,8 @@ def list_prices(spark: SparkSession, sf: str) -> DataFrame:
     periods = F.array(
         *[
             F.struct(
-                F.lit(a).cast("timestamp").alias("price_start_time"),
-                F.lit(b).cast("timestamp").alias("price_end_time"),
+                F.lit(a).cast("timestamp_ntz").alias("price_start_time"),
+                F.lit(b).cast("timestamp_ntz").alias("price_end_time"),
                 F.lit(p).alias("p"),
             )
             for a, b, p in [
@@ -327,7 +329,7 @@ def maintenance_ops(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "events").select(
         F.upper("event_type").alias("operation_type"),
         (F.floor("value") * 1000000).alias("optimized_files_size_bytes"),
-        F.col("ts").cast("timestamp").alias("operation_timestamp"),
+        F.col("ts").alias("operation_timestamp"),
     )
 
 

@@ -18,6 +18,14 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
 }
 
+#: For streams whose state outgrows executor memory (endless dedup, many open windows).
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 BASE = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
@@ -56,11 +64,13 @@ def apply_adaptive(spark: SparkSession, **overrides: str) -> dict[str, str]:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from `spark.checkpoint.dir`.
 
-    Only a session that names none (tests, local runs) gets a temporary folder, which
-    is then written back to the session so that later calls agree.
+    Only a local session that names none (tests) gets a temporary folder, which is then
+    written back to the session so that later calls agree.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("stratalake.shared.dir", None)
     if base is None:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="stratalake-")
         spark.conf.set("stratalake.shared.dir", base)
     return base.rstrip("/")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.snapshots import SnapshotTable
 from stratalake.schemas import DEVICE_PAYLOAD
+from stratalake.session import LARGE_STATE
 from stratalake.sources import bus, files
 from stratalake.streaming import devices, jobs
 
@@ -96,6 +97,21 @@ def test_json_files_with_rescue(spark, path):
     assert got["humidity"] is None and json.loads(got["_rescued_data"]) == {"humidity": "wet", "firmware": "v2"}
 
 
+def test_endless_dedup_with_large_state(spark, path):
+    schema = "id INT, v INT"
+    for k, v in LARGE_STATE.items():
+        spark.conf.set(k, v)
+    try:
+        for batch in ([(1, 1), (2, 1), (1, 2)], [(2, 5), (3, 1)]):
+            deliver(spark, f"{path}/in", batch, schema)
+            stream = jobs.drop_duplicates_forever(spark.readStream.schema(schema).parquet(f"{path}/in"), ["id"])
+            out = jobs.drain(stream, f"{path}/out", f"{path}/c")
+        assert rows(out.select("id")) == [(1,), (2,), (3,)]
+    finally:
+        for k in LARGE_STATE:
+            spark.conf.unset(k)
+
+
 def test_bounded_dedup(spark, path):
     schema = "id INT, ts TIMESTAMP"
 
