@@ -76,14 +76,14 @@ def mon_recent_failures(spark, sf):
         f""", r AS (SELECT *, (floor(epoch(end_time)) - floor(epoch(start_time))) / 60 AS minutes FROM runs
                WHERE start_time >= {SINCE.format(30)})
             SELECT name AS job_name, CAST(start_time AS DATE) AS run_date, count(*) AS run_count,
-              round(avg(minutes), 4) AS avg_duration_min, max(minutes) AS max_duration_min,
+              round(avg(minutes), 9) AS avg_duration_min, max(minutes) AS max_duration_min,
               count(*) FILTER (result_state = 'FAILED') AS failure_count
             FROM r JOIN job_names USING (job_id) GROUP BY 1, 2""",
     ),
 )
 def mon_duration_trend(spark, sf):
     trend = m.duration_trend(e.job_runs(spark, sf), e.job_names(spark, sf), e.as_of())
-    return trend.withColumn("avg_duration_min", F.round("avg_duration_min", 4))
+    return trend.withColumn("avg_duration_min", F.round("avg_duration_min", 9))
 
 
 @query(

@@ -101,3 +101,12 @@ def test_top_k_and_noop(spark):
     assert "TakeOrderedAndProject" in plan(top, "simple")
     sinks.discard(top)
     assert "Range" in plan(top, "extended") and "Parsed Logical Plan" in plan(top, "extended")
+
+
+def test_approximate_distinct_and_percentile_stay_close(spark):
+    df = spark.range(50_000).select((F.col("id") * 7919 % 9973).alias("k"), F.col("id").alias("v"))
+    got = df.agg(
+        F.approx_count_distinct("k", 0.02).alias("n"), F.percentile_approx("v", 0.95, 10_000).alias("p95")
+    ).first()
+    assert abs(got["n"] - 9973) < 0.06 * 9973
+    assert abs(got["p95"] - 47_500) <= 10
