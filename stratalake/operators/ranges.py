@@ -61,15 +61,20 @@ def range_of(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
     """
     if not bounds:
         return F.lit(0)
-    key = F.struct(*[F.col(c) for c in cols])
-    key_type = T.StructType([T.StructField(c, df.schema[c].dataType) for c in cols])
+    if len(cols) == 1:  # plain values compare faster than one-field structs
+        key, key_type = F.col(cols[0]), df.schema[cols[0]].dataType
+        values = [b[0] for b in bounds]
+    else:
+        key = F.struct(*[F.col(c) for c in cols])
+        key_type = T.StructType([T.StructField(c, df.schema[c].dataType) for c in cols])
+        values = [dict(zip(cols, b)) for b in bounds]
 
     def constant(value, kind: T.DataType) -> Column:
         # one folded literal, however many bounds there are
         return F.from_json(F.lit(json.dumps(value, default=_as_json)), kind)
 
     width = max(1, math.isqrt(len(bounds)))
-    blocks = [[dict(zip(cols, b)) for b in bounds[i : i + width]] for i in range(0, len(bounds), width)]
+    blocks = [values[i : i + width] for i in range(0, len(values), width)]
     tops = constant([block[-1] for block in blocks], T.ArrayType(key_type))
     table = constant(blocks, T.ArrayType(T.ArrayType(key_type)))
 

@@ -39,6 +39,14 @@ def test_dense_rank_with_a_hot_key_and_nulls(spark):
     assert ids == list(range(1, len(ids) + 1))
 
 
+def test_one_column_with_nulls(spark):
+    for kind, make in (("INT", lambda i: i * 37 % 101), ("STRING", lambda i: f"k{i * 37 % 101}")):
+        data = [(None if i % 6 == 0 else make(i),) for i in range(500)]
+        df = spark.createDataFrame(data, f"k {kind}").repartition(4)
+        want = df.withColumn("n", F.dense_rank().over(Window.orderBy("k")).cast("bigint"))
+        assert rows(add_dense_rank(df, ["k"], "n", ranges=8)) == rows(want)
+
+
 def test_few_rows(spark):
     empty = spark.createDataFrame([], "k INT")
     assert add_row_number(empty, ["k"], "n").count() == 0
