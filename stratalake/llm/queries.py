@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import exact_dedup, mixing, simhash
+from stratalake.llm import exact_dedup, language, mixing, simhash, tokens
 from stratalake.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,15 @@ SELECT doc_id, first_value(doc_id) OVER (PARTITION BY norm ORDER BY length(body)
 )
 def op6(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op9_token_counts")
+def op9(spark, sf_dir):
+    import public_tokenizers
+
+    return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_language")
+def op10(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
