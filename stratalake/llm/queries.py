@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import exact_dedup, language, mixing, simhash, tokens
+from stratalake.llm import exact_dedup, language, mixing, quality, simhash, tokens
 from stratalake.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,8 @@ def op9(spark, sf_dir):
 @query("op10_language")
 def op10(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality")
+def op3(spark, sf_dir):
+    return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
