@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import exact_dedup, language, mixing, quality, simhash, tokens
+from stratalake.llm import exact_dedup, language, mixing, quality, simhash, tokens, toxicity
 from stratalake.llm.common import staged, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ def op10(spark, sf_dir):
 @query("op3_quality")
 def op3(spark, sf_dir):
     return quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_toxicity")
+def op8(spark, sf_dir):
+    return toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
