@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import exact_dedup, language, mixing, quality, simhash, tokens, toxicity
+from stratalake.llm import exact_dedup, language, licenses, mixing, quality, simhash, tokens, toxicity, warc
 from stratalake.llm.common import staged, table
+from stratalake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +107,46 @@ def op3(spark, sf_dir):
 @query("op8_toxicity")
 def op8(spark, sf_dir):
     return toxicity.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op1_warc",
+    r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+    coalesce(html, '') AS body, url FROM pages),
+m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY body) END AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to, url AS target_uri FROM m
+""",
+)
+def op1(spark, sf_dir):
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.page_records(table(spark, sf_dir, "pages")), path)
+    columns = ["record_id", "record_type", "target_uri", "payload_digest", "payload_length", "headers", "payload"]
+    return warc.page_facts(warc.read_warc(spark, path, columns)).drop("record_id")
+
+
+def _license_sql() -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    known = "MAP {" + ", ".join(f"{quote(licenses.normal(s))}: {quote(n)}" for n, s in licenses.SENTENCES.items()) + "}"
+    line = "coalesce(array_to_string(list_transform(ids, lambda x: '|' || x || '|'), ''), '')"
+    for licence, needed in licenses.RULES:
+        line = f"replace({line}, {quote('|' + '||'.join(needed) + '|')}, {quote('<' + licence + '>')})"
+    return rf"""
+WITH cut AS (SELECT doc_id, regexp_split_to_array(regexp_replace(regexp_replace(coalesce(text, ''), '\n[\x20\x09]*([a-z("])', ' \1', 'g'), '([.!?])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), '\n') AS parts
+  FROM documents),
+plain AS (SELECT doc_id, list_transform(parts, lambda s: trim(regexp_replace(lower(s), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))) AS parts FROM cut),
+named AS (SELECT doc_id, list_filter(list_transform(parts, lambda s: {known}[s]), lambda x: x IS NOT NULL) AS ids FROM plain),
+lined AS (SELECT doc_id, ids, {line} AS line FROM named),
+found AS (SELECT doc_id, ids, line, regexp_extract_all(line, '<([^>]*)>', 1) AS raw FROM lined),
+firsts AS (SELECT *, list_filter(raw, lambda x, i: list_position(raw, x) = i) AS licences FROM found)
+SELECT doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(licences, ','), '') AS licences,
+  CASE len(licences) WHEN 0 THEN 'none' WHEN 1 THEN licences[1] ELSE 'several' END AS licence,
+  coalesce(array_to_string(regexp_extract_all(line, '\|([^|]*)\|', 1), ','), '') AS unmatched FROM firsts
+"""
+
+
+@query("op7_license_scan", _license_sql())
+def op7(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
