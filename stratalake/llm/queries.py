@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import exact_dedup, language, licenses, mixing, quality, simhash, tokens, toxicity, warc
+from stratalake.llm import decontam, exact_dedup, language, licenses, mixing, quality, simhash, tokens, toxicity, warc
 from stratalake.llm.common import staged, table
 from stratalake.session import scratch_path
 
@@ -150,3 +150,9 @@ SELECT doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce
 @query("op7_license_scan", _license_sql())
 def op7(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op5_decontamination")
+def op5(spark, sf_dir):
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("key", "doc_id")
