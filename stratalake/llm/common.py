@@ -43,8 +43,11 @@ def keyed(df: DataFrame, name: str) -> tuple[DataFrame, str]:
 
 
 def join_checked(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join with `right` broadcast when its measured size allows it, shuffled otherwise."""
-    return left.join(F.broadcast(right) if fits_broadcast(right) else right, on, how)
+    """Join with `right` broadcast when its measured size allows it, shuffled otherwise.
+
+    Semi and anti joins keep the order of the columns of `left`."""
+    out = left.join(F.broadcast(right) if fits_broadcast(right) else right, on, how)
+    return out.select(*[f"`{c}`" for c in left.columns]) if how in ("left_anti", "left_semi") else out
 
 
 def fold_is(doc_id: Column, folds: int, held: int) -> Column:

@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import bounded_sample, fold_is
 
 BUCKETS, FACTORS, BINS, EPOCHS, BATCH, SEED = 1 << 14, 6, 12, 8, 64, 7
+#: Few texts are gone over more often, up to so many row visits or epochs.
+VISITS, MOST_EPOCHS = 24_000, 60
 #: Labelled texts used at most.
 MAX_TRAIN = 6000
 UPPER, LOWER, DIGIT, BLANK, PLAIN, SYMBOL = range(6)
@@ -160,7 +162,7 @@ def fit(words: list, dense: np.ndarray, label: np.ndarray) -> Machine:
     rate = label.mean()
     m.w0 = float(np.log(rate / (1 - rate)))
     gw, gv, g0 = np.full(size, 1e-2), np.full((size, FACTORS), 1e-2), 1e-2
-    for _ in range(EPOCHS):
+    for _ in range(min(MOST_EPOCHS, max(EPOCHS, VISITS // len(label)))):
         shuffled = rng.permutation(len(label))
         for at in range(0, len(label), BATCH):
             pick = shuffled[at : at + BATCH]
@@ -209,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, held: Column, meta: tu
             words += list(zip(frame["index"], frame["value"]))
             dense += list(frame["dense"])
             label += list(frame["label"])
-        model = fit(words, np.array(dense).reshape(len(dense), -1), np.array(label, np.float64))
+        model = fit(words, np.array(dense, np.float64).reshape(len(dense), -1 if dense else 0), np.array(label, np.float64))
         yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
     shape = "label int, index array<int>, value array<float>, dense array<double>"

@@ -294,6 +294,8 @@ class WarcReader(DataSourceReader):
         return [InputPartition(p) for p in planned(self.path)]
 
     def read(self, partition):
+        if partition is None:  # no file at all
+            return
         system, _ = located(self.path)
         name, scan = partition.value, Scan(self.tests, "payload" in self.columns)
         size = system.get_file_info(name).size
