@@ -93,7 +93,6 @@ def validity_join(
     end: Column,
     ends_before: Column | None = None,
     month_of: Column | None = None,
-    month_range: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Match each usage row with the price valid for it.
 
@@ -101,17 +100,19 @@ def validity_join(
     interval is half open (`at < end`); pass `ends_before` for the closed form, which tests
     `ends_before <= end`.
 
-    With `month_of` (month of a usage row) and `month_range` (first and last month a price
-    is valid), both sides also meet on the month: a long price history is then not compared
-    row by row, and a hot product is spread over its months.
+    With `month_of` (first instant of the month of a usage row) both sides also meet on the
+    month: a long price history is then not compared row by row, and a hot product is spread
+    over its months. Prices are spread over the months that the usage has, so an open price
+    reaches as far as the usage does.
     """
     in_time = (at < end) if ends_before is None else (ends_before <= end)
     residual = (start <= at) & (end.isNull() | in_time)
     keys = list(on)
     if month_of is not None:
-        first, last = month_range
-        prices = prices.withColumn("__month", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))))
         usage = usage.withColumn("__month", month_of)
+        months = usage.select(*on, "__month").distinct()
+        valid = (F.date_trunc("month", start) <= F.col("__month")) & (end.isNull() | (F.col("__month") <= end))
+        prices = prices.join(months, on).where(valid)
         keys.append("__month")
     left = usage.alias("u")
     right = prices.select(*[F.col(k).alias(f"__p_{k}") for k in keys], *[c for c in prices.columns if c not in keys])

@@ -1,6 +1,6 @@
 """Keyed upsert, insert-if-absent, conditional update and last-change-wins application.
 
-All return the new content of the target as a DataFrame; `snapshots` stores it.
+All return the new content of the target as a DataFrame; `keyed` stores it.
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.operators.snapshots import SnapshotTable
+from stratalake.operators.keyed import KeyedParquet
 
 
 def add_bronze_audit_cols(df: DataFrame, loaded: Column | None = None) -> DataFrame:
@@ -53,7 +53,7 @@ def write_table(
 
     `append` adds rows, with new columns added to the table first; `overwrite` replaces;
     `replace` swaps only the partitions present in the data; `merge` upserts by `keys`
-    into a snapshot table at `merge_path`.
+    into a keyed table at `merge_path`.
     """
     parts = target_table.split(".")
     if len(parts) != 3 or not all(parts):
@@ -65,7 +65,7 @@ def write_table(
     spark = df.sparkSession
     try:
         if mode == "merge":
-            SnapshotTable(spark, merge_path, keys).merge(df)
+            KeyedParquet(spark, merge_path, keys).merge(df)
             return
         exists = spark.catalog.tableExists(target_table)
         if mode == "overwrite" or not exists:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators import quality
-from stratalake.operators.sinks import add_ingestion_time, overwrite_table, replace_partitions
-from stratalake.operators.snapshots import SnapshotTable
+from stratalake.operators.sinks import add_ingestion_time, overwrite_table
+from stratalake.operators.keyed import KeyedParquet
+from stratalake.session import scratch_path
 from stratalake.sources.files import dated_partition
 
 # The watermark of a source that was never loaded.
@@ -49,11 +50,11 @@ def verify_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 class Watermarks:
-    """Last loaded change time per source: one small snapshot table."""
+    """Last loaded change time per source: one small keyed table."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.table = SnapshotTable(spark, path, ["source_table"], buckets=1)
+        self.table = KeyedParquet(spark, path, ["source_table"])
 
     def get(self, source: str) -> datetime:
         if not self.table.exists():
@@ -69,7 +70,7 @@ class Watermarks:
 def incremental_load(
     source_name: str,
     changed_after: Callable[[datetime], DataFrame],
-    target: SnapshotTable,
+    target: KeyedParquet,
     watermarks: Watermarks,
     changed_column: str,
     staging: str,
@@ -108,17 +109,21 @@ def run_daily_sales(
     min_pass_rate: float = 0.0,
     rates: dict[str, float] | None = None,
 ) -> dict:
-    """Read one day, clean, validate, and write by event date.
+    """Read one day, clean, validate, and write by processing date, then event date.
 
-    Nothing is written when validation fails. The partitions of the written dates are
-    replaced, so repeating a day does not duplicate it. Two passes over the day's files:
-    one for all metrics and checks, one for the write.
+    Nothing is written when validation fails. The folder of the processing date is replaced
+    as a whole, so repeating a day does not duplicate it, and late events of other days are
+    added to those that earlier runs wrote. Two passes over the day's files: one for all
+    metrics and checks, one for the write.
     """
     raw = dated_partition(spark, source_path, execution_date)
     metrics, checks = quality.metrics_and_checks(raw, execution_date, rates)
     if not quality.passes(checks, min_pass_rate, metrics["pass_rate_pct"]):
         raise RuntimeError("output validation failed, nothing written")
-    replace_partitions(quality.clean_sales(raw, execution_date, rates), target_path, "event_date")
+    cleaned = quality.clean_sales(raw, execution_date, rates)
+    cleaned.drop("processing_date").write.mode("overwrite").partitionBy("event_date").parquet(
+        f"{target_path.rstrip('/')}/processing_date={execution_date}"
+    )
     return {
         "success": True,
         "records_written": metrics["output_records"],
@@ -128,22 +133,34 @@ def run_daily_sales(
     }
 
 
-def publish_or_quarantine(df: DataFrame, rules: dict[str, str], publish_path: str, quarantine_path: str) -> dict:
+def publish_or_quarantine(
+    df: DataFrame, rules: dict[str, str], publish_path: str, quarantine_path: str, run_date: str
+) -> dict:
     """Rows that meet every rule are published; the others are kept apart with the names
-    of the rules they broke."""
-    passed, held = quality.split(df, rules)
-    passed.write.mode("append").parquet(publish_path)
-    held.write.mode("append").parquet(quarantine_path)
+    of the rules they broke. Both go into the folder of the run date, which a repeated run
+    replaces; the rows are staged first, so both outputs come from the same rows."""
+    path = scratch_path(df.sparkSession, "publish")
+    df.write.parquet(path)
+    passed, held = quality.split(df.sparkSession.read.schema(df.schema).parquet(path), rules)
+    passed.write.mode("overwrite").parquet(f"{publish_path.rstrip('/')}/run_date={run_date}")
+    held.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/run_date={run_date}")
     return {"publish": publish_path, "quarantine": quarantine_path}
 
 
 def post_checks(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, bool]:
     """Checks on the outputs of a run: rows present, dates set, amounts positive, and every
     ordering customer present in the feature table."""
-    orders, daily, features = tables["orders"], tables["sales_daily_metrics"], tables["fs_order_features"]
+    orders, features = tables["orders"], tables["fs_order_features"]
     missing = orders.select("customer_id").distinct().join(features.select("customer_id"), "customer_id", "left_anti")
-    checks = {f"{name} has rows": not df.isEmpty() for name, df in tables.items()}
-    checks["daily metrics have dates"] = daily.where("date IS NULL").isEmpty()
-    checks["order amounts are positive"] = orders.where("total_amount <= 0").isEmpty()
+    faults = {"sales_daily_metrics": F.col("date").isNull(), "orders": F.col("total_amount") <= 0}
+
+    def counted(name: str):  # one aggregate per table
+        fault = F.count_if(faults[name]) if name in faults else F.lit(0)
+        return tables[name].agg(F.count(F.lit(1)).alias("n"), fault.alias("bad")).first()
+
+    found = {name: counted(name) for name in tables}
+    checks = {f"{name} has rows": row["n"] > 0 for name, row in found.items()}
+    checks["daily metrics have dates"] = found["sales_daily_metrics"]["bad"] == 0
+    checks["order amounts are positive"] = found["orders"]["bad"] == 0
     checks["features cover all customers"] = missing.isEmpty()
     return checks

@@ -77,7 +77,11 @@ def success_rate(timeline: DataFrame, as_of: Column, days: int = 30) -> DataFram
 
 
 def _named(jobs: DataFrame) -> DataFrame:
-    return jobs.select("job_id", F.col("name").alias("job_name"))
+    """One name per job: of a table with a row per change, the newest."""
+    if "change_time" not in jobs.columns:
+        return jobs.select("job_id", F.col("name").alias("job_name"))
+    newest = F.max_by("name", F.struct("change_time", "name"))
+    return jobs.groupBy("job_id").agg(newest.alias("job_name"))
 
 
 def recent_failures(runs: DataFrame, jobs: DataFrame, as_of: Column, days: int = 7, top: int = TOP) -> DataFrame:
@@ -113,14 +117,9 @@ def duration_trend(runs: DataFrame, jobs: DataFrame, as_of: Column, days: int =
 # -- cost ------------------------------------------------------------------
 
 
-def _price_months(last: Column) -> tuple[Column, Column]:
-    end = F.coalesce(F.col("price_end_time"), last)
-    return F.date_trunc("month", "price_start_time"), F.date_trunc("month", F.greatest(end, F.col("price_start_time")))
-
-
-def cost_at_list_price(usage: DataFrame, prices: DataFrame, last_usage: Column) -> DataFrame:
+def cost_at_list_price(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """Usage valued at the price in force, closed at the end: the usage must end by the
-    price's end. `last_usage` bounds the months of a price without an end."""
+    price's end."""
     wanted = prices.select(
         "cloud", "sku_name", "price_start_time", "price_end_time", F.col("pricing.default").alias("unit_price")
     )
@@ -136,7 +135,6 @@ def cost_at_list_price(usage: DataFrame, prices: DataFrame, last_usage: Column)
         end=F.col("price_end_time"),
         ends_before=F.col("usage_end_time"),
         month_of=F.date_trunc("month", "usage_start_time"),
-        month_range=_price_months(last_usage),
     )
     return priced.groupBy("workspace_id", "billing_origin_product", "sku_name").agg(
         F.sum(F.col("usage_quantity") * F.col("unit_price")).alias("list_cost")

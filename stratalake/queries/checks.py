@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import governance as gov
 from stratalake.operators import quality as q
-from stratalake.plans import medallion
+from stratalake.plans import loads, medallion
 from stratalake.plans.sales_metrics import geographic_sales, order_feature_table, sales_daily_metrics
 from stratalake.queries import entities as e
 from stratalake.queries.aggregates import GEO, _geo_orders
 from stratalake.queries.entities import check
 from stratalake.queries.registry import query
+from stratalake.session import scratch_path
 
 SALES_RULES = {
     "has_event": "event_id IS NOT NULL",
@@ -176,8 +177,11 @@ BROKEN_SQL = """CASE WHEN event_id IS NULL THEN 'has_event,' ELSE '' END
     ),
 )
 def dq_branch(spark, sf):
-    """Both branches side by side; each row is in exactly one."""
-    passed, held = q.split(e.raw_sales(spark, sf), SALES_RULES)
+    """Both branches written twice for one run date and read back; each row is in exactly one."""
+    base, rows = scratch_path(spark, "branch"), e.raw_sales(spark, sf)
+    for _ in range(2):
+        paths = loads.publish_or_quarantine(rows, SALES_RULES, f"{base}/good", f"{base}/bad", "2024-02-01")
+    passed, held = spark.read.parquet(paths["publish"]), spark.read.parquet(paths["quarantine"])
     cols = ["event_id", "customer_id", "quantity", "unit_price"]
     good = passed.select(*cols, F.lit("publish").alias("branch"), F.lit("").alias("failed_rules"))
     bad = held.select(*cols, F.lit("quarantine").alias("branch"), F.array_join("failed_rules", ",").alias("failed_rules"))
@@ -233,6 +237,24 @@ def dq_post_checks(spark, sf):
     )
 
 
+@query(
+    "dq_post_checks_run",
+    check(
+        "ord items",
+        """, r AS (SELECT count(*) AS n, count(*) FILTER (total_amount <= 0) AS bad, count(*) FILTER (order_date IS NULL) AS undated FROM ord)
+           SELECT c.check_name, CASE c.check_name WHEN 'order amounts are positive' THEN r.bad = 0
+               WHEN 'daily metrics have dates' THEN r.undated = 0 WHEN 'features cover all customers' THEN TRUE ELSE r.n > 0 END AS passed
+           FROM r, (VALUES ('orders has rows'), ('sales_daily_metrics has rows'), ('fs_order_features has rows'),
+             ('daily metrics have dates'), ('order amounts are positive'), ('features cover all customers')) c(check_name)""",
+    ),
+)
+def dq_post_checks_run(spark, sf):
+    """The checks that follow a run, on the tables it makes."""
+    orders = e.orders(spark, sf)
+    tables = {"orders": orders, "sales_daily_metrics": _daily(spark, sf), "fs_order_features": order_feature_table(orders)}
+    return spark.createDataFrame(list(loads.post_checks(spark, tables).items()), "check_name STRING, passed BOOLEAN")
+
+
 # -- checked silver tables -------------------------------------------------
 
 ORDERS_SILVER = """, c AS (SELECT order_id, customer_id, CAST(order_date AS TIMESTAMP) AS order_date, order_total,

@@ -246,6 +246,15 @@ def job_names(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def job_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Job definitions with a row per change, several for most jobs."""
+    return load(spark, sf, "events").select(
+        F.col("user_id").alias("job_id"),
+        F.concat_ws("-", F.lit("job"), "user_id", F.col("event_id") % 3).alias("name"),
+        F.col("ts").alias("change_time"),
+    )
+
+
 def job_run_timeline(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "events").select(
         _workspace().alias("workspace_id"),
@@ -296,6 +305,13 @@ def usage(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def long_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """The usage, moved up to five months later."""
+    later = F.make_ym_interval(F.lit(0), (F.col("usage_quantity") % 6).cast("int"))
+    moved = {c: F.col(c) + later for c in ("usage_start_time", "usage_end_time")}
+    return usage(spark, sf).withColumns(moved)
+
+
 def list_prices(spark: SparkSession, sf: str) -> DataFrame:
     """Three price periods per product; the last one is open."""
     skus = usage(spark, sf).select("cloud", "sku_name").distinct()
@@ -386,6 +402,8 @@ SQL = {
         SELECT 'ws' || (user_id % 3) AS workspace_id, user_id AS job_id,
           'job-' || user_id || '-' || event_id AS name, ts AS change_time
         FROM events WHERE event_type = 'signup'""",
+    "job_versions": """SELECT user_id AS job_id, 'job-' || user_id || '-' || (event_id % 3) AS name, ts AS change_time
+        FROM events""",
     "job_names": "SELECT DISTINCT user_id AS job_id, 'job-' || user_id AS name FROM events",
     "timeline": """
         SELECT 'ws' || (user_id % 3) AS workspace_id, user_id AS job_id, event_id AS run_id,

@@ -146,7 +146,6 @@ def join_validity_halfopen(spark, sf):
     matched = joins.validity_join(
         e.usage(spark, sf), prices, ["sku_name"], at=F.col("usage_date"), start=F.col("d0"), end=F.col("d1"),
         month_of=F.trunc("usage_date", "month"),
-        month_range=(F.trunc("d0", "month"), F.trunc(F.coalesce("d1", F.lit("2024-12-31").cast("date")), "month")),
     )
     return matched.select("usage_date", "usage_start_time", "sku_name", "effective_price")
 

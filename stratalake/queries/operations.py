@@ -57,23 +57,28 @@ def mon_success_rate(spark, sf):
     return m.success_rate(e.job_run_timeline(spark, sf), e.as_of())
 
 
+#: The newest name of each job.
+CURRENT = """, job_names AS (SELECT * FROM job_versions
+    QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY change_time DESC, name DESC) = 1)"""
+
+
 @query(
     "mon_recent_failures",
     check(
-        "runs job_names",
-        f"""SELECT name AS job_name, run_id, start_time, end_time, state_message FROM runs JOIN job_names USING (job_id)
+        "runs job_versions",
+        f"""{CURRENT} SELECT name AS job_name, run_id, start_time, end_time, state_message FROM runs JOIN job_names USING (job_id)
             WHERE result_state = 'FAILED' AND start_time >= {SINCE.format(7)} ORDER BY start_time DESC, run_id LIMIT 20""",
     ),
 )
 def mon_recent_failures(spark, sf):
-    return m.recent_failures(e.job_runs(spark, sf), e.job_names(spark, sf), e.as_of())
+    return m.recent_failures(e.job_runs(spark, sf), e.job_versions(spark, sf), e.as_of())
 
 
 @query(
     "mon_duration_trend",
     check(
-        "runs job_names",
-        f""", r AS (SELECT *, (floor(epoch(end_time)) - floor(epoch(start_time))) / 60 AS minutes FROM runs
+        "runs job_versions",
+        f"""{CURRENT}, r AS (SELECT *, (floor(epoch(end_time)) - floor(epoch(start_time))) / 60 AS minutes FROM runs
                WHERE start_time >= {SINCE.format(30)})
             SELECT name AS job_name, CAST(start_time AS DATE) AS run_date, count(*) AS run_count,
               round(avg(minutes), 9) AS avg_duration_min, max(minutes) AS max_duration_min,
@@ -82,7 +87,7 @@ def mon_recent_failures(spark, sf):
     ),
 )
 def mon_duration_trend(spark, sf):
-    trend = m.duration_trend(e.job_runs(spark, sf), e.job_names(spark, sf), e.as_of())
+    trend = m.duration_trend(e.job_runs(spark, sf), e.job_versions(spark, sf), e.as_of())
     return trend.withColumn("avg_duration_min", F.round("avg_duration_min", 9))
 
 
@@ -90,14 +95,16 @@ def mon_duration_trend(spark, sf):
     "cost_list_price",
     check(
         "usage list_prices",
-        """SELECT workspace_id, billing_origin_product, u.sku_name, sum(usage_quantity * default_price) AS list_cost
-           FROM usage u JOIN list_prices p ON u.cloud = p.cloud AND u.sku_name = p.sku_name
+        """, long AS (SELECT * REPLACE (usage_start_time + to_months(CAST(usage_quantity % 6 AS INTEGER)) AS usage_start_time,
+             usage_end_time + to_months(CAST(usage_quantity % 6 AS INTEGER)) AS usage_end_time) FROM usage)
+           SELECT workspace_id, billing_origin_product, u.sku_name, sum(usage_quantity * default_price) AS list_cost
+           FROM long u JOIN list_prices p ON u.cloud = p.cloud AND u.sku_name = p.sku_name
              AND u.usage_start_time >= p.price_start_time
              AND (u.usage_end_time <= p.price_end_time OR p.price_end_time IS NULL) GROUP BY 1, 2, 3""",
     ),
 )
 def cost_list_price(spark, sf):
-    return m.cost_at_list_price(e.usage(spark, sf), e.list_prices(spark, sf), e.as_of())
+    return m.cost_at_list_price(e.long_usage(spark, sf), e.list_prices(spark, sf))
 
 
 @query(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import layout, merge, sinks
 from stratalake.operators.caching import LEVELS, kept
-from stratalake.operators.snapshots import SnapshotTable
+from stratalake.operators.keyed import KeyedParquet
 from stratalake.plans import loads
 from stratalake.queries import entities as e
 from stratalake.queries.entities import check
@@ -26,11 +26,36 @@ CUSTOMER_COLUMNS = columns("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_
 PART_COLUMNS = columns("p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE")
 
 
+def write_untidy_csv(df: DataFrame, key: str, path: str) -> None:
+    """Three folders of CSV files: columns in order, in reverse, and with one more in front."""
+    part = F.pmod(F.xxhash64(key), F.lit(3))
+    forms = (df.columns, df.columns[::-1], ["note", *df.columns])
+    for i, names in enumerate(forms):
+        rows = df.withColumn("note", F.lit("n, b")).where(part == i).select(*names)
+        rows.write.option("header", "true").csv(f"{path}/form={i}")
+
+
 @query("src_csv_schema", "SELECT * FROM customer")
 def src_csv_schema(spark, sf):
+    """Files with their columns in different orders, some with a column that is not known."""
     path = scratch_path(spark, "csv")
-    e.load(spark, sf, "customer").write.option("header", "true").csv(path)
-    return files.csv_with_schema(spark, path, CUSTOMER_COLUMNS)
+    write_untidy_csv(e.load(spark, sf, "customer"), "c_custkey", path)
+    return files.csv_with_schema(spark, f"{path}/*", CUSTOMER_COLUMNS)
+
+
+@query(
+    "src_csv_rescued",
+    """SELECT p_partkey, p_name, p_brand, p_type, CASE WHEN p_partkey % 50 <> 0 THEN p_size END AS p_size, p_retailprice,
+         p_partkey % 50 = 0 AS has_size_rescued FROM part""",
+)
+def src_csv_rescued(spark, sf):
+    """The same with sizes that are no numbers; what does not fit is kept by name."""
+    path, part = scratch_path(spark, "csv"), e.load(spark, sf, "part").select(*PART_COLUMNS.fieldNames())
+    size = F.when(F.col("p_partkey") % 50 == 0, "large").otherwise(F.col("p_size").cast("string"))
+    write_untidy_csv(part.withColumn("p_size", size), "p_partkey", path)
+    found = files.csv_rescued(spark, f"{path}/*", PART_COLUMNS)
+    held = F.coalesce(F.get_json_object("_rescued_data", "$.p_size") == "large", F.lit(False))
+    return found.withColumn("has_size_rescued", held).drop("_rescued_data")
 
 
 @query(
@@ -44,14 +69,14 @@ def src_csv_schema(spark, sf):
     ),
 )
 def src_csv_glob_cast(spark, sf):
-    """Orders as text two folder levels down, some with a total that is no number."""
+    """Orders as text two folder levels down, with columns in any order and some totals that
+    are no numbers."""
     base = scratch_path(spark, "staging")
     total = F.when(F.col("order_id") % 20 == 0, "n/a").otherwise(F.col("order_total").cast("string"))
     text = e.orders(spark, sf).select(
         "order_id", "customer_id", "order_date", total.alias("order_total"), F.trim("order_status").alias("order_status"),
-        F.year("order_date").alias("y"), F.lit("all").alias("m"),
     )
-    text.write.partitionBy("y", "m").option("header", "true").csv(f"{base}/orders")
+    write_untidy_csv(text, "order_id", f"{base}/orders/all")
     loaded = files.load_bronze(spark, "orders", base)
     return loaded.select(
         "order_id", "customer_id", "order_date", "order_total", "order_status",
@@ -223,11 +248,11 @@ def src_schema_drift(spark, sf):
 @query("snk_overwrite", "SELECT s_suppkey AS supplier_id, upper(s_name) AS supplier_name FROM supplier")
 def snk_overwrite(spark, sf):
     """A second write replaces rows and schema."""
-    table = SnapshotTable(spark, scratch_path(spark, "supplier"), ["supplier_id"], buckets=4)
+    path = scratch_path(spark, "supplier")
     first = e.load(spark, sf, "supplier").withColumnRenamed("s_suppkey", "supplier_id")
-    table.overwrite(first)
-    table.overwrite(table.read().select("supplier_id", F.upper("s_name").alias("supplier_name")))
-    return table.read()
+    first.write.mode("overwrite").parquet(path)
+    first.select("supplier_id", F.upper("s_name").alias("supplier_name")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 @query("snk_tempview", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
@@ -273,7 +298,7 @@ def tbl_merge(spark, sf):
 def tbl_merge_stored(spark, sf):
     """The same merge into a stored table."""
     target, source = _merge_sides(spark, sf)
-    table = SnapshotTable(spark, scratch_path(spark, "orders"), ["o_orderkey"], buckets=8)
+    table = KeyedParquet(spark, scratch_path(spark, "orders"), ["o_orderkey"])
     table.overwrite(target)
     table.merge(source)
     return table.read()
@@ -334,7 +359,7 @@ def inc_watermark_load(spark, sf):
     )
     turn = F.lit("1999-01-01").cast("timestamp")
     later = stored.withColumn("o_totalprice", F.when(F.col("updated_date") > turn, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
-    target = SnapshotTable(spark, f"{base}/target", ["o_orderkey"], buckets=8)
+    target = KeyedParquet(spark, f"{base}/target", ["o_orderkey"])
     marks = loads.Watermarks(spark, f"{base}/control")
     for step, source in enumerate([stored.where(F.col("updated_date") <= turn), later, later]):
         loads.incremental_load(
@@ -351,22 +376,27 @@ def inc_watermark_load(spark, sf):
 DAILY_LOAD = check(
     "raw_sales",
     """SELECT event_id, customer_id, quantity, unit_price, CAST(event_timestamp AS DATE) AS event_date,
-         CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS processing_date
+         CAST(CAST(event_timestamp AS DATE) + CASE WHEN CAST(event_id AS INTEGER) % 7 = 0 THEN 3 ELSE 0 END AS VARCHAR)
+           AS processing_date
        FROM raw_sales WHERE event_id IS NOT NULL AND customer_id IS NOT NULL AND quantity > 0 AND unit_price > 0
-         AND CAST(event_timestamp AS DATE) IN (DATE '2024-01-10', DATE '2024-01-11')""",
+         AND event_timestamp IS NOT NULL""",
 )
 
 
 @query("dq_gate", DAILY_LOAD)
 def dq_gate(spark, sf):
-    """Two days loaded through read, clean, validate and write; one of them twice."""
+    """Every day loaded through read, clean, validate and write, a seventh of the events three
+    days late; one day is loaded twice."""
     base = scratch_path(spark, "daily")
-    dated = e.raw_sales(spark, sf).withColumn("date", F.to_date("event_timestamp"))
+    late = F.when(F.col("event_id").cast("int") % 7 == 0, 3).otherwise(0)
+    dated = e.raw_sales(spark, sf).where("event_timestamp IS NOT NULL")
+    dated = dated.withColumn("date", F.date_add(F.to_date("event_timestamp"), late))
     sinks.write_partitioned(dated, f"{base}/in", "date")
-    for day in ("2024-01-10", "2024-01-11", "2024-01-10"):
+    days = [str(r[0]) for r in dated.select("date").distinct().orderBy("date").collect()]  # one row per day
+    for day in [*days, days[len(days) // 2]]:
         loads.run_daily_sales(spark, f"{base}/in", f"{base}/out", day)
     return spark.read.parquet(f"{base}/out").select(
-        "event_id", "customer_id", "quantity", "unit_price", "event_date", "processing_date"
+        "event_id", "customer_id", "quantity", "unit_price", "event_date", F.col("processing_date").cast("string").alias("processing_date")
     )
 
 

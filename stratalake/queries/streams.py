@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.operators.snapshots import SnapshotTable
+from stratalake.operators.keyed import KeyedParquet
 from stratalake.plans.medallion import checked_orders
 from stratalake.queries import entities as e
 from stratalake.queries.checks import ORDERS_SILVER
@@ -13,14 +13,16 @@ from stratalake.queries.entities import check, order_status
 from stratalake.queries.filters import ALERT_SQL, MESSAGE_SQL, SEVERITY_SQL
 from stratalake.queries.registry import query
 from stratalake.queries.storage import (
+    CUSTOMER_COLUMNS,
     RESCUE_COLUMNS,
     RESCUED_SQL,
     SCD1,
     line_changes,
     rescued_fields,
     untidy_json,
+    write_untidy_csv,
 )
-from stratalake.schemas import DEVICE_PAYLOAD, ORDERS, columns
+from stratalake.schemas import DEVICE_PAYLOAD, ORDERS, schema_for
 from stratalake.session import scratch_path
 from stratalake.sources import bus, files
 from stratalake.streaming import devices, jobs
@@ -32,6 +34,16 @@ def table_stream(spark, sf, table: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf}/{table}.parquet*")
 
 
+def scattered_stream(spark, sf, table: str, by: str) -> DataFrame:
+    """A stream over the whole table in at least three micro-batches of unordered rows."""
+    path = scratch_path(spark, "scattered")
+    part = F.pmod(F.xxhash64(by), F.lit(4)).cast("int")
+    e.load(spark, sf, table).withColumn("part", part).repartition(4, "part").drop("part").write.option(
+        "maxRecordsPerFile", 20_000_000
+    ).parquet(path)
+    return files.stream_parquet(spark, path, files_per_batch=1)
+
+
 def run(stream: DataFrame, name: str) -> DataFrame:
     base = scratch_path(stream.sparkSession, name)
     return jobs.drain(stream, f"{base}/out", f"{base}/checkpoint")
@@ -108,8 +120,9 @@ def src_stream_files_csv(spark, sf):
         F.col("o_totalprice").alias("order_total"),
         F.col("o_orderpriority").alias("priority"),
     )
-    orders.write.option("header", "true").csv(f"{base}/in")
-    return run(files.stream_csv_inferred(spark, f"{base}/in", f"{base}/schema"), "csv-out")
+    write_untidy_csv(orders, "order_id", f"{base}/in")
+    where = (f"{base}/in/*", f"{base}/out", f"{base}/checkpoint")
+    return jobs.load_csv(spark, *where, store=f"{base}/schema", files_per_batch=2).drop("note")
 
 
 @query(
@@ -125,11 +138,13 @@ def src_stream_files_csv_fixed(spark, sf):
     base = scratch_path(spark, "bronze")
     known = e.orders(spark, sf).withColumn("days_since_last_purchase", F.lit(1)).drop("total_amount")
     text = known.withColumnRenamed("order_total", "total_amount")
-    text.select(*ORDERS.fieldNames()).write.option("header", "true").csv(f"{base}/orders")
-    loaded = run(files.stream_bronze(spark, "orders", base), "bronze-out")
+    write_untidy_csv(text.select(*ORDERS.fieldNames()), "order_id", f"{base}/orders")
+    where = (f"{base}/orders/*", f"{base}/out", f"{base}/checkpoint")
+    loaded = jobs.load_csv(spark, *where, schema=schema_for("orders"), rescue=True, audit=True)
+    other = F.when(F.col("_rescued_data") != '{"note":"n, b"}', F.col("_rescued_data"))
     return loaded.select(
         *ORDERS.fieldNames(),
-        "_rescued_data",
+        other.alias("_rescued_data"),
         F.col("source_file").isNotNull().alias("has_file"),
         F.col("bronze_loaded_ts_utc").isNotNull().alias("has_time"),
     )
@@ -187,13 +202,11 @@ def stm_output_append(spark, sf):
 
 @query("snk_copy_into", "SELECT * FROM customer")
 def snk_copy_into(spark, sf):
-    """Loaded twice with one checkpoint: each file counts once."""
+    """Loaded twice with one checkpoint: each file counts once. Headers differ between files."""
     base = scratch_path(spark, "copy")
-    source = e.load(spark, sf, "customer")
-    source.write.option("header", "true").csv(f"{base}/in")
-    schema = columns("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING")
+    write_untidy_csv(e.load(spark, sf, "customer"), "c_custkey", f"{base}/in")
     for _ in range(2):
-        loaded = jobs.copy_into(files.stream_csv(spark, f"{base}/in", schema), f"{base}/out", f"{base}/checkpoint")
+        loaded = jobs.load_csv(spark, f"{base}/in/*", f"{base}/out", f"{base}/checkpoint", schema=CUSTOMER_COLUMNS)
     return loaded
 
 
@@ -314,8 +327,8 @@ def stm_dedup_bounded(spark, sf):
 # -- orders ----------------------------------------------------------------
 
 
-def _order_stream(spark, sf):
-    return table_stream(spark, sf, "orders").select(
+def _order_stream(spark, sf, stream=None):
+    return (table_stream(spark, sf, "orders") if stream is None else stream).select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").cast("timestamp").alias("order_date"),
@@ -326,7 +339,9 @@ def _order_stream(spark, sf):
 
 @query("pipe_orders_silver_stream", check("ord", ORDERS_SILVER))
 def pipe_orders_silver_stream(spark, sf):
-    return run(jobs.orders_stream(_order_stream(spark, sf)), "orders-silver")
+    """The order table in several batches, dates mixed: every first copy is kept."""
+    batches = scattered_stream(spark, sf, "orders", "o_orderkey")
+    return run(jobs.orders_stream(_order_stream(spark, sf, batches)), "orders-silver")
 
 
 GEO_STREAM = check(
@@ -374,8 +389,8 @@ def join_stream_static(spark, sf):
 def cdc_scd1_stream(spark, sf):
     """The change feed of `cdc_scd1` applied by micro-batches into a stored table."""
     base = scratch_path(spark, "cdc")
-    target = SnapshotTable(spark, f"{base}/lines", ["l_orderkey", "l_linenumber"], buckets=8)
-    feed = line_changes(table_stream(spark, sf, "lineitem"))
+    target = KeyedParquet(spark, f"{base}/lines", ["l_orderkey", "l_linenumber"])
+    feed = line_changes(scattered_stream(spark, sf, "lineitem", "l_partkey"))
     rules = {"has_order": "l_orderkey IS NOT NULL", "has_line": "l_linenumber IS NOT NULL"}
     jobs.change_stream(feed, target, "seq", f"{base}/checkpoint", rules).awaitTermination()
     return jobs.current_rows(target, ["seq"])

@@ -2,36 +2,115 @@
 
 from __future__ import annotations
 
+import csv
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.functions.scalars import cast_to
 from stratalake.operators.sinks import add_bronze_audit_cols
-from stratalake.schemas import BRONZE_CASTS, RAW_SALES, schema_for
+from stratalake.schemas import BRONZE_CASTS, RAW_SALES
 
-RESCUED = "_rescued_data"
+RESCUED, BROKEN_LINE = "_rescued_data", "__broken_line"
+#: Files whose header is read at once.
+HEADER_THREADS = 16
 
 
 def with_rescue_column(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
 
 
-def csv_with_schema(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.option("header", "true").schema(schema).csv(path)
+def first_lines(spark: SparkSession, names: list[str]) -> dict[str, str | None]:
+    """The first line of each file, by Hadoop's file systems; nothing else is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(name: str) -> str | None:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        stream = path.getFileSystem(conf).open(path)
+        codec = codecs.getCodec(path)
+        stream = stream if codec is None else codec.createInputStream(stream)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        return dict(zip(names, pool.map(first, names)))
+
+
+def listed(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The files behind a path, a pattern or a list of them."""
+    names = spark.read.schema("value STRING").text(path).inputFiles()
+    return sorted(spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(n)).toString() for n in names)
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header line; an empty or repeated name gets its position."""
+    names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([line]))]
+    seen: set[str] = set()
+    for i, n in enumerate(names):
+        if not n or n.lower() in seen:
+            names[i] = f"{n}_c{i}"
+        seen.add(names[i].lower())
+    return names
+
+
+def csv_by_name(spark: SparkSession, path: str | list[str], schema: T.StructType, rescue: bool = False) -> DataFrame:
+    """CSV whose columns are found by the header of each file, in any order; `_metadata` last.
+
+    One read per distinct header line. A column that a file lacks is NULL, and so is a value
+    that does not fit its type. With `rescue`, unknown columns and values that do not fit are
+    kept as JSON in `_rescued_data`, and a line with more or fewer values than its header whole.
+    """
+    groups: dict[str, list[str]] = {}
+    for name, line in first_lines(spark, listed(spark, path)).items():
+        if line:
+            groups.setdefault(line, []).append(name)
+    out = None
+    for line, names in sorted(groups.items()):
+        found = _csv_of_header(spark, names, header_names(line), schema, rescue)
+        out = found if out is None else out.unionByName(found)
+    if out is not None:
+        return out
+    empty = spark.read.schema(with_rescue_column(schema) if rescue else schema).csv(path)
+    return empty.where("false").select("*", "_metadata")
+
+
+def _csv_of_header(spark, names: list[str], header: list[str], schema: T.StructType, rescue: bool) -> DataFrame:
+    text = T.StructType([T.StructField(h, T.StringType()) for h in [*header, BROKEN_LINE]])
+    options = {"header": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN_LINE, "columnPruning": "false"}
+    raw = spark.read.options(**options).schema(text).csv(names)
+    here = {h.lower(): F.col(f"`{h}`") for h in header}
+    typed = {f.name: here[f.name.lower()].try_cast(f.dataType) for f in schema.fields if f.name.lower() in here}
+    columns = [typed.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+    if rescue:
+        known = {f.name.lower(): f.name for f in schema.fields}
+        kept = [
+            x
+            for h in header
+            for x in (
+                F.lit(known.get(h.lower(), h)),
+                F.when(typed[known[h.lower()]].isNull(), here[h.lower()]) if h.lower() in known else here[h.lower()],
+            )
+        ]
+        odd = F.map_filter(F.create_map(*kept), lambda k, v: v.isNotNull())
+        rescued = F.when(F.col(BROKEN_LINE).isNotNull(), F.col(BROKEN_LINE)).when(F.size(odd) > 0, F.to_json(odd))
+        columns.append(rescued.alias(RESCUED))
+    return raw.select(*columns, "_metadata")
 
 
-def text_only(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+def csv_with_schema(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return csv_by_name(spark, path, schema).drop("_metadata")
 
 
 def csv_cast(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
-    """All columns read as text and cast one by one; a value that does not fit is NULL."""
-    raw = spark.read.option("header", "true").schema(text_only(schema)).csv(pattern)
-    return raw.select(*cast_to(schema), "_metadata")
+    """Columns by name, cast one by one; a value that does not fit is NULL."""
+    return csv_by_name(spark, pattern, schema)
 
 
 def load_bronze(spark: SparkSession, table: str, base: str) -> DataFrame:
@@ -74,14 +153,8 @@ def dated_partition(
 
 
 def csv_rescued(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a fixed schema; a line that does not fit is kept whole in `_rescued_data`."""
-    return (
-        spark.read.option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RESCUED)
-        .schema(with_rescue_column(schema))
-        .csv(path)
-    )
+    """CSV with a fixed schema, columns by name, and what does not fit in `_rescued_data`."""
+    return csv_by_name(spark, path, schema, rescue=True).drop("_metadata")
 
 
 def rescue_json(lines: DataFrame, text: str, schema: T.StructType) -> DataFrame:
@@ -138,18 +211,32 @@ def parquet_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def pinned_schema(spark: SparkSession, path: str, file_format: str, store: str, **options: str) -> T.StructType:
-    """The schema of a feed: inferred once from the files present, then kept at `store`."""
+def feed_schema(spark: SparkSession, path: str | list[str], store: str) -> T.StructType:
+    """The schema of a CSV feed: inferred from its first files and kept at `store`. When files
+    with new column names turn up, those columns are inferred and added at the end; a type
+    that was chosen stays."""
     try:
-        kept = spark.read.schema("value STRING").text(store).first()
+        kept = spark.read.schema("version INT, value STRING").json(store).orderBy(F.desc("version")).first()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         kept = None
-    if kept is not None:
-        return T.StructType.fromJson(json.loads(kept["value"]))
-    schema = spark.read.format(file_format).options(**options).option("inferSchema", "true").load(path).schema
-    spark.createDataFrame([(schema.json(),)], "value STRING").coalesce(1).write.mode("overwrite").text(store)
+    schema = T.StructType.fromJson(json.loads(kept["value"])) if kept else T.StructType([])
+    known = {f.name.lower() for f in schema.fields}
+    new: dict[str, T.StructField] = {}
+    groups: dict[str, list[str]] = {}
+    for name, line in first_lines(spark, listed(spark, path)).items():
+        if line and {h.lower() for h in header_names(line)} - known:
+            groups.setdefault(line, []).append(name)
+    for line, names in sorted(groups.items()):
+        found = spark.read.option("header", "true").option("inferSchema", "true").csv(names).schema
+        for name, field in zip(header_names(line), found.fields):
+            if name.lower() not in known:
+                new.setdefault(name.lower(), T.StructField(name, field.dataType))
+    if new:
+        schema = T.StructType([*schema.fields, *new.values()])
+        line = [((kept["version"] if kept else 0) + 1, schema.json())]
+        spark.createDataFrame(line, "version INT, value STRING").coalesce(1).write.mode("append").json(store)
     return schema
 
 
@@ -157,24 +244,17 @@ def pinned_schema(spark: SparkSession, path: str, file_format: str, store: str,
 
 
 def stream_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.option("header", "true").schema(schema).csv(path)
-
+    """CSV stream with columns by position; a file whose header differs from the schema stops
+    it. `streaming.jobs.load_csv` takes columns by name."""
+    return spark.readStream.option("header", "true").option("enforceSchema", "false").schema(schema).csv(path)
 
-def stream_csv_inferred(spark: SparkSession, path: str, store: str) -> DataFrame:
-    """CSV stream whose column types were inferred once and pinned at `store`."""
-    return stream_csv(spark, path, pinned_schema(spark, path, "csv", store, header="true"))
 
-
-def stream_bronze(spark: SparkSession, table: str, base: str) -> DataFrame:
-    """Registry-schema CSV stream with rescue and audit columns."""
-    stream = (
-        spark.readStream.option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", RESCUED)
-        .schema(with_rescue_column(schema_for(table)))
-        .csv(f"{base.rstrip('/')}/{table}/")
-    )
-    return add_bronze_audit_cols(stream)
+def stream_file_names(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """The names of the files of a folder as they arrive; the files are not opened."""
+    reader = spark.readStream.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length LONG, content BINARY")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(path).select("path")
 
 
 def stream_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -21,7 +21,7 @@ class RestPagesReader(DataSourceReader):
     def __init__(self, options):
         self.urls = json.loads(options["urls"])
         self.timeout = float(options.get("timeout", "10"))
-        self.on_error = options.get("on_error", "empty")
+        self.on_error = options.get("on_error", "fail")
 
     def partitions(self):
         return [Page(u) for u in self.urls]
@@ -42,8 +42,8 @@ class RestPagesReader(DataSourceReader):
 class RestPages(DataSource):
     """`option("urls", json list)`; yields each record as JSON text with its fetch time.
 
-    `on_error` = `empty` (a failed page yields nothing) or `fail` (the job fails and
-    Spark's task retry applies).
+    `on_error` = `fail` (the default: the job fails after Spark's task retries) or `empty`
+    (a failed page yields nothing).
     """
 
     @classmethod
@@ -57,7 +57,7 @@ class RestPages(DataSource):
         return RestPagesReader(self.options)
 
 
-def pages(spark: SparkSession, urls: list[str], schema: T.StructType, on_error: str = "empty") -> DataFrame:
+def pages(spark: SparkSession, urls: list[str], schema: T.StructType, on_error: str = "fail") -> DataFrame:
     """Records of all pages, parsed with an explicit schema."""
     spark.dataSource.register(RestPages)
     raw = spark.read.format("rest_pages").option("urls", json.dumps(urls)).option("on_error", on_error).load()

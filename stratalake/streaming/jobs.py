@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from stratalake.operators.keyed import KeyedParquet
 from stratalake.operators.quality import expect_all_or_fail
-from stratalake.operators.snapshots import SnapshotTable
+from stratalake.operators.sinks import add_bronze_audit_cols
 from stratalake.plans.medallion import checked_customers, checked_orders
 from stratalake.plans.sales_metrics import geographic_sales
+from stratalake.sources import files
 
 ORDER_LATENESS = "1 day"
 
@@ -44,6 +47,39 @@ def drain(stream: DataFrame, path: str, checkpoint: str, name: str | None = None
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def load_csv(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    checkpoint: str,
+    schema: T.StructType | None = None,
+    store: str | None = None,
+    rescue: bool = False,
+    audit: bool = False,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Load each CSV file of a folder exactly once, columns by the header of the file.
+
+    With a `schema` the columns are fixed; with a `store` they are inferred, and the feed
+    may grow new ones. A micro-batch writes a folder of its own, which a repeated one replaces.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        names = sorted(r[0] for r in batch.distinct().collect())  # file names of one micro-batch
+        if not names:
+            return
+        columns = schema if schema is not None else files.feed_schema(session, names, store)
+        rows = files.csv_by_name(session, names, columns, rescue)
+        rows = add_bronze_audit_cols(rows) if audit else rows
+        rows.drop("_metadata").write.mode("overwrite").parquet(f"{out}/load={batch_id}")
+
+    stream = files.stream_file_names(spark, path, files_per_batch)
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.option("mergeSchema", "true").parquet(out).drop("load")
+
+
 def copy_into(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Load each source file exactly once, however often it is called."""
     return drain(stream, path, checkpoint)
@@ -73,13 +109,20 @@ def drop_duplicates_within(stream: DataFrame, keys: list[str], time: str, delay:
 # -- orders ----------------------------------------------------------------
 
 
-def orders_stream(orders: DataFrame, observe: str | None = None, delay: str | None = ORDER_LATENESS) -> DataFrame:
-    """Checked orders; copies of an order are dropped within the delay (None: for ever)."""
+def orders_stream(
+    orders: DataFrame, observe: str | None = None, delay: str | None = None, arrival: str = "arrived_at"
+) -> DataFrame:
+    """Checked orders, the first copy of each, whatever its date or batch.
+
+    The state holds every order id: run it with `session.LARGE_STATE`. With `delay`, copies
+    are only dropped within that span of the `arrival` column, the time at which a row
+    reached the feed; it never goes back, so no first copy is late.
+    """
     dated = orders.withColumn("order_date", F.to_timestamp("order_date"))
     if delay is None:
         unique = drop_duplicates_forever(dated, ["order_id"])
     else:
-        unique = drop_duplicates_within(dated, ["order_id"], "order_date", delay)
+        unique = drop_duplicates_within(dated, ["order_id"], arrival, delay)
     return checked_orders(unique, observe)
 
 
@@ -98,7 +141,7 @@ def geographic_stream(orders: DataFrame, customers: DataFrame, delay: str = ORDE
 
 def change_stream(
     changes: DataFrame,
-    target: SnapshotTable,
+    target: KeyedParquet,
     sequence_by: str,
     checkpoint: str,
     rules: dict[str, str] | None = None,
@@ -107,23 +150,16 @@ def change_stream(
 ) -> StreamingQuery:
     """Apply a change feed, keeping the newest row per key.
 
-    A micro-batch rewrites only the key buckets it touches. The batch number is stored as
-    the tag of the new version, so a replayed batch is skipped. A broken rule fails the
-    batch before anything is stored. The sequence column is always kept in the target: it
+    A micro-batch rewrites only the key buckets it touches. The highest sequence wins, so a
+    batch that is replayed or comes late or from another feed does no harm. A broken rule
+    fails the batch before anything is stored. The sequence column is always kept in the target: it
     is what later batches are compared with (drop it with `current_rows`).
     """
     drop = [c for c in except_columns if c != sequence_by]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        tag = f"{name}-{batch_id}"
-        if target.has_tag(tag):
-            return
         rows = expect_all_or_fail(batch, rules) if rules else batch
-        rows = rows.drop(*drop).persist()
-        try:
-            target.apply_changes(rows, sequence_by, tag)
-        finally:
-            rows.unpersist()
+        target.apply_changes(rows.drop(*drop), sequence_by)
 
     return (
         changes.writeStream.queryName(name)
@@ -134,5 +170,5 @@ def change_stream(
     )
 
 
-def current_rows(target: SnapshotTable, except_columns: list[str] = ()) -> DataFrame:
+def current_rows(target: KeyedParquet, except_columns: list[str] = ()) -> DataFrame:
     return target.read().drop(*except_columns)

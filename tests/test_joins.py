@@ -71,13 +71,7 @@ USAGE += [("B", datetime(2024, 1, 4), datetime(2024, 1, 4, 12)), ("B", datetime(
 def test_validity_join(spark, by_month, closed):
     usage = spark.createDataFrame(USAGE, "sku STRING, begins TIMESTAMP, ends TIMESTAMP")
     prices = spark.createDataFrame(PRICES, "sku STRING, start_at TIMESTAMP, end_at TIMESTAMP, price DOUBLE")
-    months = {}
-    if by_month:
-        last = F.coalesce("end_at", F.lit("2024-06-01").cast("timestamp"))
-        months = {
-            "month_of": F.date_trunc("month", "begins"),
-            "month_range": (F.date_trunc("month", "start_at"), F.date_trunc("month", last)),
-        }
+    months = {"month_of": F.date_trunc("month", "begins")} if by_month else {}
     got = joins.validity_join(
         usage, prices, ["sku"], F.col("begins"), F.col("start_at"), F.col("end_at"),
         ends_before=F.col("ends") if closed else None, **months,
@@ -124,3 +118,17 @@ def test_skew_report(spark):
     assert rows(skew.top_keys(fact, "customer_id", 2), F.desc("order_count"), "customer_id") == [(1, 900), (2, 1)]
     empty = skew.skew_report(fact.where("FALSE"), "customer_id").first()
     assert empty["skew_ratio"] == 0.0 and not empty["is_skewed"]
+
+
+def test_open_prices_reach_as_far_as_the_usage(spark):
+    from stratalake.plans.monitoring import cost_at_list_price
+
+    usage = spark.createDataFrame(
+        [("c", "s", "w", "p", datetime(2024, m, 5), datetime(2024, m, 6), 1.0) for m in (1, 2, 3)],
+        "cloud STRING, sku_name STRING, workspace_id STRING, billing_origin_product STRING, usage_start_time TIMESTAMP, usage_end_time TIMESTAMP, usage_quantity DOUBLE",
+    )
+    prices = spark.createDataFrame(
+        [("c", "s", datetime(2023, 12, 1), None, (2.0,))],
+        "cloud STRING, sku_name STRING, price_start_time TIMESTAMP, price_end_time TIMESTAMP, pricing STRUCT<default: DOUBLE>",
+    )
+    assert [r["list_cost"] for r in cost_at_list_price(usage, prices).collect()] == [6.0]

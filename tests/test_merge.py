@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from stratalake.operators import merge
-from stratalake.operators.snapshots import SnapshotTable
+from stratalake.operators.keyed import KeyedParquet
 from stratalake.plans import loads
 
 
@@ -41,47 +41,51 @@ def test_changes_late_rows_lose(spark):
     assert rows(got) == [(1, "a-tie"), (2, "only")]
 
 
-def test_snapshot_versions_and_untouched_buckets(spark, path):
-    table = SnapshotTable(spark, f"{path}/t", ["id"], buckets=16)
-    assert not table.exists() and table.version() == -1
+def test_bucket_count_is_stored_and_untouched_buckets_stay(spark, path):
+    table = KeyedParquet(spark, f"{path}/t", ["id"], bucket_bytes=100)
+    assert not table.exists()
     table.overwrite(frame(spark, [(i, "old") for i in range(200)]))
-    table.merge(frame(spark, [(7, "new"), (1000, "added")]))
-    assert table.read().count() == 201 and table.read(0).count() == 200
+    stored = spark.read.parquet(f"{path}/t")
+    files = {f for f in stored.inputFiles()}
+    assert stored.select("key_buckets").distinct().count() == 1 and stored.select("key_bucket").distinct().count() > 4
+    # another handle with another idea of the bucket size
+    KeyedParquet(spark, f"{path}/t", ["id"]).merge(frame(spark, [(7, "new"), (1000, "added")]))
+    assert table.read().count() == 201
     assert rows(table.read().where("v <> 'old'")) == [(1000, "added"), (7, "new")]
-    kept = [v for _, v in table._head()["layout"] if v == 0]
-    assert len(kept) >= 14, "a merge of two keys rewrites at most two buckets"
+    assert len(files - set(spark.read.parquet(f"{path}/t").inputFiles())) <= 2, "two keys are in two buckets at most"
 
 
-def test_snapshot_replay_and_unfinished_write(spark, path):
-    table = SnapshotTable(spark, f"{path}/t", ["id"], buckets=4)
-    table.merge(frame(spark, [(1, "a")]), tag="b0")
-    table.merge(frame(spark, [(1, "changed")]), tag="b0")
-    assert rows(table.read()) == [(1, "a")] and table.version() == 0
-    # files of a job that died before its log line are ignored and then replaced
-    frame(spark, [(9, "lost")]).withColumn("bucket", F.lit(1)).write.partitionBy("bucket").parquet(f"{path}/t/v=1")
-    assert rows(table.read()) == [(1, "a")]
-    table.merge(frame(spark, [(2, "b")]), tag="b1")
-    assert rows(table.read()) == [(1, "a"), (2, "b")]
+def test_a_source_that_changes_while_it_is_read(spark, path):
+    table = KeyedParquet(spark, f"{path}/t", ["id"], bucket_bytes=2000)
+    table.overwrite(frame(spark, [(i, "old") for i in range(1000)]))
+    frame(spark, [(5, "x")]).write.parquet(f"{path}/growing")
+    source = spark.read.schema("id INT, v STRING").parquet(f"{path}/growing")
+    random = source.withColumn("id", (F.rand() * 1000).cast("int"))  # another key per evaluation
+    for _ in range(3):
+        table.merge(random)
+    assert table.read().count() == 1000 and 1 <= table.read().where("v = 'x'").count() <= 3
 
 
-def test_snapshot_evolution_duplicates_and_key_types(spark, path):
-    table = SnapshotTable(spark, f"{path}/t", ["id"], buckets=4)
+def test_merge_evolution_duplicates_and_key_types(spark, path):
+    table = KeyedParquet(spark, f"{path}/t", ["id"])
     table.overwrite(frame(spark, [(1, "a"), (2, "b")]))
-    table.merge(frame(spark, [(2, "B", 5)], "id BIGINT, v STRING, extra INT"))
+    table.merge(frame(spark, [(2, "B", 5)], "id INT, v STRING, extra INT"))
     assert rows(table.read()) == [(1, "a", None), (2, "B", 5)]
     with pytest.raises(merge.DuplicateSourceKeys):
         table.merge(frame(spark, [(1, "x"), (1, "y")]))
-    table.overwrite(frame(spark, [], "id INT, other STRING"))
-    assert table.read().count() == 0 and table.read().columns == ["id", "other"]
+    table.overwrite(frame(spark, [(3, "c")], "id INT, other STRING"))
+    assert table.read().columns == ["id", "other"]
     table.merge(frame(spark, [(4, "d")], "id INT, other STRING"))
-    assert rows(table.read()) == [(4, "d")]
+    assert rows(table.read()) == [(3, "c"), (4, "d")]
 
 
-def test_snapshot_changes_across_batches(spark, path):
-    table = SnapshotTable(spark, f"{path}/t", ["id"], buckets=4)
+def test_changes_across_batches_feeds_and_replays(spark, path):
+    table = KeyedParquet(spark, f"{path}/t", ["id"])
     schema = "id INT, seq INT, v STRING"
-    table.apply_changes(frame(spark, [(1, 5, "five"), (2, 1, "one")], schema), "seq", "0")
-    table.apply_changes(frame(spark, [(1, 4, "late"), (2, 2, "two"), (3, 1, "n")], schema), "seq", "1")
+    first = frame(spark, [(1, 5, "five"), (2, 1, "one")], schema)
+    table.apply_changes(first, "seq")
+    table.apply_changes(frame(spark, [(1, 4, "late"), (2, 2, "two"), (3, 1, "n")], schema), "seq")
+    table.apply_changes(first, "seq")
     assert rows(table.read().drop("seq")) == [(1, "five"), (2, "two"), (3, "n")]
 
 
@@ -93,7 +97,7 @@ def run_load(spark, path, data, step, overlap=timedelta(0)):
     return loads.incremental_load(
         "sales.orders",
         lambda after: source.where(F.col("updated_date") > F.lit(after)),
-        SnapshotTable(spark, f"{path}/orders", ["order_id"], buckets=2),
+        KeyedParquet(spark, f"{path}/orders", ["order_id"]),
         loads.Watermarks(spark, f"{path}/control"),
         "updated_date",
         f"{path}/staging-{step}",
@@ -107,7 +111,7 @@ def test_incremental_load(spark, path):
     assert run_load(spark, path, data, 1)["rows"] == 0
     data += [(1, 11.0, T0 + timedelta(hours=2)), (3, 30.0, T0 + timedelta(hours=3))]
     assert run_load(spark, path, data, 2) == {"rows": 2, "watermark": T0 + timedelta(hours=3)}
-    target = SnapshotTable(spark, f"{path}/orders", ["order_id"]).read().select("order_id", "amount")
+    target = KeyedParquet(spark, f"{path}/orders", ["order_id"]).read().select("order_id", "amount")
     assert rows(target) == [(1, 11.0), (2, 20.0), (3, 30.0)]
 
 
@@ -118,7 +122,7 @@ def test_incremental_load_overlap_catches_late_commits(spark, path):
     assert run_load(spark, path, data, 1)["rows"] == 0
     late = run_load(spark, path, data, 2, overlap=timedelta(hours=2))
     assert late == {"rows": 2, "watermark": T0 + timedelta(hours=2)}
-    assert SnapshotTable(spark, f"{path}/orders", ["order_id"]).read().count() == 2
+    assert KeyedParquet(spark, f"{path}/orders", ["order_id"]).read().count() == 2
 
 
 def test_a_run_that_dies_before_the_watermark_is_repeatable(spark, path, monkeypatch):
@@ -128,4 +132,4 @@ def test_a_run_that_dies_before_the_watermark_is_repeatable(spark, path, monkeyp
         run_load(spark, path, data, 0)
     monkeypatch.undo()
     assert run_load(spark, path, data, 1)["rows"] == 1
-    assert SnapshotTable(spark, f"{path}/orders", ["order_id"]).read().count() == 1
+    assert KeyedParquet(spark, f"{path}/orders", ["order_id"]).read().count() == 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratalake.operators import sinks
 from stratalake.schemas import ORDERS, REST_POSTS, REST_USERS, TABLE_SCHEMAS, columns, schema_for
 from stratalake.sources import files, jdbc, rest, synthetic
+from stratalake.streaming import jobs
 
 DERBY = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 
@@ -36,7 +37,37 @@ def test_csv_rescue(spark, path):
     write(f"{path}/in/a.csv", "id,n\n1,5\n2,five\n3,6,extra\n")
     got = files.csv_rescued(spark, f"{path}/in", columns("id INT, n INT"))
     by_id = {r["id"]: r["_rescued_data"] for r in got.collect()}
-    assert by_id == {1: None, 2: "2,five", 3: "3,6,extra"}
+    assert by_id == {1: None, 2: '{"n":"five"}', 3: "3,6,extra"}
+
+
+def test_csv_columns_are_found_by_name(spark, path):
+    """Moved, missing, unknown, repeated and oddly written columns; an empty file; a space in a name."""
+    write(f"{path}/in/a.csv", "id,n,s\n1,5,x\n")
+    write(f"{path}/in/b b.csv", "s,id,n\ny,2,6\n")
+    write(f"{path}/in/c.csv", '\ufeffN,ID,"more, of it",more,more\n7,3,q,r,t\n')
+    write(f"{path}/in/d.csv", "")
+    schema = columns("id INT, n INT, s STRING")
+    assert rows(files.csv_with_schema(spark, f"{path}/in", schema)) == sorted([(1, 5, "x"), (2, 6, "y"), (3, 7, None)], key=repr)
+    held = files.csv_rescued(spark, f"{path}/in", schema).where("id = 3").first()["_rescued_data"]
+    assert json.loads(held) == {"more, of it": "q", "more": "r", "more_c4": "t"}
+
+
+def test_csv_feed_over_deliveries(spark, path):
+    """Each delivery once, columns by name, new columns added, chosen types kept."""
+    load = lambda: jobs.load_csv(spark, f"{path}/in", f"{path}/out", f"{path}/c", store=f"{path}/schema")
+    write(f"{path}/in/a.csv", "id,n\n1,5\n")
+    assert rows(load().select("id", "n")) == [(1, 5)]
+    write(f"{path}/in/b.csv", "n,id\n6,2\n")
+    write(f"{path}/in/c.csv", "extra,id,n\ne,3,seven\n")
+    assert rows(load().select("id", "n", "extra")) == sorted([(1, 5, None), (2, 6, None), (3, None, "e")], key=repr)
+    assert load().count() == 3
+
+
+def test_positional_csv_stream_refuses_a_foreign_header(spark, path):
+    write(f"{path}/in/a.csv", "n,id\n5,1\n")
+    stream = files.stream_csv(spark, f"{path}/in", columns("id INT, n INT"))
+    with pytest.raises(Exception, match="reading file"):
+        jobs.drain(stream, f"{path}/out", f"{path}/c")
 
 
 def test_json_rescue(spark, path):
@@ -68,12 +99,14 @@ def test_dated_partition(spark, path):
         files.dated_partition(spark, path, "2024-01-16", schema=schema)
 
 
-def test_pinned_schema_survives_new_columns(spark, path):
+def test_feed_schema_keeps_types_and_grows(spark, path):
     write(f"{path}/in/a.csv", "id,n\n1,5\n")
-    first = files.pinned_schema(spark, f"{path}/in", "csv", f"{path}/schema", header="true")
+    first = files.feed_schema(spark, f"{path}/in", f"{path}/schema")
     write(f"{path}/in/b.csv", "id,n\nx,y\n")
-    assert files.pinned_schema(spark, f"{path}/in", "csv", f"{path}/schema", header="true") == first
+    assert files.feed_schema(spark, f"{path}/in", f"{path}/schema") == first
     assert first.simpleString() == "struct<id:int,n:int>"
+    write(f"{path}/in/c.csv", "n,late,id\n1,2.5,3\n")
+    assert files.feed_schema(spark, f"{path}/in", f"{path}/schema").simpleString() == "struct<id:int,n:int,late:double>"
 
 
 def test_drift(spark):
@@ -151,9 +184,9 @@ def test_rest_pages(spark, path):
 
 def test_rest_failures(spark, path):
     gone = [f"file://{path}/missing.json"]
-    assert rest.pages(spark, gone, REST_POSTS).count() == 0
+    assert rest.pages(spark, gone, REST_POSTS, on_error="empty").count() == 0
     with pytest.raises(Exception, match="missing.json"):
-        rest.pages(spark, gone, REST_POSTS, on_error="fail").count()
+        rest.pages(spark, gone, REST_POSTS).count()
 
 
 # -- generators ------------------------------------------------------------
