@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.operators.joins import BROADCAST_ROWS, hot_keys
-from stratalake.operators.ranges import MAX_RANGES, range_of, sample_bounds
+from stratalake.operators.ranges import range_of, sample_bounds
+from stratalake.session import scratch_path
 
 KEY, DAY, ORDER, AMOUNT = "customer_id", "order_date", "order_id", "order_amount"
 HOT_ROWS = 5_000_000
@@ -74,15 +75,20 @@ def order_features(df: DataFrame, features: list[str] | None = None, hot_rows: i
     if n_hot == 0:
         return df.select("*", *[plain[f].alias(f) for f in wanted])
     keys = hot.select(KEY)
-    return _split_features(df, F.broadcast(keys) if n_hot <= BROADCAST_ROWS else keys, wanted, hot_rows)
+    out = _split_features(df, F.broadcast(keys) if n_hot <= BROADCAST_ROWS else keys, wanted, hot_rows)
+    # one schema, whether a customer is hot or not
+    kinds = df.limit(0).select(*[plain[f].alias(f) for f in wanted]).schema
+    return out.select(*df.columns, *[F.col(f.name).cast(f.dataType) for f in kinds])
 
 
 def _split_features(df: DataFrame, hot: DataFrame, wanted: list[str], hot_rows: int) -> DataFrame:
-    big = df.join(hot, KEY, "left_semi")
-    small = df.join(hot, KEY, "left_anti").select("*", *[plain_features()[f].alias(f) for f in wanted])
+    path = scratch_path(df.sparkSession, "hot-orders")
+    df.join(hot, KEY, "left_semi").select(*df.columns).write.parquet(path)  # read several times below
+    big = df.sparkSession.read.schema(df.schema).parquet(path)
+    small = df.join(hot, KEY, "left_anti").select(*df.columns, *[plain_features()[f].alias(f) for f in wanted])
 
     rows = big.count()
-    bounds = sample_bounds(big, [DAY, ORDER], min(MAX_RANGES, 2 + 4 * rows // hot_rows), rows)
+    bounds = sample_bounds(big, [DAY, ORDER], 2 + 4 * rows // hot_rows, rows)
     cut = big.withColumn("__r", range_of(big, [DAY, ORDER], bounds))
     w = Window.partitionBy(KEY, "__r").orderBy(F.col(DAY), F.col(ORDER))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -124,7 +130,7 @@ def _split_features(df: DataFrame, hot: DataFrame, wanted: list[str], hot_rows:
     is_first, is_last = F.col("__pos") == 1, F.col("__more").isNull()
     spent = F.when(
         F.col("__total").isNotNull() | F.col("__ltotal").isNotNull(),
-        F.coalesce(F.col("__total"), F.lit(0.0)) + F.coalesce(F.col("__ltotal"), F.lit(0.0)),
+        F.coalesce(F.col("__total"), F.lit(0)) + F.coalesce(F.col("__ltotal"), F.lit(0)),
     )
     prev_day = F.when(is_first, F.col(f"__prev.{DAY}")).otherwise(F.col("__lag_day"))
     values = {

@@ -72,8 +72,14 @@ def join_salted_selective(
     return salted_fact.join(salted_dim, [key, "__salt"], "inner").drop("__salt")
 
 
-def join_salted_full(fact: DataFrame, dim: DataFrame, key: str, salts: int = 10, how: str = "left") -> DataFrame:
-    """Every key salted; the dimension is replicated once per salt value."""
+def join_salted_full(fact: DataFrame, dim: DataFrame, key: str, salts: int | None = None, how: str = "left") -> DataFrame:
+    """Every key salted; the dimension is replicated once per salt value. By default there
+    are so many salts that the largest key spreads over shares like those of
+    `join_salted_selective`."""
+    if salts is None:
+        sizes = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
+        share = max(1000, (sizes[1] or 0) // (4 * shuffle_width(fact.sparkSession)))
+        salts = max(1, -(-(sizes[0] or 0) // share))
     salted_fact = fact.withColumn("__salt", salt_of(fact, salts))
     salted_dim = dim.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return salted_fact.join(salted_dim, [key, "__salt"], how).drop("__salt")

@@ -7,10 +7,11 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.operators.keyed import stored_bytes
 from stratalake.operators.ranges import range_of, sample_bounds
+from stratalake.session import scratch_path
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-Z_BITS = 8
 
 
 def hash_layout(df: DataFrame, parts: int, *cols: str) -> DataFrame:
@@ -77,7 +78,7 @@ def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TAR
     return file_count(spark, target)
 
 
-def z_value(ranks: list[str], bits: int = Z_BITS) -> Column:
+def z_value(ranks: list[str], bits: int) -> Column:
     """Bits of the ranks interleaved, first rank in the lowest place."""
     z = F.lit(0).cast("bigint")
     for bit in range(bits):
@@ -87,13 +88,14 @@ def z_value(ranks: list[str], bits: int = Z_BITS) -> Column:
     return z
 
 
-def cluster(df: DataFrame, cols: list[str], files: int, bits: int = Z_BITS) -> DataFrame:
+def cluster(df: DataFrame, cols: list[str], files: int) -> DataFrame:
     """Rows arranged so that each file covers a small range of every clustering column.
 
-    Each column is ranked by sampled bounds. The table is range-partitioned on the
+    Each column is ranked by sampled bounds, four ranks per file. The table is range-partitioned on the
     interleaved ranks plus the columns themselves, so a value that fills many files is cut
     by the other columns.
     """
+    bits = min(63 // len(cols), max(1, (4 * files - 1).bit_length()))  # a rank fits into its share of a long
     ranges = min(2**bits, max(2, 4 * files))
     rows = df.count()
     ranks = {f"__r{i}": range_of(df, [c], sample_bounds(df, [c], ranges, rows)) for i, c in enumerate(cols)}
@@ -114,9 +116,9 @@ def compact_partition(
     The new files are staged first and the partition is then replaced from the staged copy;
     the other partitions are not read. A run that dies in the swap leaves the staged copy.
     """
-    staging = staging or f"{path.rstrip('/')}_compact_{column}={value}"
-    files = files_for(spark, f"{path.rstrip('/')}/{column}={value}")
+    staging = staging or scratch_path(spark, "compact")
     rows = spark.read.parquet(path).where(F.col(column) == F.lit(value))
+    files = max(1, math.ceil(stored_bytes(rows) / TARGET_FILE_BYTES))
     rows.repartitionByRange(files, *sort_by).sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(staging)
     (
         spark.read.parquet(staging)

@@ -18,38 +18,44 @@ from pyspark.sql import types as T
 
 from stratalake.session import shuffle_width
 
-SAMPLE_PER_RANGE = 20
+SAMPLE_PER_RANGE = 50
 RANGES_PER_TASK = 3
-ROWS_PER_RANGE = 50_000
-MAX_RANGES = 8192
+#: A table gets no more ranges than it has this many rows, and no fewer than one per so many.
+ROWS_PER_RANGE, MOST_ROWS_PER_RANGE = 50_000, 5_000_000
 
 
-def sample_bounds(df: DataFrame, cols: list[str], ranges: int, rows: int | None = None) -> list[tuple]:
-    """At most `ranges - 1` ascending sort-key values that cut `df` into similar parts.
+def _cuts(df: DataFrame, cols: list[str], ranges: int, rows: int | None = None) -> list[tuple]:
+    """`ranges - 1` ascending sort-key values at even places of a sample; a key that is more
+    frequent than a range comes several times.
 
-    The driver receives a sample of about SAMPLE_PER_RANGE keys per range whatever the
-    size of the table. Any bounds give right results; only the balance depends on them.
+    The driver receives about SAMPLE_PER_RANGE keys per range whatever the size of the table.
     """
-    ranges = min(ranges, MAX_RANGES)
     keys = df.select(*cols)
     total = keys.count() if rows is None else rows
     want = SAMPLE_PER_RANGE * ranges
     if ranges < 2 or total == 0:
         return []
     sample = keys.sample(fraction=1.2 * want / total, seed=17) if total > 2 * want else keys
-    picked = sample.distinct().orderBy(*cols).limit(4 * want).collect() or keys.limit(want).distinct().orderBy(*cols).collect()
-    cuts = sorted({len(picked) * i // ranges for i in range(1, ranges)})
-    return [tuple(picked[i]) for i in cuts if i < len(picked)]
+    picked = sample.orderBy(*cols).collect()
+    places = sorted({len(picked) * i // ranges for i in range(1, ranges)})
+    return [tuple(picked[i]) for i in places if i < len(picked)]
+
+
+def sample_bounds(df: DataFrame, cols: list[str], ranges: int, rows: int | None = None) -> list[tuple]:
+    """At most `ranges - 1` different sort-key values that cut `df` into similar parts. Any
+    bounds give right results; only the balance depends on them."""
+    return list(dict.fromkeys(_cuts(df, cols, ranges, rows)))
 
 
-def _bounds(df: DataFrame, order: list[str], ranges: int | None) -> list[tuple]:
-    """Bounds for numbering: by default a few ranges per shuffle task, so that unequal
-    ranges even out, and none for a table that one task numbers at once."""
+def _wanted_ranges(df: DataFrame, ranges: int | None) -> tuple[int, int]:
+    """Number of ranges and of rows: by default a few ranges per shuffle task, so that unequal
+    ranges even out, more for a table whose ranges would get too long, and none for one that a
+    task numbers at once."""
+    rows = df.count()
     if ranges is not None:
-        return sample_bounds(df, order, ranges)
-    rows = df.select(*order).count()
-    enough = min(RANGES_PER_TASK * shuffle_width(df.sparkSession), -(-rows // ROWS_PER_RANGE))
-    return sample_bounds(df, order, enough, rows)
+        return ranges, rows
+    few = min(RANGES_PER_TASK * shuffle_width(df.sparkSession), -(-rows // ROWS_PER_RANGE))
+    return max(few, -(-rows // MOST_ROWS_PER_RANGE)), rows
 
 
 def range_of(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
@@ -100,26 +106,34 @@ def add_row_number(df: DataFrame, order: list[str], out: str, ranges: int | None
     """Global `row_number() over (order by order)` as BIGINT, without a one-task window.
 
     Rows are numbered inside each range; the start of a range is the running count of the
-    ranges before it, a table of at most MAX_RANGES rows.
+    ranges before it, a table of one row per range. Rows of a key that fills more than a range
+    are cut further by a hash of the row, which settles their order.
     """
-    bounds = _bounds(df, order, ranges)
-    if not bounds:
+    wanted, rows = _wanted_ranges(df.select(*order), ranges)
+    cuts = _cuts(df, order, wanted, rows)
+    if not cuts:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    return _number_ranges(df.withColumn("__range", range_of(df, order, bounds)), order, out)
+    if len(set(cuts)) == len(cuts):
+        return _numbered(df.withColumn("__range", range_of(df, order, cuts)), order, out, F.row_number())
+    tied = df.withColumn("__tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    by = [*order, "__tie"]
+    bounds = sample_bounds(tied, by, wanted, rows)
+    return _numbered(tied.withColumn("__range", range_of(tied, by, bounds)), by, out, F.row_number()).drop("__tie")
 
 
-def _number_ranges(cut: DataFrame, order: list[str], out: str) -> DataFrame:
+def _numbered(cut: DataFrame, order: list[str], out: str, number: Column, count_first: bool = True) -> DataFrame:
+    """Numbers inside the ranges plus the highest numbers of the ranges before: one exchange by
+    range, which both sides of the closing join read."""
     part, inner, start, n = "__range", "__inner", "__start", "__n"
+    inside = cut.withColumn(inner, number.over(Window.partitionBy(part).orderBy(*order)))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        cut.groupBy(part)
-        .agg(F.count(F.lit(1)).alias(n))
-        .select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
-    )
-    numbered = cut.withColumn(inner, F.row_number().over(Window.partitionBy(part).orderBy(*order)))
-    # at most MAX_RANGES rows on the right
+    if count_first:  # countable before the exchange
+        sizes = cut.groupBy(part).agg(F.count(F.lit(1)).alias(n))
+    else:
+        sizes = inside.groupBy(part).agg(F.max(inner).alias(n))
+    starts = sizes.select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
     return (
-        numbered.join(F.broadcast(starts), part)
+        inside.join(F.broadcast(starts), part)  # one row per range
         .withColumn(out, (F.col(inner) + F.col(start)).cast("bigint"))
         .drop(part, inner, start)
     )
@@ -128,15 +142,22 @@ def _number_ranges(cut: DataFrame, order: list[str], out: str) -> DataFrame:
 def add_dense_rank(
     df: DataFrame, order: list[str], out: str, ranges: int | None = None, bounds_from: DataFrame | None = None
 ) -> DataFrame:
-    """Global `dense_rank() over (order by order)`: the distinct keys are numbered and
-    joined back, so copies of one key never gather in a window.
+    """Global `dense_rank() over (order by order)`.
+
+    The range is a function of the key, so all copies of a key are in one range and are ranked
+    there. If the sample shows a key that fills more than a range, the distinct keys are
+    numbered and joined back instead, so that its copies never gather in one task.
 
     `bounds_from` is a cheaper table with the same order columns to sample the bounds from.
     """
-    bounds = _bounds(df if bounds_from is None else bounds_from, order, ranges)
-    # ranged after the distinct: both uses below then read one shuffle of the keys
+    source = df if bounds_from is None else bounds_from
+    cuts = _cuts(source, order, *_wanted_ranges(source.select(*order), ranges))
+    bounds = list(dict.fromkeys(cuts))
+    if len(bounds) == len(cuts):
+        ranked = _numbered(df.withColumn("__range", range_of(df, order, bounds)), order, out, F.dense_rank(), count_first=False)
+        return ranked.select(*df.columns, out)
     unique = df.select(*order).distinct()
-    keys = _number_ranges(unique.withColumn("__range", range_of(unique, order, bounds)), order, out)
+    keys = _numbered(unique.withColumn("__range", range_of(unique, order, bounds)), order, out, F.row_number())
     renamed = keys.select(*[F.col(c).alias(f"__k_{c}") for c in order], out)
     match = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in order]
     joined = df.join(renamed, match, "inner")

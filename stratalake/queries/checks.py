@@ -282,9 +282,10 @@ def pipe_orders_silver(spark, sf):
         "customers",
         """, c AS (SELECT customer_id, trim(name) AS name, lower(trim(email)) AS email, signup_date,
              upper(left(city, 1)) || lower(substr(city, 2)) AS city, upper(state) AS state,
-             upper(left(country, 1)) || lower(substr(country, 2)) AS country,
+             CASE WHEN country = 'MIDDLE EAST' THEN 'Middle East' ELSE upper(left(country, 1)) || lower(substr(country, 2))
+               END AS country,
              CAST(date_diff('day', signup_date, DATE '2024-01-31') AS INTEGER) AS customer_tenure_days
-           FROM customers WHERE country <> 'MIDDLE EAST')
+           FROM customers)
            SELECT *, round(customer_tenure_days / 365, 1) + 0.0 AS customer_tenure_years,
              CASE WHEN customer_tenure_days < 180 THEN 'New' WHEN customer_tenure_days < 365 THEN 'Growing'
                WHEN customer_tenure_days < 730 THEN 'Established' ELSE 'Loyal' END AS customer_tenure_segment
@@ -292,7 +293,7 @@ def pipe_orders_silver(spark, sf):
     ),
 )
 def pipe_customers_silver(spark, sf):
-    once = e.customers(spark, sf).where("country <> 'MIDDLE EAST'").select(
+    once = e.customers(spark, sf).select(
         "customer_id", "name", "email", "city", "state", "country", "signup_date"
     )
     again = once.where("country = 'ASIA'")

@@ -229,11 +229,11 @@ def _ends() -> Column:
 
 
 def jobs(spark: SparkSession, sf: str) -> DataFrame:
-    """Job definitions, one row per change of a job."""
-    changes = load(spark, sf, "events").where("event_type = 'signup'")
+    """Job definitions, one row per change of a job; some under ids that no run has."""
+    changes = load(spark, sf, "events")
     return changes.select(
         _workspace().alias("workspace_id"),
-        F.col("user_id").alias("job_id"),
+        F.when(F.col("user_id") % 5 == 0, -F.col("user_id")).otherwise(F.col("user_id")).alias("job_id"),
         F.concat_ws("-", F.lit("job"), "user_id", "event_id").alias("name"),
         F.col("ts").alias("change_time"),
     )
@@ -399,9 +399,9 @@ SQL = {
           CAST(floor(value) AS DOUBLE) AS unit_price, CAST(ts AS DATE) AS event_date
         FROM events""",
     "jobs": """
-        SELECT 'ws' || (user_id % 3) AS workspace_id, user_id AS job_id,
+        SELECT 'ws' || (user_id % 3) AS workspace_id, CASE WHEN user_id % 5 = 0 THEN -user_id ELSE user_id END AS job_id,
           'job-' || user_id || '-' || event_id AS name, ts AS change_time
-        FROM events WHERE event_type = 'signup'""",
+        FROM events""",
     "job_versions": """SELECT user_id AS job_id, 'job-' || user_id || '-' || (event_id % 3) AS name, ts AS change_time
         FROM events""",
     "job_names": "SELECT DISTINCT user_id AS job_id, 'job-' || user_id AS name FROM events",

@@ -151,10 +151,12 @@ def src_table(spark, sf):
     "src_inline",
     """SELECT c_custkey, code FROM customer JOIN nation ON c_nationkey = n_nationkey
        JOIN region ON n_regionkey = r_regionkey
-       JOIN (VALUES ('AFRICA', 'AF'), ('ASIA', 'AS'), ('EUROPE', 'EU')) v(r_name, code) USING (r_name)""",
+       JOIN (VALUES ('AFRICA', 'AF'), ('ASIA', 'AS'), ('EUROPE', 'EU'), ('AMERICA', 'AM'), ('MIDDLE EAST', 'ME')) v(r_name, code)
+         USING (r_name)""",
 )
 def src_inline(spark, sf):
-    codes = spark.createDataFrame([("AFRICA", "AF"), ("ASIA", "AS"), ("EUROPE", "EU")], "country STRING, code STRING")
+    rows = [("AFRICA", "AF"), ("ASIA", "AS"), ("EUROPE", "EU"), ("AMERICA", "AM"), ("MIDDLE EAST", "ME")]
+    codes = spark.createDataFrame(rows, "country STRING, code STRING")
     return e.customers(spark, sf).join(codes, "country").select(F.col("customer_id").alias("c_custkey"), "code")
 
 

@@ -89,3 +89,12 @@ def test_all_features_share_one_exchange_and_sort(orders):
     text = plan(history.order_features(orders), "simple")
     assert text.count("Exchange hashpartitioning") == 1
     assert text.count("Sort [") == 1
+
+
+def test_one_schema_for_hot_and_plain_amounts(spark):
+    df = order_frame(spark, [("HOT" if i % 3 else "C", f"O{i:03d}", f"2023-01-{i % 28 + 1:02d}", float(i) + 0.25) for i in range(90)])
+    for kind in ("decimal(10,2)", "double", "float", "int"):
+        typed = df.withColumn("order_amount", df.order_amount.cast(kind))
+        plain, hot = history.order_features(typed), history.order_features(typed, hot_rows=20)
+        assert hot.schema == plain.schema
+        assert rows(hot) == rows(plain)

@@ -110,3 +110,10 @@ def test_approximate_distinct_and_percentile_stay_close(spark):
     ).first()
     assert abs(got["n"] - 9973) < 0.06 * 9973
     assert abs(got["p95"] - 47_500) <= 10
+
+
+def test_compaction_of_a_partition_with_an_odd_name(spark, path):
+    df = spark.range(100).select("id", F.when(F.col("id") % 2 == 0, "a b/c=%").otherwise("x").alias("d"))
+    df.repartition(4).write.partitionBy("d").parquet(f"{path}/t")
+    layout.compact_partition(spark, f"{path}/t", "d", "a b/c=%", ["id"])
+    assert spark.read.parquet(f"{path}/t").where("d = 'a b/c=%'").count() == 50 and spark.read.parquet(f"{path}/t").count() == 100

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -66,3 +66,23 @@ def test_bounds_are_few_and_balanced(spark):
     assert len(bounds) == 9
     sizes = [r["count"] for r in df.groupBy(range_of(df, ["k"], bounds)).count().collect()]
     assert max(sizes) < 3 * min(sizes)
+
+
+def test_ranges_stay_even_with_a_hot_key(spark):
+    """Nine rows in ten under one key: no range holds much more than its share."""
+    df = spark.range(200_000).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1).alias("k"), "id")
+    got = add_row_number(df, ["k"], "n", ranges=12)
+    assert got.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first() == (1, 200_000, 200_000)
+    assert got.where("n <= 180000 AND k <> -1").isEmpty()
+    tied = df.withColumn("tie", F.xxhash64("k", "id"))
+    bounds = sample_bounds(tied, ["k", "tie"], 12)
+    sizes = [r["count"] for r in tied.groupBy(range_of(tied, ["k", "tie"], bounds)).count().collect()]
+    assert max(sizes) < 2.5 * 200_000 / 12
+    dense = add_dense_rank(df, ["k"], "n", ranges=12)
+    assert dense.agg(F.max("n")).first()[0] == 20_001 and dense.where("k = -1").agg(F.max("n")).first()[0] == 1
+
+
+def test_dense_rank_of_rare_keys_takes_one_exchange_by_range(spark):
+    df = spark.range(20_000).select((F.col("id") / 2).cast("long").alias("k"), "id")
+    text = plan(add_dense_rank(df, ["k"], "n", ranges=6), "simple")
+    assert text.count("Exchange hashpartitioning(__range") <= 2 and "SortMergeJoin" not in text
