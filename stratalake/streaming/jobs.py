@@ -133,7 +133,7 @@ def customers_stream(customers: DataFrame, as_of: Column, observe: str | None =
 def geographic_stream(orders: DataFrame, customers: DataFrame, delay: str = ORDER_LATENESS) -> DataFrame:
     """Order stream joined with the customer table and closed per 30-day window. Pass the
     customers as a catalog table: it is then listed anew for every micro-batch."""
-    return geographic_sales(orders.withWatermark("order_date", delay), customers, exact=False)
+    return geographic_sales(orders.withWatermark("order_date", delay), customers)
 
 
 # -- change feed -----------------------------------------------------------
