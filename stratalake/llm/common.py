@@ -13,6 +13,18 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Texts reach Python in batches of so many rows and about so many bytes: what a worker and the
+#: executor hold at a time is then small, however long the texts are.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """`df`, with the session set to small Arrow batches."""
+    for key, value in BATCH.items():
+        df.sparkSession.conf.set(key, value)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bounded_sample, fold_is
+from stratalake.llm.common import bounded_sample, fold_is, in_small_batches
 
 DIMENSIONS, SEED, GRAMS_HELD, UNKNOWN = 1024, 20, 40_000, "und"
 #: Training texts used at most (drawn by a hash of the id).
@@ -105,7 +105,7 @@ def profiles(training: DataFrame, lang: str, text: str) -> dict[str, np.ndarray]
         values = np.concatenate([*sums.values(), np.empty(0)])
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(places), pa.array(values)], ["lang", "place", "value"])
 
-    parts = training.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("body")).mapInArrow(run, "lang string, place int, value double")
+    parts = in_small_batches(training).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("body")).mapInArrow(run, "lang string, place int, value double")
     # Rounded, so that the order in which partial sums arrive does not show.
     rows = parts.groupBy("lang", "place").agg(F.round(F.sum("value"), 6).alias("value")).collect()  # languages x dimensions
     out: dict[str, np.ndarray] = {}
@@ -137,7 +137,7 @@ def predict(docs: DataFrame, models: dict[str, np.ndarray], doc_id: str, text: s
             )
 
     source = docs.select(F.col(doc_id).alias("doc_id"), fold_is(F.col(doc_id), 5, 0).alias("held_out"), F.col(text).alias("body"))
-    return source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")
+    return in_small_batches(source).mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", most: int = MAX_TRAIN) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bounded_sample, fold_is
+from stratalake.llm.common import bounded_sample, fold_is, in_small_batches
 
 BUCKETS, FACTORS, BINS, EPOCHS, BATCH, SEED = 1 << 14, 6, 12, 8, 64, 7
 #: Few texts are gone over more often, up to so many row visits or epochs.
@@ -215,7 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, held: Column, meta: tu
         yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
     shape = "label int, index array<int>, value array<float>, dense array<double>"
-    found = texts.select("body", "meta", "label").mapInPandas(inputs, shape).repartition(1).mapInPandas(learn, "model binary").first()
+    found = in_small_batches(texts.select("body", "meta", "label")).mapInPandas(inputs, shape).repartition(1).mapInPandas(learn, "model binary").first()
     return pickle.loads(found.model) if found else fit([], np.empty((0, 0)), np.empty(0))
 
 
@@ -235,7 +235,7 @@ def score(docs: DataFrame, model: Machine, meta: tuple[str, ...], keep: list[Col
                 yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(scores, pa.float64())], [*names, "score"])
 
     shape = ", ".join([*[f"{n} {t}" for n, t in kept.dtypes], "score double"])
-    return source.mapInArrow(run, shape)
+    return in_small_batches(source).mapInArrow(run, shape)
 
 
 def assess(docs: DataFrame, labels: DataFrame, meta: tuple[str, ...] = ("n_chars",), doc_id: str = "doc_id", text: str = "text", threshold: float = 0.3) -> DataFrame:

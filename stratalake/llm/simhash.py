@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import join_checked, staged
+from stratalake.llm.common import in_small_batches, join_checked, staged
 from stratalake.llm.components import components
 
 BITS, RADIUS, CHUNK = 64, 3, 1024
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str =
 
     source = docs.select(F.col(key).alias("key"), F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
     kinds = dict(source.dtypes)
-    return source.mapInArrow(run, f"key {kinds['key']}, doc_id {kinds['doc_id']}, fp long")
+    return in_small_batches(source).mapInArrow(run, f"key {kinds['key']}, doc_id {kinds['doc_id']}, fp long")
 
 
 def forest(values: np.ndarray, group: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.llm.common import in_small_batches
+
 # Character classes.
 OTHER, LETTER, NUMBER, BLANK, SPACE, QUOTE, ONE, TWO, ELL, EE, END = range(11)
 # States: in a run of letters, digits, symbols; white space that ends in a blank or not, one
@@ -422,5 +424,5 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, doc_id: str = "do
 
     body = F.coalesce(F.col(text), F.lit(""))
     source = docs.select(F.col(doc_id).alias("doc_id"), F.octet_length(body).cast("long").alias("n_bytes"), body.alias("body"))
-    out = source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, n_bytes long, n_tokens long")
+    out = in_small_batches(source).mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bounded_sample, fold_is
+from stratalake.llm.common import bounded_sample, fold_is, in_small_batches
 from stratalake.llm.quality import label_table
 
 STEMS, MAX_INPUTS, LEAST_POSITIVE, LEAST_Z, STEPS, PULL = (4, 5, 6), 4096, 3, 4.0, 400, 2e-4
@@ -156,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, held: Column, doc_id: str = "doc_i
                 sides[side].append(np.asarray(found, np.int64))
         yield pd.DataFrame({"model": [pickle.dumps(fit(sides[1], sides[0], float(share or 0)))]})
 
-    texts = positive.unionByName(other).mapInPandas(rows, "positive int, inputs array<long>")
+    texts = in_small_batches(positive.unionByName(other)).mapInPandas(rows, "positive int, inputs array<long>")
     found = texts.repartition(1).mapInPandas(learn, "model binary").first()
     return pickle.loads(found.model) if found else fit([], [], 0.0)
 
@@ -172,5 +172,5 @@ def assess(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], ["doc_id", "held_out", "score"])
 
     source = docs.select(F.col(doc_id).alias("doc_id"), held.alias("held_out"), F.col(text).alias("body"))
-    out = source.mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, held_out boolean, score double")
+    out = in_small_batches(source).mapInArrow(run, f"doc_id {dict(source.dtypes)['doc_id']}, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
