@@ -190,9 +190,19 @@ _over(
 )
 
 
-@query("fn_rand")
+@query(
+    "fn_rand",
+    "SELECT count(*) AS n_rows, TRUE AS in_range, TRUE AS even_mean, CAST(10 AS BIGINT) AS buckets FROM events",
+)
 def fn_rand(spark, sf):
-    return e.load(spark, sf, "events").select("event_id", F.rand(7).alias("u"), (F.rand(8) * 10).cast("int").alias("bucket"))
+    """Random numbers for every row, and what can be said of all of them."""
+    drawn = e.load(spark, sf, "events").select("event_id", F.rand(7).alias("u"), (F.rand(8) * 10).cast("int").alias("bucket"))
+    return drawn.agg(
+        F.count("event_id").alias("n_rows"),
+        F.bool_and(F.col("u").between(0, 1) & (F.col("u") < 1)).alias("in_range"),
+        F.avg("u").between(0.4, 0.6).alias("even_mean"),
+        F.countDistinct("bucket").alias("buckets"),
+    )
 
 
 _over(

@@ -6,7 +6,7 @@ reads, and returns what the operator made of it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.operators import layout, merge, sinks
@@ -164,19 +164,59 @@ def _ids(spark, sf):
     return e.load(spark, sf, "events").select(F.col("event_id").alias("id"))
 
 
-@query("src_synthetic_sales")
+def _facts(df, **facts):
+    """Row count and whether each fact holds for all rows."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.bool_and(F.coalesce(c, F.lit(False))).alias(n) for n, c in facts.items()])
+
+
+def _number(c: str):
+    return F.regexp_extract(c, "-([0-9]+)$", 1).cast("long")
+
+
+@query(
+    "src_synthetic_sales",
+    """SELECT count(*) AS n_rows, TRUE AS known_event, TRUE AS known_customer, TRUE AS known_product, TRUE AS known_region,
+         TRUE AS good_quantity, TRUE AS good_price, TRUE AS good_revenue, TRUE AS good_date FROM events""",
+)
 def src_synthetic_sales(spark, sf):
-    return synthetic.sales(_ids(spark, sf))
+    """A generated sale per event, and what holds for all of them."""
+    made, ids = synthetic.sales(_ids(spark, sf)), _ids(spark, sf).select(F.col("id").alias("known"))
+    named = made.join(ids, _number("event_id") == F.col("known"), "left")
+    return _facts(
+        named,
+        known_event=F.col("known").isNotNull(),
+        known_customer=_number("customer_id").between(0, 99_999),
+        known_product=_number("product_id").between(0, 9_999),
+        known_region=F.col("region").isin(synthetic.REGIONS),
+        good_quantity=F.col("quantity").between(1, 10),
+        good_price=F.col("unit_price").between(1, 501),
+        good_revenue=F.abs(F.col("revenue_usd") - F.col("quantity") * F.col("unit_price")) < 0.006,
+        good_date=F.year("event_date").between(2022, 2023) & (F.to_date("event_timestamp") == F.col("event_date")),
+    )
 
 
-@query("src_synthetic_events")
+@query(
+    "src_synthetic_events",
+    "SELECT count(*) AS n_rows, TRUE AS good_user, TRUE AS known_type, TRUE AS good_value, TRUE AS good_parts FROM events",
+)
 def src_synthetic_events(spark, sf):
-    return synthetic.events(_ids(spark, sf))
+    day = F.col("timestamp")
+    return _facts(
+        synthetic.events(_ids(spark, sf)),
+        good_user=F.col("user_id").between(1, 1000),
+        known_type=F.col("event_type").isin(synthetic.EVENT_TYPES),
+        good_value=F.col("value").between(10, 500),
+        good_parts=(F.col("year") == 2023) & (F.month(day) == F.col("month")) & (F.year(day) == F.col("year")),
+    )
 
 
-@query("src_skewed")
+@query("src_skewed", "SELECT count(*) AS n_rows, TRUE AS good_key, TRUE AS good_amount, TRUE AS hot_share FROM events")
 def src_skewed(spark, sf):
-    return synthetic.skewed(_ids(spark, sf))
+    """One key holds nine rows in ten."""
+    rows = synthetic.skewed(_ids(spark, sf))
+    facts = _facts(rows, good_key=F.col("customer_id").between(1, 100), good_amount=F.col("amount").between(10, 1000))
+    hot = rows.agg(F.avg(F.when(F.col("customer_id") == 1, 1).otherwise(0)).between(0.85, 0.95).alias("hot_share"))
+    return facts.withColumn("hot_share", hot.scalar())
 
 
 @query("src_file_metadata", "SELECT o_orderkey, TRUE AS from_orders FROM orders")
@@ -409,22 +449,41 @@ def _parts(spark) -> int:
     return max(10, shuffle_width(spark))
 
 
-@query("lay_hash")
+@query("lay_hash", "SELECT count(*) AS n_rows, TRUE AS every_partition_listed, TRUE AS key_in_one_partition FROM events")
 def lay_hash(spark, sf):
+    """Hash layout: rows per partition add up, and a key is in one partition."""
     parts = _parts(spark)
-    return layout.partition_counts(layout.hash_layout(e.load(spark, sf, "events"), parts, "user_id"), parts)
+    laid = layout.hash_layout(e.load(spark, sf, "events"), parts, "user_id")
+    counts = layout.partition_counts(laid, parts).agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)) == parts)
+    homes = laid.select("user_id", F.spark_partition_id().alias("p")).distinct().groupBy("user_id").count()
+    apart = homes.agg((F.max("count") == 1).alias("one"))
+    return counts.toDF("n_rows", "every_partition_listed").withColumn("key_in_one_partition", apart.scalar())
 
 
-@query("lay_range")
+@query("lay_range", "SELECT count(*) AS n_rows, TRUE AS every_partition_listed, TRUE AS ranges_apart FROM events")
 def lay_range(spark, sf):
+    """Range layout: rows per partition add up, and the ranges do not overlap."""
     parts = _parts(spark)
-    return layout.partition_counts(layout.range_layout(e.load(spark, sf, "events"), parts, "ts"), parts)
+    laid = layout.range_layout(e.load(spark, sf, "events"), parts, "ts")
+    counts = layout.partition_counts(laid, parts).agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)) == parts)
+    ranges = laid.groupBy(F.spark_partition_id().alias("p")).agg(F.min("ts").alias("low"), F.max("ts").alias("high"))
+    before = F.lag("high").over(Window.orderBy("p"))  # a row per partition
+    apart = ranges.select(F.coalesce(before <= F.col("low"), F.lit(True)).alias("ok")).agg(F.bool_and("ok").alias("all"))
+    return counts.toDF("n_rows", "every_partition_listed").withColumn("ranges_apart", apart.scalar())
 
 
-@query("lay_stats")
+@query("lay_stats", "SELECT TRUE AS consistent, TRUE AS holds_all_rows FROM events LIMIT 1")
 def lay_stats(spark, sf):
-    parts = _parts(spark)
-    return layout.partition_spread(layout.hash_layout(e.load(spark, sf, "events"), parts, "user_id"), parts)
+    """The spread of a layout: difference of the extremes, and extremes that fit all rows."""
+    parts, events = _parts(spark), e.load(spark, sf, "events")
+    spread = layout.partition_spread(layout.hash_layout(events, parts, "user_id"), parts)
+    total = events.agg(F.count(F.lit(1)).alias("n"))
+    low, high = F.col("min_rows") * parts, F.col("max_rows") * parts
+    fits = (low <= total.scalar()) & (total.scalar() <= high)
+    return spread.select(
+        ((F.col("skew") == F.col("max_rows") - F.col("min_rows")) & (F.col("partitions") == parts)).alias("consistent"),
+        fits.alias("holds_all_rows"),
+    )
 
 
 LINES = "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem"

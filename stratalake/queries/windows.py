@@ -249,9 +249,12 @@ def ord_topk(spark, sf):
     return e.orders(spark, sf).select("order_id", "total_amount").orderBy(F.desc("total_amount"), "order_id").limit(10)
 
 
-@query("ord_limit")
+@query("ord_limit", "SELECT least(count(*), 10) AS n_rows, least(count(*), 10) AS n_known FROM orders")
 def ord_limit(spark, sf):
-    return e.orders(spark, sf).limit(10)
+    """Any ten rows: ten of them, all different and from the table."""
+    some = e.orders(spark, sf).limit(10).select("order_id").distinct()
+    known = some.join(e.orders(spark, sf), "order_id", "left_semi").agg(F.count(F.lit(1)).alias("n_known"))
+    return some.agg(F.count(F.lit(1)).alias("n_rows"), F.max(known.scalar()).alias("n_known"))
 
 
 @query(
