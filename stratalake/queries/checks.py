@@ -162,6 +162,30 @@ def dq_validate(spark, sf):
     return q.output_checks(rows)
 
 
+@query(
+    "dq_validate_output",
+    check(
+        "raw_sales",
+        """, c AS (SELECT 'raw' AS rows, event_id, customer_id, quantity * unit_price AS revenue_usd,
+              CAST(event_timestamp AS DATE) AS event_date FROM raw_sales),
+           k AS (SELECT * FROM c UNION ALL SELECT 'cleaned', * EXCLUDE (rows) FROM c WHERE event_id IS NOT NULL
+              AND customer_id IS NOT NULL AND revenue_usd > 0 AND event_date IS NOT NULL)
+           SELECT rows, count(*) FILTER (event_id IS NULL OR customer_id IS NULL OR revenue_usd IS NULL OR event_date IS NULL
+             OR revenue_usd <= 0) = 0 AS valid, FALSE AS valid_at_95 FROM k GROUP BY 1""",
+    ),
+)
+def dq_validate_output(spark, sf):
+    """The verdict on uncleaned and on cleaned rows, and on a pass rate below the minimum."""
+    raw = e.raw_sales(spark, sf)
+    uncleaned = raw.select(
+        "event_id", "customer_id", (F.col("quantity") * F.col("unit_price")).alias("revenue_usd"), F.to_date("event_timestamp").alias("event_date")
+    )
+    found = []
+    for name, rows in (("raw", uncleaned), ("cleaned", q.clean_sales(raw, e.AS_OF))):
+        found.append((name, q.validate_output(rows), q.validate_output(rows, 95.0, 90.0)))
+    return spark.createDataFrame(found, "rows STRING, valid BOOLEAN, valid_at_95 BOOLEAN")
+
+
 BROKEN_SQL = """CASE WHEN event_id IS NULL THEN 'has_event,' ELSE '' END
     || CASE WHEN customer_id IS NULL THEN 'has_customer,' ELSE '' END
     || CASE WHEN NOT coalesce(quantity > 0, FALSE) THEN 'positive_quantity,' ELSE '' END
