@@ -226,3 +226,25 @@ def test_pipeline_edges(spark, edges, empty, stage):
     if name == "exact_dedup":
         assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [3, 6, 7, 8, 9]  # 6 has the most white space of the empty ones
     assert run(spark, empty, sf).count() == 0
+
+
+def hits_of(docs, items, **options):
+    """Hits of plain texts without Spark."""
+    idf = np.zeros(decontam.TERMS)
+    for text in docs:
+        idf[np.unique(decontam.Words(text).terms)] += 1
+    idf = np.log((1 + len(docs)) / (1 + idf)) + 1e-3
+    basis = np.linalg.qr(np.random.default_rng(1).standard_normal((decontam.TERMS, 8)))[0]
+    finder = decontam.Finder([decontam.Item(i, t) for i, t in items], idf, basis)
+    return {(d, h[0]) for d, text in enumerate(docs) for h in finder.hits(text)}
+
+
+def test_passages_among_rare_words():
+    rng = random.Random(2)
+    common = [f"c{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choice(common) for _ in range(rng.randint(15, 24)))) for i in range(20)]
+    rare = lambda n: " ".join(f"{rng.randrange(10**12)}" for _ in range(n))
+    docs = [f"{rare(rng.randint(20, 60))} {text} {rare(rng.randint(20, 60))}" for _, text in items]
+    docs += [" ".join(rng.choice(common) for _ in range(10)) + " " + rare(30) for _ in range(400)]
+    assert hits_of(docs, items) >= {(i, i) for i in range(20)}
+    assert not {d for d, _ in hits_of(docs, items) if d >= 20}
