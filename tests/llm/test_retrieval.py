@@ -248,3 +248,17 @@ def test_passages_among_rare_words():
     docs += [" ".join(rng.choice(common) for _ in range(10)) + " " + rare(30) for _ in range(400)]
     assert hits_of(docs, items) >= {(i, i) for i in range(20)}
     assert not {d for d, _ in hits_of(docs, items) if d >= 20}
+
+
+def test_passages_beside_repeats_of_their_words():
+    rng = random.Random(3)
+    items = [(i, " ".join(f"{'abcdefgh'[rng.randrange(8)]}{rng.randrange(60)}" for _ in range(rng.randint(20, 50)))) for i in range(20)]
+    docs = []
+    for _, text in items:
+        words = text.split()
+        run = rng.choice([words[-6:] * 12, sorted(words) * 4, rng.sample(words, 2) * 60])
+        before, after = ([], run) if rng.random() < 0.5 else (run, [])
+        docs.append(" ".join([*(f"x{rng.randrange(10**6)}" for _ in range(30)), *before, *words, *after, *(f"x{rng.randrange(10**6)}" for _ in range(30))]))
+    docs += [" ".join(sorted(text.split())) for _, text in items]
+    found = hits_of(docs, items)
+    assert found >= {(i, i) for i in range(20)} and not {d for d, _ in found if d >= 20}
