@@ -262,3 +262,27 @@ def test_passages_beside_repeats_of_their_words():
     docs += [" ".join(sorted(text.split())) for _, text in items]
     found = hits_of(docs, items)
     assert found >= {(i, i) for i in range(20)} and not {d for d, _ in found if d >= 20}
+
+
+def test_words_of_any_script():
+    words = lambda t: [w.decode() for w in decontam.Words(t).part()]
+    assert words("Don’t—stop “now” Ärger×2 co­op​x") == ["don", "t", "stop", "now", "ärger", "2", "coop", "x"]
+    assert words("水是abc。ไทย! हिन्दी 한국어 ét") == ["水", "是", "abc", "ไ", "ท", "ย", "हिन्दी", "한국어", "ét"]
+    assert words("naïve été_1 Öl") == ["naïve", "été_1", "öl"] and len(decontam.Words("水是abc")) == 3
+
+
+def test_items_in_other_scripts_and_short_ones():
+    chinese = "水在标准大气压下的沸点是多少度？答案是一百摄氏度。"
+    japanese = "日本の首都はどこですか。東京です。"
+    quoted = "“Why did the old ship’s captain — at last — turn back?” Because the harbour was closed."
+    items = [(0, chinese), (1, japanese), (2, quoted), (3, "Blue whale song"), (4, "Blue"), (None, "seven red apples fell from the old tree today")]
+    docs = [
+        "前文说明一些别的事情。" + chinese + "后文继续。",
+        "これは本です" + japanese + "そうです",
+        "x " + quoted.translate(str.maketrans("“”’—", "\"\"'-")) + " y",
+        "we heard BLUE, whale song there",
+        "whale song, blue whale",
+        "so seven red apples fell from the old tree today and",
+        "今天天气很好我们去公园散步然后回家吃饭看书睡觉明天再去上班工作",
+    ]
+    assert hits_of(docs, items) == {(0, 0), (1, 1), (2, 2), (3, 3), (3, 4), (4, 4), (5, None)}
