@@ -2,8 +2,10 @@
 
 A text is cut into sentences: after . ! ? before white space, and at line ends unless the next
 line goes on with a lower-case letter, a quote or a bracket (a wrapped line). Each is
-normalised (lower case, runs of anything but letters and digits become one space) and mapped to
-the identifier of a known licence sentence. A text's identifiers, in the order in which they
+normalised (lower case, runs of anything but letters and digits become one space; comment marks
+go with them) and mapped to the identifier of a known licence sentence. Lines that follow each
+other without . ! ? between them, blank ones or not, are also tried joined, the longest sentence
+first: a sentence may be wrapped anywhere, in comments, too. A text's identifiers, in the order in which they
 occur, are matched against the ordered rules: the first rule whose identifiers occur one after
 the other takes its place in the result, and later rules see what is left.
 
@@ -85,7 +87,11 @@ RULES = (
     ("all-rights-reserved", ("allRights",)),
 )
 
-WRAPPED, CUT, NOISE = r"\n[\x20\x09]*([a-z(\"])", r"(\n|(?<=[.!?])[\x20\x09-\x0D]+)", r"[^\p{L}\p{N}]+"
+WRAPPED, STOP = r"\n[\x20\x09]*([a-z(\"])", r"(?<=[.!?])[\x20\x09-\x0D]+"
+# Comment marks that are words, or that would end a sentence.
+MARK = r"(?im)^[\x20\x09]*(?:!+|@?rem|dnl|@?c)[\x20\x09]+"
+# Lines end with \n, sentences with \f; neither has blanks around it or follows another.
+NOISE, STOPS, LINES = r"[^\p{L}\p{N}\n\f]+", r"[\x20\n]*\f[\x20\n\f]*", r"\x20?\n[\x20\n]*"
 
 
 def normal(sentence: str) -> str:
@@ -93,15 +99,17 @@ def normal(sentence: str) -> str:
 
 
 def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
-    """Identifiers of the known sentences in order of occurrence.
-
-    Sentences that are shorter than every known one are not normalised at all.
-    """
-    known = F.create_map(*[F.lit(x) for name, s in sentences.items() for x in (normal(s), name)])
-    shortest = min(map(len, map(normal, sentences.values())))
-    parts = F.filter(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), WRAPPED, " $1"), CUT), lambda s: F.char_length(s) >= shortest)
-    plain = F.transform(parts, lambda s: F.trim(F.regexp_replace(F.lower(s), NOISE, " ")))
-    return F.filter(F.transform(plain, lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
+    """Identifiers of the known sentences in order of occurrence."""
+    names = {normal(s): name for name, s in sentences.items()}
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    # The longest first; a line may end between any two words.
+    any_known = "|".join(re.sub(" ", r"[\\x20\\n]", s) for s in sorted(names, key=lambda s: (-len(s), s)))
+    lines = F.regexp_replace(F.coalesce(text, F.lit("")), WRAPPED, " $1")
+    lines = F.regexp_replace(F.translate(lines, "\f", " "), MARK, "")
+    plain = F.regexp_replace(F.lower(F.regexp_replace(lines, STOP, "\f")), NOISE, " ")
+    plain = F.trim(F.regexp_replace(F.regexp_replace(plain, STOPS, "\f"), LINES, "\n"))
+    found = F.regexp_extract_all(plain, F.lit(rf"(?<![^\n\f])(?:{any_known})(?![^\n\f])"), F.lit(0))
+    return F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sentences: dict[str, str] = SENTENCES, rules=RULES) -> DataFrame:

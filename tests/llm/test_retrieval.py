@@ -286,3 +286,57 @@ def test_items_in_other_scripts_and_short_ones():
         "今天天气很好我们去公园散步然后回家吃饭看书睡觉明天再去上班工作",
     ]
     assert hits_of(docs, items) == {(0, 0), (1, 1), (2, 2), (3, 3), (3, 4), (4, 4), (5, None)}
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+MIT = """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+
+
+def test_licence_headers_in_comments(spark):
+    headers = [
+        ("Apache-2.0", "apacheLongVer2,apacheCopy,apacheAsIs", APACHE),
+        ("GPL-3.0-or-later", "gplFree,gplHope", GPL),
+        ("MPL-2.0", "mplVer2", MPL),
+        ("MIT", "mitTitleOsi,mitGrant,mitNotice", MIT),
+    ]
+    rows = []
+    for licence, ids, text in headers:
+        for first, mark, last in (("", "", ""), ("/*", " * ", " */"), ("#!/bin/sh", "# ", ""), ("", "// ", ""), ("", "! ", ""), ("<!--", "  ~ ", "-->"), ("", "REM ", "")):
+            body = "\n".join(mark + x for x in text.split("\n"))
+            rows.append((licence, ids, f"{first}\n{body}\n{last}\nint main() {{}}\n"))
+            rows.append((licence, ids, f"{first}\n{body}\n{last}\nint main() {{}}\n".replace("\n", "\r\n")))
+    docs = spark.createDataFrame([(i, r[2]) for i, r in enumerate(rows)], "doc_id INT, text STRING")
+    found = licenses.scan(docs).orderBy("doc_id").collect()
+    assert [(r.licence, r.sentence_ids, r.unmatched) for r in found] == [(licence, ids, "") for licence, ids, _ in rows]
