@@ -205,10 +205,10 @@ class Scan:
                 at += len(peek)
                 continue
             if packed:
-                head, block, at = self._packed(source, at, peek)
-            else:
-                at += len(peek) - len(peek.lstrip(b"\r\n"))
-                head, block, at = self._plain(source, at)
+                at = yield from self._packed(source, at, peek)
+                continue
+            at += len(peek) - len(peek.lstrip(b"\r\n"))
+            head, block, at = self._plain(source, at)
             if head is not None:
                 yield head, block, at
 
@@ -234,39 +234,80 @@ class Scan:
         return head, data[start : start + length], after
 
     def _packed(self, source, at: int, data: bytes):
-        """One gzip member; the rest of an unwanted one is neither read nor decoded if its length is known."""
-        length = 0
+        """The records of one gzip member; returns the position behind it. What follows the last record
+        that is wanted is neither read nor decoded if the lengths of member and records are known."""
+        length = whole = 0
         if data[3] & 4:
             extra = data[12 : 12 + struct.unpack_from("<H", data, 10)[0]]
             if extra[:2] == b"sl" and len(extra) >= 12:
-                length = struct.unpack_from("<I", extra, 4)[0]
-        unpack, text, parsed, fed = zlib.decompressobj(31), b"", None, data
-        while parsed is None:
-            text += unpack.decompress(fed, PEEK)
-            fed = unpack.unconsumed_tail
-            parsed = parse_head(text)
-            if parsed is None and not fed:
-                if unpack.eof or not (fed := source.read(PEEK)):
+                length, whole = struct.unpack_from("<II", extra, 4)
+        member = Member(source, data)
+        while member.to_record():
+            while (parsed := parse_head(member.held)) is None:
+                if not member.more():
                     raise ValueError(f"record at {at} ends inside its headers")
-        head, start = parsed
-        wanted = self._wanted(head)
-        if wanted and not self.payload:
-            want = start + min(int(head.get("content-length") or 0), 4096)  # enough for the HTTP headers
-        else:
-            want = start + int(head.get("content-length") or 0) if wanted else 0
-        parts, have = [text], len(text)
-        known = length > 0
-        while not unpack.eof and not (known and have >= want):
-            if not fed and not (fed := source.read(PEEK)):
-                break
-            piece = unpack.decompress(fed, 1 << 20)
-            fed = unpack.unconsumed_tail
-            have += len(piece)
-            if have - len(piece) < want:
-                parts.append(piece)
-        after = at + length if known else source.tell() - len(unpack.unused_data) - len(fed)
-        block = b"".join(parts)[start : start + int(head.get("content-length") or 0)]
-        return (head if wanted else None), block, after
+            head, start = parsed
+            size = int(head.get("content-length") or 0)
+            last = 0 < whole <= member.at + start + size + 4 and length > 0
+            member.skip(start)
+            taken = 0
+            if self._wanted(head):
+                block = member.take(size if self.payload else min(size, 4096))  # enough for the HTTP headers
+                taken = len(block)
+                yield head, block, at
+            if last:
+                return at + length
+            member.skip(size - taken)
+        return member.end()
+
+
+class Member:
+    """The bytes of one gzip member, inflated as far as they are asked for."""
+
+    def __init__(self, source, data: bytes):
+        self.source, self.fed, self.unpack = source, data, zlib.decompressobj(31)
+        self.held, self.at = bytearray(), 0  # bytes that wait, and how many came before them
+
+    def more(self) -> bool:
+        """Inflate some more, if there is more."""
+        while not self.unpack.eof:
+            fed = self.fed or self.source.read(PEEK)
+            piece = self.unpack.decompress(fed, PEEK)
+            self.fed = self.unpack.unconsumed_tail
+            self.held += piece
+            if piece or not fed:
+                return bool(piece)
+        return False
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) < n and self.more():
+            pass
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        self.at += len(out)
+        return out
+
+    def skip(self, n: int) -> None:
+        while n > 0:
+            gone = min(n, len(self.held))
+            del self.held[:gone]
+            self.at += gone
+            n -= gone
+            if n and not self.more():
+                return
+
+    def to_record(self) -> bool:
+        """Pass over the line ends between records; whether a record follows."""
+        while True:
+            self.skip(len(self.held) - len(self.held.lstrip(b"\r\n\0 ")))
+            if self.held:
+                return True
+            if not self.more():
+                return False
+
+    def end(self) -> int:
+        """Position behind the member, once all of it is inflated."""
+        return self.source.tell() - len(self.unpack.unused_data) - len(self.fed)
 
 
 def split_http(head: dict[str, str], block: bytes) -> tuple[int, bytes]:

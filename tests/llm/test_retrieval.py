@@ -90,6 +90,26 @@ def test_foreign_members_without_lengths(tmp_path):
         assert [warc.split_http(h, b)[0] for h, b, _ in found] == [1000 * i for i in range(30)]
 
 
+def test_foreign_members_of_several_records(tmp_path):
+    rows = [{"record_id": f"urn:{i}", "record_type": "metadata" if i % 3 else "response", "date": "d", "payload": random.Random(i).randbytes(7000 * i)} for i in range(30)]
+    parts = [warc.record_bytes(r) for r in rows]
+    layouts = {
+        "one": gzip.compress(b"".join(parts)),
+        "five": b"".join(gzip.compress(b"".join(parts[i : i + 5])) for i in range(0, 30, 5)),
+        "lengths": b"".join(warc.member(b"".join(parts[i : i + 5])) for i in range(0, 30, 5)),
+        "own": b"".join(map(warc.member, parts)),
+    }
+    for name, data in layouts.items():
+        (tmp_path / name).write_bytes(data)
+        for tests in ([], [warc.Test("record_type", "=", "metadata")]):
+            for payload in (True, False):
+                with open(tmp_path / name, "rb") as f:
+                    found = [(h["warc-record-id"], *warc.split_http(h, b)) for h, b, _ in warc.Scan(tests, payload).file(f, len(data), True)]
+                want = [r for r in rows if not tests or r["record_type"] == "metadata"]
+                assert [(i, n) for i, n, _ in found] == [(f"<{r['record_id']}>", len(r["payload"])) for r in want]
+                assert not payload or [b for _, _, b in found] == [r["payload"] for r in want]
+
+
 def test_pages(spark):
     big = "é" * 700
     rows = [(1, "u", big), (9, "u", big), (4, None, big), (9, "v", big), (None, "u", big), (5, "u", "short"), (6, "u", "short"), (7, "u", None), (8, "u\r\nX: y", "")]
