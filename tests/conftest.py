@@ -4,7 +4,9 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
+
+from support_core import order_frame  # noqa: E402
 
 from stratalake.session import build_session  # noqa: E402
 
@@ -36,19 +38,3 @@ def orders(spark):
             ("C002", "ORD005", "2023-01-08", 75.0),
         ],
     )
-
-
-def order_frame(spark, rows):
-    df = spark.createDataFrame(rows, "customer_id STRING, order_id STRING, order_date STRING, order_amount DOUBLE")
-    return df.withColumn("order_date", df.order_date.cast("date"))
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted by the given columns (or by everything)."""
-    found = [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
-    return found if order else sorted(found, key=repr)
-
-
-def plan(df, mode="formatted"):
-    """The physical plan as text."""
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)

@@ -2,7 +2,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from conftest import order_frame, plan, rows
+from support_core import order_frame, plan, rows
 
 from stratalake.operators import history
 from stratalake.plans.sales_metrics import order_feature_table

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 import pytest
-from conftest import plan, rows
+from support_core import plan, rows
 
 from stratalake.functions import governance as gov
 

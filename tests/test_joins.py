@@ -2,7 +2,7 @@ import random
 from datetime import datetime
 
 import pytest
-from conftest import plan, rows
+from support_core import plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

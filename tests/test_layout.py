@@ -1,7 +1,7 @@
 from types import SimpleNamespace
 
 import pytest
-from conftest import plan
+from support_core import plan
 from pyspark.sql import functions as F
 
 from stratalake.operators import layout, sinks

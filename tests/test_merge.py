@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from support_core import rows
 from pyspark.sql import functions as F
 
 from stratalake.operators import merge

@@ -1,7 +1,7 @@
 """The physical plans of registered queries have the shape that was meant."""
 
 import pytest
-from conftest import plan
+from support_core import plan
 
 import __spark_entry__ as entry
 

@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from support_core import rows
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from conftest import plan, rows
+from support_core import plan, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import plan, rows
+from support_core import plan, rows
 from pyspark.sql import functions as F
 
 from stratalake.operators import sinks

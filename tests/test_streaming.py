@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from support_core import rows
 from pyspark.sql import functions as F
 
 from stratalake.operators.keyed import KeyedParquet
