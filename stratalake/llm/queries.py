@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontam, exact_dedup, language, licenses, mixing, quality, simhash, tokens, toxicity, warc
-from stratalake.llm.common import staged, table
+from stratalake.llm import decontam, exact_dedup, language, licenses, mixing, periodic, quality, simhash, tokens, toxicity, warc
+from stratalake.llm.common import WORD, staged, table
 from stratalake.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,34 @@ def op7(spark, sf_dir):
 def op5(spark, sf_dir):
     found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("key", "doc_id")
+
+
+def _planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): documents whose id hashes to a multiple of ten repeat a part of their words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"))).alias("words"))
+    sized = words.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    cut = sized.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    cut = cut.withColumn("p", (1 + F.expr("(n - a) div (3 + g % 8)")).cast("int"))
+    repeated = F.expr("array_join(transform(sequence(0, n - 1), i -> words[if(i < a, i, a + (i - a) % p)]), ' ')")
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    found = periodic.find_runs(_planted_periods(table(spark, sf_dir, "documents")))
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    # Runs come by start, then period: of equal exponents the first stays.
+    best = F.expr(
+        f"aggregate(runs, CAST(NULL AS {periodic.RUN}), (b, r) -> if(b IS NULL OR r.length * b.period > b.length * r.period, r, b))"
+    )
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed").select(
+        "doc_id",
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
