@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontam, exact_dedup, language, licenses, mixing, periodic, quality, simhash, tokens, toxicity, warc
+from stratalake.llm import decontam, exact_dedup, language, licenses, mixing, periodic, quality, repeats, simhash, tokens, toxicity, warc
 from stratalake.llm.common import WORD, staged, table
 from stratalake.session import scratch_path
 
@@ -187,3 +187,9 @@ def op11(spark, sf_dir):
         F.sha2("lines", 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op12_substring_dedup")
+def op12(spark, sf_dir):
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
