@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontam, exact_dedup, language, licenses, mixing, periodic, quality, repeats, simhash, tokens, toxicity, warc
+from stratalake.llm import decontam, exact_dedup, language, licenses, mixing, periodic, prefix_trie, quality, repeats, simhash, tokens, toxicity, warc
 from stratalake.llm.common import WORD, staged, table
 from stratalake.session import scratch_path
 
@@ -193,3 +193,40 @@ def op11(spark, sf_dir):
 def op12(spark, sf_dir):
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _rebuilt(paths: DataFrame) -> DataFrame:
+    """Conversations whose first turns are those of the first conversation of their five."""
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    base = F.col("conv_id") - F.col("conv_id") % 5
+    heads = paths.where(F.col("conv_id") == base).select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("head"))
+    rows = paths.select("conv_id", "turns", base.alias("base"), h.alias("h")).join(heads, "base", "left")
+    head = F.when(F.col("head").isNotNull(), F.expr("slice(head, 1, h)")).otherwise(F.expr("slice(turns, 1, 0)"))
+    return rows.select("conv_id", F.concat(head, F.expr("slice(turns, h + 1, size(turns))")).alias("turns"))
+
+
+@query(
+    "op13_prefix_trie",
+    """
+WITH t AS (SELECT conv_id, turn, md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark,
+    octet_length(encode(coalesce(text, ''))) AS bytes FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(mark ORDER BY turn NULLS FIRST, mark) AS marks, list(bytes ORDER BY turn NULLS FIRST, mark) AS sizes,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1))))) % 9 AS h
+  FROM t GROUP BY conv_id),
+r AS (SELECT o.conv_id, list_concat(coalesce(b.marks[1:o.h], []), o.marks[o.h + 1:]) AS marks, list_concat(coalesce(b.sizes[1:o.h], []), o.sizes[o.h + 1:]) AS sizes
+  FROM o LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 5),
+p AS (SELECT conv_id, d, array_to_string(marks[1:d], '') AS key, len(marks) = d AS ends, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS bytes
+  FROM (SELECT *, unnest(range(0, len(marks) + 1)) AS d FROM r)),
+n AS (SELECT key, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM p GROUP BY key, d),
+c AS (SELECT key[1:32 * (d - 1)] AS key, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+w AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM n LEFT JOIN c ON n.key = c.key),
+a AS (SELECT key[1:32 * k] AS key, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * bytes) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM w) GROUP BY 1)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, q.conv_id AS parent_conv_id, w.n_convs, w.n_children, a.n_leaves, CAST(a.saved_tokens AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN a ON w.key = a.key LEFT JOIN n q ON w.d > 0 AND q.key = w.key[1:32 * (w.d - 1)]
+""",
+)
+def op13(spark, sf_dir):
+    return prefix_trie.prefix_nodes(_rebuilt(prefix_trie.paths_of(table(spark, sf_dir, "conversations"))))
