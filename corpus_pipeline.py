@@ -53,12 +53,12 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: one row per copy that the mix takes, numbered from 1 in `copy`, with the
     document's size and its source's size and target."""
     copy, sizes = fresh(docs, "copy"), [fresh(docs, c) for c in ("size", "source_size", "target")]
-    rows = mixing.sized_rows(docs)
-    plan = mixing.plan_mix(staged(rows, "pipeline-mix"))
-    whole = docs.select(F.struct("*").alias("doc"), "doc_id", "text", "source")
-    sized = whole.select(
-        "doc", "source", mixing.word_count(F.col("text")).alias("size"), mixing.draw_number(F.col("doc_id"), F.col("text"), "mix").alias("draw")
-    )
+    number = fresh(docs, "number")
+    counted = mixing.numbered(docs, number)
+    draw = mixing.draw_number(F.col("doc_id"), F.col("text"), F.col(number), "mix").alias("draw")
+    size = mixing.word_count(F.col("text")).alias("size")
+    plan = mixing.plan_mix(staged(counted.select("doc_id", "source", size, draw), "pipeline-mix"))
+    sized = counted.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "source", size, draw)
     taken = mixing.ranked_rows(sized, plan).withColumn("copies", mixing.copies()).where("copies > 0")
     number = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(copy)
     return taken.select("doc.*", *[F.col(c).alias(n) for c, n in zip(("size", "source_size", "target"), sizes)], number)

@@ -7,9 +7,10 @@ volume, found from sums over the sources ordered by ceiling / weight.
 
 Inside a source every document gets the whole number of copies below target / size for
 certain. The rest of the target is drawn: a document's inclusion measure is the root of its
-size, scaled so that the expected words are the rest; documents are ranked by random odds over
-inclusion odds (Pareto order sampling) and taken in that order up to the fixed size, which is
-counted in words. What the first document beyond it leaves open is filled by a second pass over
+size, scaled so that the expected words are the rest; documents whose measure would reach one
+are certain, and the scale is that of the others. Documents are ranked by random odds over
+inclusion odds (Pareto order sampling), certain ones first, and taken in that order up to the
+fixed size, which is counted in words. What the first document beyond it leaves open is filled by a second pass over
 smaller documents further down.
 
 The cut is one key per source, found by summing words in bins of the rank, then in bins of the
@@ -17,9 +18,11 @@ one bin that holds the cut, and only then by row; no source is sorted or gathere
 The tables with one row per source are stored first, so Spark knows their size and broadcasts
 them only below its limit. A row's decision follows from its own values and the cuts, so a retried task repeats it.
 
-Null texts have size 0 and are never drawn; null sources form the last source; rows equal in
-id and size are drawn together; an empty table gives no rows. Sources are expected to be far
-fewer than documents: one row per source is ordered in one task.
+Null texts have size 0 and are never drawn; null sources form the last source; an empty table
+gives no rows. Rows with equal id, text and source are numbered, and each is drawn by itself: which
+number a row gets is arbitrary, how many of them are taken is not. Sources are expected to be far
+fewer than documents: one row per source is ordered in one task, and the distinct sizes of a source in
+another.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import WORD, staged
+from stratalake.llm.common import WORD, fresh, join_checked, staged
 
 WEIGHTS, VOLUME, CEILING, BINS = (5, 2, 1), 1.5, 2, 4096
 
@@ -53,29 +56,66 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, volume: float = VOLUME, ce
     return levels.withColumn("found", first).select("source", "source_size", F.coalesce(target, F.col("cap").cast("double")).alias("target"))
 
 
-def draw_number(doc_id: Column, text: Column, seed: str) -> Column:
-    """52 hashed bits of the id (of the text where there is none)."""
-    name = F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text, F.lit(""))))
-    return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), name)), 1, 13), 16, 10).cast("long")
+def numbered(docs: DataFrame, out: str, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """`docs` with a column `out` that counts rows of equal id, text and source from 0.
+
+    Only such rows are looked at, in a stored copy: counted by the task that wrote them, plus what
+    the tasks before it have, so that a row repeated very often is spread like any others."""
+    name, part, start = fresh(docs, "row_name"), fresh(docs, "part"), fresh(docs, "start")
+    body = F.md5(F.coalesce(F.col(text), F.lit("")))
+    named = docs.withColumn(name, F.md5(F.to_json(F.struct(F.col(doc_id).alias("i"), F.col(source).alias("s"), body.alias("t")))))
+    repeated = staged(named.groupBy(name).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(name), "mix-repeated")
+    if repeated.isEmpty():
+        return docs.withColumn(out, F.lit(0).cast("long"))
+    rows = staged(join_checked(named, repeated, name, "left_semi").withColumn(part, F.spark_partition_id()), "mix-copies")
+    before = Window.partitionBy(name).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(name, part).agg(F.count(F.lit(1)).alias("n"))
+    starts = staged(starts.select(name, part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(start)), "mix-starts")
+    inside = Window.partitionBy(name, part).orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
+    counted = join_checked(rows.withColumn(out, F.row_number().over(inside)), starts, [name, part])
+    counted = counted.withColumn(out, F.col(start) + F.col(out) - 1)
+    single = join_checked(named, repeated, name, "left_anti").withColumn(out, F.lit(0).cast("long"))
+    return single.select(*docs.columns, out).unionByName(counted.select(*docs.columns, out))
+
+
+def draw_number(doc_id: Column, text: Column, number: Column, seed: str) -> Column:
+    """52 hashed bits of the id, the text and the number among equal rows."""
+    parts = (F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit(""))), number.cast("string"))
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("long")
 
 
 def pareto_rank(draw: Column, inclusion: Column) -> Column:
-    """Random odds over inclusion odds, as a number from 0 to 1 in the same order."""
+    """Random odds over inclusion odds, as a number from 0 to 1 in the same order; 0 if certain."""
     u = (draw + 0.5) / float(1 << 52)
-    p = F.least(F.when(inclusion > 0, inclusion), F.lit(1 - 2.0**-20))
+    p = F.when(inclusion > 0, inclusion)
     ratio = (u / (1 - u)) / (p / (1 - p))
-    return ratio / (1 + ratio)
+    return F.when(p >= 1, 0.0).otherwise(ratio / (1 + ratio))
 
 
 def sized_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix") -> DataFrame:
-    return docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(source).alias("source"),
-        word_count(F.col(text)).alias("size"),
-        draw_number(F.col(doc_id), F.col(text), seed).alias("draw"),
+    number = fresh(docs, "number")
+    rows = numbered(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source")), number)
+    return rows.select(
+        "doc_id",
+        "source",
+        word_count(F.col("text")).alias("size"),
+        draw_number(F.col("doc_id"), F.col("text"), F.col(number), seed).alias("draw"),
     )
 
 
+def inclusion_scales(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """(source, scale): the measure scale * root(size), or 1 where that is more, adds up to the
+    source's `rest` in words. Sizes go down; those before the first that stays below 1 are certain."""
+    sizes = rows.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.alias("l").join(plan.where("rest > 0").alias("r"), F.col("l.source").eqNullSafe(F.col("r.source"))).select("l.*", "r.rest")
+    order = Window.partitionBy("source").orderBy(F.desc("size"))
+    certain = F.coalesce(F.sum(F.col("size") * F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    roots = F.sum(F.col("n") * F.col("size") * F.sqrt("size")).over(order.rowsBetween(0, Window.unboundedFollowing))
+    levels = sizes.withColumn("scale", (F.col("rest") - certain) / roots)
+    drawn = levels.where(F.col("scale") * F.sqrt("size") < 1)
+    return drawn.groupBy("source").agg(F.max_by("scale", "size").alias("scale"))
+
+
 def _prefix(groups: DataFrame, by: list[str], budget: str) -> DataFrame:
     """The first group of each source, in order of `by`, with which the words exceed the budget,
     and the words before it."""
@@ -121,9 +161,10 @@ def plan_mix(rows: DataFrame, weights=WEIGHTS, volume: float = VOLUME, ceiling:
     targets = source_targets(rows, weights, volume, ceiling)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     targets = targets.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    root = rows.groupBy("source").agg(F.sum(F.col("size") * F.sqrt("size")).alias("root_sum"))
-    plan = targets.alias("l").join(root.alias("r"), F.col("l.source").eqNullSafe(F.col("r.source"))).select("l.*", "r.root_sum")
-    plan = staged(plan.withColumn("scale", F.when(F.col("root_sum") > 0, F.col("rest") / F.col("root_sum"))), "mix-plan")
+    targets = staged(targets, "mix-targets")
+    scales = inclusion_scales(rows, targets)
+    plan = targets.alias("l").join(scales.alias("r"), F.col("l.source").eqNullSafe(F.col("r.source")), "left")
+    plan = staged(plan.select("l.*", "r.scale"), "mix-plan")
     ranked = ranked_rows(rows, plan).where("size > 0 and rest > 0").select("source", "size", "rank", "draw")
     first = staged(_cut(ranked, plan.select("source", F.col("rest").alias("budget"))), "mix-cut")
     gaps = first.where("cut is not null")

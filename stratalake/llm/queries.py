@@ -35,7 +35,8 @@ def op2(spark, sf_dir):
 _MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-    ('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 13))::BIGINT AS draw
+    ('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) || ':'
+      || (row_number() OVER (PARTITION BY doc_id, coalesce(text, ''), source) - 1)), 1, 13))::BIGINT AS draw
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
@@ -48,13 +49,17 @@ lv AS (SELECT *, row_number() OVER o AS n,
 f AS (SELECT arg_min(level, n) AS level FROM lv WHERE level <= reach),
 t AS (SELECT source, source_size, coalesce(least(cap::DOUBLE, f.level * weight), cap::DOUBLE) AS target FROM lv LEFT JOIN f ON true),
 p AS (SELECT t.*, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
-q AS (SELECT p.*, target - whole * source_size AS rest,
-    (SELECT sum(size * sqrt(size)) FROM d WHERE d.source IS NOT DISTINCT FROM p.source) AS root_sum FROM p),
-k AS (SELECT d.*, q.source_size, q.target, q.whole, q.rest, (d.draw + 0.5) / 4503599627370496.0::DOUBLE AS u,
-    least(CASE WHEN root_sum > 0 THEN rest / root_sum END * sqrt(size), (1 - 1 / 1048576.0)::DOUBLE) AS incl
-  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
-x AS (SELECT *, (u / (1 - u)) / (incl / (1 - incl)) AS ratio FROM k),
-y AS (SELECT *, ratio / (1 + ratio) AS rank, size > 0 AND rest > 0 AS drawable FROM x),
+q AS (SELECT p.*, target - whole * source_size AS rest FROM p),
+g AS (SELECT d.source, size, count(*) AS n, any_value(rest) AS rest FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+  WHERE size > 0 AND rest > 0 GROUP BY d.source, size),
+gl AS (SELECT source, size, (rest - coalesce(sum(size * n) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(n * size * sqrt(size)) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale
+  FROM g WINDOW o AS (PARTITION BY source ORDER BY size DESC)),
+sc AS (SELECT source, arg_max(scale, size) AS scale FROM gl WHERE scale * sqrt(size) < 1 GROUP BY source),
+k AS (SELECT d.*, q.source_size, q.target, q.whole, q.rest, (d.draw + 0.5) / 4503599627370496.0::DOUBLE AS u, sc.scale * sqrt(size) AS incl
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source LEFT JOIN sc ON d.source IS NOT DISTINCT FROM sc.source),
+x AS (SELECT *, CASE WHEN incl < 1 THEN (u / (1 - u)) / (incl / (1 - incl)) END AS ratio FROM k),
+y AS (SELECT *, CASE WHEN incl >= 1 THEN 0 ELSE ratio / (1 + ratio) END AS rank, size > 0 AND rest > 0 AS drawable FROM x),
 c1 AS (SELECT *, sum(size) OVER (PARTITION BY source, drawable ORDER BY rank, draw, size) AS cum FROM y),
 z1 AS (SELECT *, drawable AND cum <= rest AS taken1,
     rest - coalesce(max(CASE WHEN drawable AND cum <= rest THEN cum END) OVER (PARTITION BY source), 0) AS open,

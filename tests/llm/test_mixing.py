@@ -56,3 +56,44 @@ def test_size_decides_the_odds(spark):
     rows = mixing.mixed(staged(mixing.sized_rows(docs), "t"), weights=(1, 20), volume=0.9).collect()
     drawn = {n: sum(r.copies for r in rows if r.source == "s" and r["size"] == n) for n in (4, 64)}
     assert 0 < drawn[4] < drawn[64]
+
+
+def taken(spark, rows, **options):
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING").repartition(6)
+    return mixing.mixed(staged(mixing.sized_rows(docs), "t"), **options).collect()
+
+
+def test_repeated_rows_are_drawn_one_by_one(spark):
+    """One id and text a hundred times: every multiple of its size can be reached."""
+    word = "w " * 10
+    rows = taken(spark, [(1, word, "s")] * 100 + [(2, "x " * 2000, "t")], weights=(1, 20), volume=0.75)
+    own = [r for r in rows if r.source == "s"]
+    assert len(rows) == 101 and abs(sum(r.taken for r in own) - own[0].target) < 10 and sorted({r.copies for r in own}) in ([0, 1], [1], [0])
+    rows = taken(spark, [(1, word, "s")] * 100)
+    assert sum(r.taken for r in rows) == 1500 and sorted({r.copies for r in rows}) == [1, 2]
+    again = taken(spark, [(1, word, "s")] * 100)
+    assert sorted(r.copies for r in again) == sorted(r.copies for r in rows)
+
+
+def test_equal_rows_are_numbered_within_their_source(spark, edges):
+    docs = spark.createDataFrame([(i % 3 or None, "ab"[i % 2], "s" if i % 5 else None, i % 7) for i in range(300)], "doc_id LONG, text STRING, source STRING, part INT")
+    found = mixing.numbered(docs.repartition(7), "no")
+    assert found.columns == [*docs.columns, "no"] and found.drop("no").exceptAll(docs).isEmpty() and found.count() == 300
+    groups = {}
+    for r in found.collect():
+        groups.setdefault((r.doc_id, r.text, r.source), []).append(r.no)
+    assert all(sorted(g) == list(range(len(g))) for g in groups.values())
+    assert mixing.numbered(edges, "no").where("no > 0").count() == 1
+
+
+def test_documents_that_must_be_taken_are_certain(spark):
+    """Large documents whose measure would be above one come first, and the rest is scaled anew."""
+    docs = [(i, "w " * (5000 if i < 4 else 10), "s") for i in range(1000)] + [(5000 + i, "w " * 1000, "t") for i in range(30)]
+    rows = spark.createDataFrame(docs, "doc_id LONG, text STRING, source STRING")
+    sized = staged(mixing.sized_rows(rows), "t")
+    plan = mixing.plan_mix(sized, weights=(1, 1), volume=0.9).where("source = 's'").first()
+    assert plan.scale * 5000**0.5 >= 1 > plan.scale * 10**0.5
+    inclusion = [min(1, plan.scale * n**0.5) * n for n in [5000] * 4 + [10] * 996]
+    assert abs(sum(inclusion) - plan.rest) < 1e-6
+    found = [r for r in mixing.mixed(sized, weights=(1, 1), volume=0.9).collect() if r["size"] == 5000]
+    assert [r.copies - plan.whole for r in found] == [1] * 4
