@@ -134,15 +134,23 @@ def op1(spark, sf_dir):
 
 def _license_sql() -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
-    known = "MAP {" + ", ".join(f"{quote(licenses.normal(s))}: {quote(n)}" for n, s in licenses.SENTENCES.items()) + "}"
+    known = licenses.known_of(licenses.SENTENCES)
+    table = lambda found: "MAP {" + ", ".join(f"{quote(k)}: {quote(v)}" for k, v in found.items()) + "}"
+    each = lambda column, pattern, by: f"regexp_replace({column}, {quote(pattern)}, {by}, 'g')"
+    cut = each("translate(" + each("coalesce(text, '')", licenses.WRAPPED, "' \\1'") + ", chr(12), ' ')", licenses.MARK, "''")
+    cut = each(f"lower({each(cut, licenses.STOP.replace('(?<=[.!?])', '([.!?])'), "chr(92) || '1' || chr(12)")})", licenses.NOISE, "' '")
+    cut = f"trim({each(each(cut, licenses.LINES, 'chr(10)'), licenses.STOPS, 'chr(12)')}, ' ')"
+    for one, two in licenses.DOUBLED:
+        cut = f"replace({cut}, {quote(one)}, {quote(two)})"
     line = "coalesce(array_to_string(list_transform(ids, lambda x: '|' || x || '|'), ''), '')"
     for licence, needed in licenses.RULES:
         line = f"replace({line}, {quote('|' + '||'.join(needed) + '|')}, {quote('<' + licence + '>')})"
     return rf"""
-WITH cut AS (SELECT doc_id, regexp_split_to_array(regexp_replace(regexp_replace(coalesce(text, ''), '\n[\x20\x09]*([a-z("])', ' \1', 'g'), '([.!?])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), '\n') AS parts
-  FROM documents),
-plain AS (SELECT doc_id, list_transform(parts, lambda s: trim(regexp_replace(lower(s), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))) AS parts FROM cut),
-named AS (SELECT doc_id, list_filter(list_transform(parts, lambda s: {known}[s]), lambda x: x IS NOT NULL) AS ids FROM plain),
+WITH plain AS (SELECT doc_id, chr(10) || {cut} || chr(10) AS body FROM documents),
+said AS (SELECT doc_id, list_transform(regexp_extract_all(body, {quote(licenses.pattern_of(known))}),
+  lambda s: trim(regexp_replace(s, '[\x20\n]+', ' ', 'g'))) AS parts FROM plain),
+named AS (SELECT doc_id, list_transform(parts,
+  lambda s: coalesce({table(known)}[s], {table(licenses.names_of())}[regexp_replace(s, {quote("^" + licenses.LEAD)}, '')])) AS ids FROM said),
 lined AS (SELECT doc_id, ids, {line} AS line FROM named),
 found AS (SELECT doc_id, ids, line, regexp_extract_all(line, '<([^>]*)>', 1) AS raw FROM lined),
 firsts AS (SELECT *, list_filter(raw, lambda x, i: list_position(raw, x) = i) AS licences FROM found)

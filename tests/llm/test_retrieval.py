@@ -360,3 +360,74 @@ def test_licence_headers_in_comments(spark):
     docs = spark.createDataFrame([(i, r[2]) for i, r in enumerate(rows)], "doc_id INT, text STRING")
     found = licenses.scan(docs).orderBy("doc_id").collect()
     assert [(r.licence, r.sentence_ids, r.unmatched) for r in found] == [(licence, ids, "") for licence, ids, _ in rows]
+
+
+WIDER = [
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("LGPL-3.0-or-later", "/* SPDX-License-Identifier: LGPL-3.0-or-later */"),
+    ("none", "SPDX-License-Identifier: MIT OR Apache-2.0"),
+    ("MIT", "The whole of this package, tests and all, is released under the MIT License."),
+    ("Apache-2.0", "Our code is licensed under the terms of the\n  Apache License, Version 2.0, and the data is not."),
+    ("several", "Code is available under the MIT license; texts are published under CC BY 4.0."),
+    ("GPL-3.0", "It is distributed under the GNU General\nPublic License v3."),
+    ("none", "It is not known what the MIT License is licensed under."),
+    ("none", "It was released under the MITRE Licence."),
+    ("ISC", licenses.SENTENCES["iscGrant"] + ".\n\n" + licenses.SENTENCES["iscAsIs"] + "."),
+    ("Unlicense", licenses.SENTENCES["unlicenseFree"] + ".\n\n" + licenses.SENTENCES["unlicenseAnyone"] + "."),
+    ("LGPL-2.1-or-later", licenses.SENTENCES["lgplFree21"] + ".\n\n" + licenses.SENTENCES["lgplHope"] + "."),
+    ("AGPL-3.0-or-later", licenses.SENTENCES["agplFree3"] + "."),
+    ("EPL-2.0", licenses.SENTENCES["eplVer2"]),
+    ("BSL-1.0", "// Distributed under the Boost Software License, Version 1.0.\n//    (See accompanying file LICENSE_1_0.txt)"),
+    ("Zlib", licenses.SENTENCES["zlibAsIs"] + ". In no event.\n\n" + licenses.SENTENCES["zlibGrant"] + "\n\n1. The origin"),
+    ("MIT", ". ".join(licenses.SENTENCES[x] for x in ("mitTitleOsi", "mitGrant", "mitNotice", "mitAsIs")).replace(":.", ":\n")),
+]
+
+
+def folded(text, width, mark):
+    """The text wrapped at a width, every line after a comment mark."""
+    import textwrap
+
+    return "\n".join(mark + line for part in text.split("\n") for line in (textwrap.wrap(part, width) or [""]))
+
+
+def licence_texts():
+    rows = list(WIDER)
+    for licence, text in WIDER:
+        if "/*" not in text and "//" not in text:
+            rows += [(licence, f"x y.\n\n{folded(text, width, mark)}\n\nint main()") for width in (30, 61) for mark in ("# ", " * ", "// ", "REM ")]
+    return rows
+
+
+def test_more_licences_wrapped_and_in_comments(spark):
+    rows = licence_texts()
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id INT, text STRING")
+    found = licenses.scan(docs).orderBy("doc_id").collect()
+    assert [(t, r.licence, r.unmatched) for (_, t), r in zip(rows, found)] == [(t, licence, "") for licence, t in rows]
+
+
+def test_licence_sql_says_the_same(spark, edges):
+    import duckdb
+
+    from stratalake.llm.queries import ORACLES
+
+    headers = [t for _, t in licence_texts()]
+    headers += ["\n".join(f"{mark}{line}" for line in t.split("\n")) for t in headers[:20] for mark in ("", "-- ", "dnl ")]
+    rows = [*enumerate(headers), (9000, None), (9001, ""), (9002, "\f \n\f. \n ! ?"), (9003, "a.\n\f\nMIT License\f.\nAll rights reserved")]
+    docs = spark.createDataFrame(rows, "doc_id INT, text STRING")
+    found = licenses.scan(docs).toPandas()
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.execute(ORACLES["op7_license_scan"]).fetch_df()
+    key = lambda df: df.sort_values("doc_id")[sorted(df.columns)].to_numpy().tolist()
+    assert key(found) == key(want)
+
+
+@pytest.mark.parametrize("run", ["\n", " ", "\f", "\t", "\n ", ".\n", " \f\n", "!", "rem ", "c ", "license under the "])
+def test_runs_take_linear_time(spark, run):
+    import time
+
+    docs = spark.createDataFrame([(1, "a" + run * (1_000_000 // len(run)) + "b"), (2, "MIT License" + run * 300_000 + ".\nMIT License")], "doc_id INT, text STRING")
+    licenses.scan(docs).collect()
+    start = time.time()
+    assert licenses.scan(docs).count() == 2 and len(licenses.scan(docs).collect()) == 2
+    assert time.time() - start < 8
