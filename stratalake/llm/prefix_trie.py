@@ -7,9 +7,9 @@ members.
 1. Conversations with equal turns become one sequence. Their ids are sorted by range of (sequence, id)
    and joined piece by piece; the pieces of a sequence are then hashed as they stream by, so a
    sequence that a third of all conversations share is neither sorted nor held by one task.
-2. Upper nodes have more than `SHARD` sequences below them (of very many: more than one in `UPPER`).
-   There are at most `UPPER` at each depth, and `UPPER` times the mean number of turns in all: this set
-   may go through the driver. The root is always one. Everything else hangs below an upper node in
+2. Upper nodes have more sequences below them than a task's share, `SHARD` at most (of very many: more
+   than one in `UPPER`). So there are at most `UPPER`, or as many as shuffle tasks, at each depth, and
+   that many times the mean number of turns in all: this set may go through the driver. The root is always one. Everything else hangs below an upper node in
    subtrees of at most that many sequences: the prefix shards, of which small ones share a task.
 3. A shard numbers its turns densely and packs its subtrees into BASE and CHECK arrays: the child of
    node s by turn c is BASE[s] + c if CHECK there is s. Sequences walk through the arrays, all at
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import in_small_batches, staged
 from stratalake.session import shuffle_width
 
-SHARD, UPPER = 20_000, 20_000
+SHARD, UPPER, LEAST = 20_000, 20_000, 32
 PIECE = 4096
 TRIES = 64
 ROOT = hashlib.md5(b"").digest()
@@ -242,8 +242,8 @@ def prefix_nodes(paths: DataFrame, shard: int = SHARD, upper: int = UPPER) -> Da
     own = rows.select(F.col("conv_id").alias("least"), F.col("turns.mark").alias("marks"), F.col("turns.bytes").alias("sizes"))
     sequences = staged(ends.join(own, "least"), "trie-sequences")
     total = sequences.count()
-    most = max(shard, total // upper)
-    known = upper_nodes(sequences, most).collect()  # at most `upper` times the mean number of turns, and the root
+    most = max(total // upper, min(shard, max(LEAST, total // shuffle_width(spark))))
+    known = upper_nodes(sequences, most).collect()  # bounded by (2)
     least_of = {bytes(r.key): r.least for r in known}
     shards = max(shuffle_width(spark), 2 * total // most)
 
