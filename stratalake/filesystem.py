@@ -22,6 +22,11 @@ class Files:
         fs, p = self._at(path)
         return fs.exists(p)
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below a folder."""
+        fs, p = self._at(path)
+        return fs.getContentSummary(p).getLength()
+
     def delete(self, path: str) -> None:
         """A file or a folder; a missing one is no error."""
         fs, p = self._at(path)

@@ -202,11 +202,14 @@ def stm_output_append(spark, sf):
 
 @query("snk_copy_into", "SELECT * FROM customer")
 def snk_copy_into(spark, sf):
-    """Loaded twice with one checkpoint: each file counts once. Headers differ between files."""
+    """Two feeds into one target, each loaded twice with its checkpoint: each file counts once.
+    Headers differ between files."""
     base = scratch_path(spark, "copy")
-    write_untidy_csv(e.load(spark, sf, "customer"), "c_custkey", f"{base}/in")
-    for _ in range(2):
-        loaded = jobs.load_csv(spark, f"{base}/in/*", f"{base}/out", f"{base}/checkpoint", schema=CUSTOMER_COLUMNS)
+    customers = e.load(spark, sf, "customer")
+    for feed, part in (("a", F.col("c_acctbal") < 4000), ("b", F.coalesce(F.col("c_acctbal") >= 4000, F.lit(True)))):
+        write_untidy_csv(customers.where(part), "c_custkey", f"{base}/in-{feed}")
+        for _ in range(2):
+            loaded = jobs.load_csv(spark, f"{base}/in-{feed}/*", f"{base}/out", f"{base}/checkpoint-{feed}", schema=CUSTOMER_COLUMNS)
     return loaded
 
 

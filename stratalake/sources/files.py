@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import csv
 import json
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +17,12 @@ from pyspark.sql import types as T
 
 from stratalake.operators.sinks import add_bronze_audit_cols
 from stratalake.schemas import BRONZE_CASTS, RAW_SALES
+from stratalake.session import shuffle_width
 
 RESCUED, BROKEN_LINE = "_rescued_data", "__broken_line"
-#: Files whose header is read at once.
-HEADER_THREADS = 16
+#: Files whose header the driver reads at once; a task of many files reads so many.
+HEADER_THREADS, HEADERS_PER_TASK, HEADER_TASKS = 16, 64, 16
+ARROW_SCHEMES = ("file", "hdfs", "s3", "gs", "abfs")
 
 
 def with_rescue_column(schema: T.StructType) -> T.StructType:
@@ -24,7 +30,36 @@ def with_rescue_column(schema: T.StructType) -> T.StructType:
 
 
 def first_lines(spark: SparkSession, names: list[str]) -> dict[str, str | None]:
-    """The first line of each file, by Hadoop's file systems; nothing else is read."""
+    """The first line of each file; nothing else is read.
+
+    Many files are opened by tasks, on the file systems that Arrow knows; a few, and those on any
+    other file system, by the driver through Hadoop's."""
+    if len(names) <= HEADER_THREADS or not all(n.split(":", 1)[0] in ARROW_SCHEMES for n in names):
+        return _lines_by_driver(spark, names)
+    rows = spark.createDataFrame([(n,) for n in names], "name STRING")
+    tasks = min(-(-len(names) // HEADERS_PER_TASK), HEADER_TASKS * shuffle_width(spark))
+    found = rows.repartition(tasks).mapInArrow(_lines_in_task, "name STRING, line STRING")
+    return {r.name: r.line for r in found.toLocalIterator()}
+
+
+def _lines_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = batch.column(0).to_pylist()
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(_first_line, names), pa.string())], ["name", "line"])
+
+
+def _first_line(name: str) -> str | None:
+    # Hadoop writes file:/a/b
+    scheme, rest = name.split(":", 1)
+    system, place = fs.FileSystem.from_uri(f"{scheme}:{quote(rest if rest.startswith('//') else '//' + rest)}")
+    data = b""
+    with system.open_input_stream(place, compression="detect", buffer_size=1 << 16) as stream:
+        while b"\n" not in data and b"\r" not in data and (more := stream.read(1 << 16)):
+            data += more
+    return data.splitlines()[0].decode("utf-8", "replace") if data else None
+
+
+def _lines_by_driver(spark: SparkSession, names: list[str]) -> dict[str, str | None]:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
 

@@ -15,6 +15,9 @@ from stratalake.plans.sales_metrics import geographic_sales
 from stratalake.sources import files
 
 ORDER_LATENESS = "1 day"
+FILES_PER_BATCH = 1000
+#: Folders of a load; names that no data column has.
+FEED, LOAD = "__feed", "__load"
 
 
 def append_to_path(
@@ -56,28 +59,34 @@ def load_csv(
     store: str | None = None,
     rescue: bool = False,
     audit: bool = False,
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Load each CSV file of a folder exactly once, columns by the header of the file.
 
     With a `schema` the columns are fixed; with a `store` they are inferred, and the feed
-    may grow new ones. A micro-batch writes a folder of its own, which a repeated one replaces.
+    may grow new ones. A micro-batch of a feed, which its checkpoint tells by the id of the stream,
+    writes a folder of its own, and a repeated one replaces that. Any number of feeds, or a feed that
+    starts again with a new checkpoint, may load into one `out`. The driver knows the file names of one
+    micro-batch at a time.
     """
+    feed: list[str] = []
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        names = sorted(r[0] for r in batch.distinct().collect())  # file names of one micro-batch
+        names = sorted(r[0] for r in batch.distinct().collect())  # at most `files_per_batch`
         if not names:
             return
+        if not feed:
+            feed.append(session.read.schema("id STRING").json(f"{checkpoint}/metadata").first().id)
         columns = schema if schema is not None else files.feed_schema(session, names, store)
         rows = files.csv_by_name(session, names, columns, rescue)
         rows = add_bronze_audit_cols(rows) if audit else rows
-        rows.drop("_metadata").write.mode("overwrite").parquet(f"{out}/load={batch_id}")
+        rows.drop("_metadata").write.mode("overwrite").parquet(f"{out}/{FEED}={feed[0]}/{LOAD}={batch_id}")
 
     stream = files.stream_file_names(spark, path, files_per_batch)
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.option("mergeSchema", "true").parquet(out).drop("load")
+    return spark.read.option("mergeSchema", "true").parquet(out).drop(FEED, LOAD)
 
 
 def copy_into(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

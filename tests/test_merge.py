@@ -4,6 +4,7 @@ import pytest
 from support_core import rows
 from pyspark.sql import functions as F
 
+from stratalake.filesystem import Files
 from stratalake.operators import merge
 from stratalake.operators.keyed import KeyedParquet
 from stratalake.plans import loads
@@ -133,3 +134,56 @@ def test_a_run_that_dies_before_the_watermark_is_repeatable(spark, path, monkeyp
     monkeypatch.undo()
     assert run_load(spark, path, data, 1)["rows"] == 1
     assert KeyedParquet(spark, f"{path}/orders", ["order_id"]).read().count() == 1
+
+
+def test_buckets_grow_with_the_table(spark, path):
+    table = KeyedParquet(spark, f"{path}/t", ["id"], bucket_bytes=10_000)
+    count = lambda: spark.read.parquet(f"{path}/t").select("key_buckets").distinct().collect()
+    row = lambda i: (i, f"{i * 2654435761 % (1 << 32):032x}")  # noqa: E731  text that does not compress away
+    table.merge(frame(spark, [row(i) for i in range(100)]))
+    assert [r[0] for r in count()] == [1]
+    for part in range(1, 5):
+        table.merge(frame(spark, [row(i) for i in range(part * 2500, (part + 1) * 2500)]))
+    buckets = count()
+    assert len(buckets) == 1 and buckets[0][0] > 4
+    assert rows(table.read()) == rows(frame(spark, [row(i) for i in [*range(100), *range(2500, 12_500)]]))
+    # a merge that does not deal anew leaves the other buckets alone
+    before = set(spark.read.parquet(f"{path}/t").inputFiles())
+    table.merge(frame(spark, [(3, "x"), (2501, "y")]))
+    after = set(spark.read.parquet(f"{path}/t").inputFiles())
+    assert 0 < len(before - after) <= 2 < len(before & after)
+
+
+@pytest.mark.parametrize("grown", [False, True])
+def test_a_killed_swap_is_finished(spark, path, monkeypatch, grown):
+    """The writer is lost after folders were deleted and before the new ones were moved in."""
+    size = 300 if grown else 1000
+    table = KeyedParquet(spark, f"{path}/t", ["id"], bucket_bytes=size)
+    table.overwrite(frame(spark, [(i, f"old {i * 7919 % 1000}") for i in range(200)]))
+    changes = frame(spark, [(i, f"new {i}") for i in range(150, 150 + (2000 if grown else 100))])
+
+    def killed(self, df, mode):
+        root = f"{path}/t"
+        names = {n.split("/")[1] for n in Files(spark).below(root)}
+        for name in sorted(names)[: None if mode == "static" else 3]:
+            Files(spark).delete(f"{root}/key_buckets={[n for n in Files(spark).children(root) if '=' in n][0].split('=')[1]}/{name}")
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(KeyedParquet, "_write", killed)
+    with pytest.raises(RuntimeError):
+        table.merge(changes)
+    monkeypatch.undo()
+    again = KeyedParquet(spark, f"{path}/t", ["id"], bucket_bytes=size)
+    again.merge(frame(spark, [(-1, "later")]))
+    want = {i: f"old {i * 7919 % 1000}" for i in range(200)} | {r.id: r.v for r in changes.collect()} | {-1: "later"}
+    assert {r.id: r.v for r in again.read().collect()} == want and again.read().count() == len(want)
+    assert not Files(spark).exists(f"{path}/t.swap")
+
+
+def test_a_note_that_is_not_complete_changes_nothing(spark, path):
+    table = KeyedParquet(spark, f"{path}/t", ["id"])
+    table.overwrite(frame(spark, [(1, "a")]))
+    frame(spark, [("/nowhere", "static", 1)], "path STRING, mode STRING, buckets INT").write.json(f"{path}/t.swap")
+    Files(spark).delete(f"{path}/t.swap/_SUCCESS")
+    table.merge(frame(spark, [(2, "b")]))
+    assert rows(table.read()) == [(1, "a"), (2, "b")]

@@ -243,3 +243,46 @@ def test_audit_columns(spark):
     out = sinks.add_silver_audit_cols(df)
     assert out.columns == [*df.columns, "silver_loaded_ts_utc"] and out.where("silver_loaded_ts_utc IS NULL").isEmpty()
     assert sinks.add_silver_audit_cols(df.where("FALSE")).count() == 0
+
+
+# -- headers and feeds -----------------------------------------------------
+
+
+def test_headers_of_many_files_are_read_in_tasks(spark, path, monkeypatch):
+    import gzip
+    import os
+
+    os.makedirs(f"{path}/a b/é%")
+    for i in range(40):
+        text = f"id,v{i % 3}\r\n{i},x\r\n" if i % 2 else f"id,v{i % 3}\n{i},x"
+        name = f"{path}/a b/é%/part {i}.csv"
+        if i % 5 == 0:
+            with gzip.open(name + ".gz", "wb") as f:
+                f.write(text.encode())
+        else:
+            write(name, text)
+    write(f"{path}/a b/é%/empty.csv", "")
+    names = files.listed(spark, f"{path}/a b/*")
+    by_driver = files._lines_by_driver(spark, names)
+    monkeypatch.setattr(files, "_lines_by_driver", None)  # not used
+    found = files.first_lines(spark, names)
+    assert len(names) >= 40 and found == by_driver and set(filter(None, found.values())) == {"id,v0", "id,v1", "id,v2"}
+
+
+def test_two_feeds_and_a_new_checkpoint_load_into_one_target(spark, path):
+    import os
+
+    for feed, lines in (("a", "id,v\n1,a\n"), ("b", "v,id\nb,2\n")):
+        os.makedirs(f"{path}/{feed}")
+        write(f"{path}/{feed}/1.csv", lines)
+    schema = columns("id INT, v STRING")
+    load = lambda feed, checkpoint: jobs.load_csv(spark, f"{path}/{feed}", f"{path}/out", f"{path}/{checkpoint}", schema=schema, files_per_batch=1)
+    for _ in range(2):
+        load("a", "ca")
+        out = load("b", "cb")
+    assert out.columns == ["id", "v"] and rows(out) == [(1, "a"), (2, "b")]
+    write(f"{path}/a/2.csv", "id,v\n3,c\n")
+    assert rows(load("a", "ca")) == [(1, "a"), (2, "b"), (3, "c")]
+    os.makedirs(f"{path}/c")
+    write(f"{path}/c/1.csv", "id,v\n4,d\n")
+    assert rows(load("c", "new")) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
