@@ -1,25 +1,28 @@
 """Benchmark decontamination by latent semantic retrieval, then order and answer checks.
 
 1. Document frequencies of hashed words are counted over all documents.
-2. The benchmark's passages become TF-IDF rows of length one. Randomised SVD: a random start is
-   multiplied by the rows and their transpose a few times; every task adds up its share of the
-   product, the shares are added by blocks of terms, and the driver only orthogonalises a table
-   of fixed size (terms x rank). Passages are points in the space of the leading directions.
-3. Every document is read whole. For each item, windows at every block of `STEP` words that are wide
-   enough to hold it at any offset are looked at. A hit leaves out at most 1 - `ORDER` of the item's
-   words, so of any `r` of them all but that many are in the window: the item's rarest words are
-   counted in the window, and it is a candidate if enough are there. Words that are foreign to the
-   item count nothing, and no window that the next step would accept is lost.
+2. The benchmark's passages become TF-IDF rows of length one, in spaces of about `SPACE` passages.
+   Randomised SVD of each space: a random start is multiplied by the rows and their transpose a few
+   times; every task adds up its share of the product, the shares are added by blocks of terms, and the
+   driver only orthogonalises a table of fixed size (terms x rank), one space at a time. A passage's
+   image is its row in the space of the leading directions, seen in terms again.
+3. Every document is read whole, once for all items. Windows at every block of `STEP` words that are
+   wide enough to hold an item at any offset are compared with its image: the product of the image and
+   of the window's TF-IDF vector, words foreign to the item left out, so they cost nothing. A
+   hit leaves out at most 1 - `ORDER` of the item's words, so its product is no less than what remains
+   of the item without its heaviest such words; this sum is the item's limit, and no window that the
+   next step would accept is below it. The product takes the item's rarest words, as many as tell
+   other windows best; a count of the same words, with the limit got in the same way, must agree.
 4. A candidate is a hit if the longest common subsequence of words covers `ORDER` of the item and
    that with its last sentence (the answer) covers `ANSWER` of that sentence. Of an item's hits the
-   one with the longest subsequence stands, then the one that is nearest in the latent space
-   (product there over the window's full TF-IDF length).
+   one with the longest subsequence stands, then the one with the larger cosine (of the window's words
+   that the item has, and the item's image).
 
-The benchmark is the stated query set: it is taken in blocks of `ITEMS` items, each against all
-documents. Items of fewer than `LEAST_WORDS` words are hits where all their words stand one after
-the other. Null and empty texts and items without a word have no hits; repeated rows have equal
-hits; several rows of one item id (or without one) count as several items, of which the best
-stands. Long documents are read in overlapping stretches.
+The prepared items are stored in the shared folder; tasks read them there, so neither the driver nor
+a plan holds the benchmark. Items of fewer than `LEAST_WORDS` words are hits where all their words
+stand one after the other. Null and empty texts and items without a word have no hits; repeated rows
+have equal hits; several rows of one item id (or without one) count as several items, of which the
+best stands. Long documents are read in overlapping stretches.
 
 Words are runs of letters, marks and digits of any script and _ after lower-casing. In scripts
 without blanks (`SINGLE`) every character is a word. Format characters inside a word count nothing.
@@ -36,15 +39,21 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import in_small_batches, staged
+from stratalake.llm.warc import located
+from stratalake.session import scratch_path
 
-TERMS, RANK, EXTRA, ROUNDS, SEED = 1 << 15, 48, 16, 2, 11
-STEP, STRETCH, ITEMS, LEAST_WORDS = 8, 1 << 15, 1000, 8
+TERMS, RANK, EXTRA, ROUNDS, SEED = 1 << 15, 256, 16, 2, 11
+STEP, STRETCH, SPACE, LEAST_WORDS = 8, 1 << 15, 200, 8
 ORDER, ANSWER = 0.6, 0.6
 TERM_BLOCK = 4096
+#: An item of which the space holds less than this share is not searched but an error.
+FAINT = 1e-3
 # Of UTF-8, after everything that is no part of a word has become a blank.
 BYTE_VALUES = np.array([c + 1 if c >= 128 or chr(c).isalnum() or c == 95 else 0 for c in range(256)], np.uint32)
 PLACES = np.random.default_rng(SEED).integers(1 << 30, 1 << 31, 64, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -160,29 +169,36 @@ def passages_of(bench: DataFrame) -> DataFrame:
     return staged(bench.select("item_text").mapInPandas(run, "terms array<int>, counts array<float>"), "decontam-passages")
 
 
-def latent_basis(passages: DataFrame, idf: np.ndarray) -> np.ndarray:
-    """Terms x rank: the leading right singular vectors of the TF-IDF passages."""
-    basis = np.random.default_rng(SEED).standard_normal((TERMS, RANK + EXTRA))
+def latent_basis(passages: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, terms x rank): the passages' terms and the leading right singular vectors of their
+    TF-IDF rows."""
+    used = passages.select(F.explode("terms").alias("t")).distinct().collect()  # at most TERMS
+    terms = np.array(sorted(r.t for r in used), np.int64)
+    if not len(terms):
+        return terms, np.empty((0, 0), np.float32)
+    place = np.zeros(TERMS, np.int64)
+    place[terms] = np.arange(len(terms))
+    basis = np.random.default_rng(SEED).standard_normal((len(terms), min(RANK + EXTRA, len(terms))))
     basis = np.linalg.qr(basis)[0].astype(np.float32)
     for _ in range(ROUNDS + 1):
-        product = _gram_product(passages, idf.astype(np.float32), basis)
+        product = _gram_product(passages, idf.astype(np.float32), place, basis)
         left, size, _ = np.linalg.svd(product, full_matrices=False)
         basis = left.astype(np.float32)
-    return basis[:, :RANK] * (size[:RANK] > 1e-9 * max(size[0], 1e-30))
+    return terms, basis[:, :RANK] * (size[:RANK] > 1e-6 * max(size[0], 1e-30))
 
 
-def _gram_product(passages: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
+def _gram_product(passages: DataFrame, idf: np.ndarray, place: np.ndarray, basis: np.ndarray) -> np.ndarray:
     """A'(A basis) for the length-one TF-IDF rows A."""
+    blocks = range(0, len(basis), TERM_BLOCK)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(basis.shape, np.float32)
         for frame in frames:
             for terms, counts in zip(frame.terms, frame.counts):
                 if len(terms):
-                    row = counts * idf[terms]
+                    at, row = place[terms], counts * idf[terms]
                     row /= np.sqrt((row**2).sum())
-                    total[terms] += np.outer(row, row @ basis[terms])
-        blocks = range(0, TERMS, TERM_BLOCK)
+                    total[at] += np.outer(row, row @ basis[at])
         yield pd.DataFrame({"block": list(blocks), "part": [total[b : b + TERM_BLOCK].tobytes() for b in blocks]})
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:  # one share per task
@@ -196,6 +212,11 @@ def _gram_product(passages: DataFrame, idf: np.ndarray, basis: np.ndarray) -> np
     return out
 
 
+def spare_of(n: int) -> int:
+    """So many of an item's n words a hit leaves out at most."""
+    return max((k for k in range(n) if (n - k) / n >= ORDER), default=0)
+
+
 class Item:
     """A benchmark item with what the order check needs."""
 
@@ -205,8 +226,7 @@ class Item:
         sentences = [w for w in (Words(x).part() for x in re.split(r"(?<=[.!?])\s+|(?<=[。！？｡])|\n", text or "")) if w]
         self.answer = sentences[-1] if sentences else []
         self.blocks = -(-len(self.words) // STEP) + 1
-        # A hit leaves out so many words at most.
-        self.spare = max((n for n in range(len(self.words)) if (len(self.words) - n) / len(self.words) >= ORDER), default=0)
+        self.spare = spare_of(len(self.words))
         self.places, self.answer_places = self._places(self.words), self._places(self.answer)
 
     @staticmethod
@@ -228,66 +248,114 @@ def common_subsequence(places: dict[bytes, int], size: int, words: list[bytes])
     return size - row.bit_count()
 
 
+def rarest(kinds: np.ndarray, counts: np.ndarray, often: np.ndarray, spare: int, width: int) -> tuple[np.ndarray, int]:
+    """The rarest words that tell most, and how many of their occurrences a hit has at least.
+
+    Whatever the number taken, no hit is lost; the one is taken that other windows reach least."""
+    order = np.argsort(often[kinds], kind="stable")
+    least = np.cumsum(counts[order]) - spare
+    expected = np.cumsum(often[kinds[order]]) * width + 1e-9
+    odds = np.where(least > expected, least * np.log(expected / np.maximum(least, 1)) + least - expected, 0.0)
+    odds[least <= 0] = 1.0
+    best = int(np.argmin(odds))
+    return order[: best + 1], int(least[best])
+
+
+def prepared(item_id: list, texts: list[str | None], idf: np.ndarray, terms: np.ndarray, basis: np.ndarray) -> pd.DataFrame:
+    """What the search needs of the items of a space; items without a word are left out.
+
+    `kinds` are an item's terms and `image` its row in the space there; `chosen` terms count with
+    `weights`, and a hit reaches `need` with them, and `least` of their occurrences. Of a short item
+    only the rarest term is `chosen`, its place in the item is `least`."""
+    place = np.full(TERMS, -1)
+    place[terms] = np.arange(len(terms))
+    often = np.exp(-idf) / max(np.exp(-idf).sum(), 1e-12)
+    rows = []
+    for name, text in zip(item_id, texts):
+        ids = Words(text).terms
+        if not len(ids):
+            continue
+        kinds, counts = np.unique(ids, return_counts=True)
+        row = counts * idf[kinds]
+        row /= np.linalg.norm(row)
+        own = basis[place[kinds]].astype(np.float64)
+        image = own @ (row @ own)
+        if row @ image < FAINT:
+            raise RuntimeError(f"the space has lost item {name!r}: more directions are needed")
+        if len(ids) < LEAST_WORDS:
+            at = int(np.argmax(idf[ids]))
+            rows.append((name, text, len(ids), kinds, image, ids[at : at + 1], np.ones(1), at, 0.0))
+            continue
+        spare, width = spare_of(len(ids)), STEP * (-(-len(ids) // STEP) + 2)
+        chosen, least = rarest(kinds, counts, often, spare, width)
+        weights = idf[kinds[chosen]] * np.maximum(image[chosen], 0.0)
+        # The lightest of the chosen words, all but those that a hit may leave out.
+        need = np.sort(np.repeat(weights, counts[chosen]))[: max(least, 0)].sum()
+        rows.append((name, text, len(ids), kinds, image, kinds[chosen], weights, least, need))
+    return pd.DataFrame(rows, columns=["item_id", "text", "n", "kinds", "image", "chosen", "weights", "least", "need"])
+
+
+PREPARED = "text string, n int, kinds array<int>, image array<double>, chosen array<int>, weights array<double>, least int, need double"
+
+
 class Finder:
-    """Hits of a set of items in whole texts."""
-
-    def __init__(self, items: list[Item], idf: np.ndarray, basis: np.ndarray):
-        # The last column adds up to the squared TF-IDF length (of distinct words).
-        self.vectors = np.concatenate([basis * idf[:, None], idf[:, None] ** 2], axis=1).astype(np.float32)
-        self.short: dict[int, list[tuple[Item, int]]] = {}  # by their rarest word, with its place
-        for item in items:
-            if len(item.words) < LEAST_WORDS:
-                place = int(np.argmax(idf[item.terms]))
-                self.short.setdefault(int(item.terms[place]), []).append((item, place))
+    """Hits of prepared items in whole texts."""
+
+    def __init__(self, rows: pa.Table, idf: np.ndarray):
+        self.idf, self.rows, self._items = idf, rows, {}
+        numbers = lambda name: rows[name].to_numpy()
+        size, self.least, self.need = numbers("n"), numbers("least"), numbers("need") * (1 - 1e-9)
+        self.blocks = -(-size // STEP) + 2
+        chosen = rows["chosen"].combine_chunks()
+        owner = np.repeat(np.arange(len(size)), np.diff(chosen.offsets.to_numpy()))
+        terms, weights = chosen.flatten().to_numpy().astype(np.int64), rows["weights"].combine_chunks().flatten().to_numpy()
+        short = size[owner] < LEAST_WORDS
+        self.short: dict[int, list[int]] = {}
+        for term, k in zip(terms[short].tolist(), owner[short].tolist()):
+            self.short.setdefault(term, []).append(k)
         self.anchors = np.zeros(TERMS, bool)
         self.anchors[list(self.short)] = True
-        items = [i for i in items if len(i.words) >= LEAST_WORDS]
-        self.items = sorted(items, key=lambda i: i.blocks)
-        # How often the rarest words of an item occur in it, and how many of these a hit has at least.
-        self.rare, self.least = np.zeros((TERMS, len(items)), np.uint16), np.zeros(len(items), np.int32)
-        often = np.exp(-idf) / max(np.exp(-idf).sum(), 1e-12)
-        for k, item in enumerate(self.items):
-            chosen, self.least[k] = self._rarest(item, often)
-            self.rare[item.kinds[chosen], k] = np.minimum(item.counts[chosen], 0xFFFF)
-        self.used = self.rare.any(axis=1)
-        self.blocks = np.array([i.blocks + 1 for i in self.items], np.int64)
-        self.reach = STEP * int(self.blocks.max(initial=0))
-
-    @staticmethod
-    def _rarest(item: Item, often: np.ndarray) -> tuple[np.ndarray, int]:
-        """The rarest words that tell most, and how many of their occurrences a hit has at least.
-
-        Whatever the number taken, no hit is lost; the one is taken that other windows reach least."""
-        order = np.argsort(often[item.kinds], kind="stable")
-        least = np.cumsum(item.counts[order]) - item.spare
-        expected = np.cumsum(often[item.kinds[order]]) * STEP * (item.blocks + 1) + 1e-9
-        odds = np.where(least > expected, least * np.log(expected / np.maximum(least, 1)) + least - expected, 0.0)
-        odds[least <= 0] = 1.0
-        best = int(np.argmin(odds))
-        return order[: best + 1], int(least[best])
-
-    def candidates(self, ids: np.ndarray) -> Iterator[tuple[Item, np.ndarray]]:
-        """(item, first words) of the windows of a stretch that may hold an item."""
-        places = np.flatnonzero(self.used[ids])
-        found = ids[places]
-        near = np.flatnonzero(self.rare[np.unique(found)].sum(axis=0, dtype=np.int32) >= self.least)
+        # Inverted lists: the items that chose a term, with its weight there.
+        terms, owner, weights = terms[~short], owner[~short], weights[~short]
+        order = np.argsort(terms, kind="stable")
+        self.first = np.searchsorted(terms[order], np.arange(TERMS + 1))
+        self.list_item, self.list_weight = owner[order], weights[order]
+        self.reach = STEP * int(self.blocks[size >= LEAST_WORDS].max(initial=0))
+
+    def item(self, k: int) -> Item:
+        if k not in self._items:
+            self._items[k] = Item(self.rows["item_id"][k].as_py(), self.rows["text"][k].as_py())
+        return self._items[k]
+
+    def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(item number, first words) of the windows of a stretch that may hold an item."""
+        length = self.first[ids + 1] - self.first[ids]
+        places = np.flatnonzero(length)
+        length = length[places]
+        start = self.first[ids[places]] - np.cumsum(length) + length
+        entry = np.repeat(start, length) + np.arange(length.sum())
+        items, weights = self.list_item[entry], self.list_weight[entry]
+        often, product = np.bincount(items, minlength=len(self.need)), np.bincount(items, weights, len(self.need))
+        near = (often >= np.maximum(self.least, 1)) & (product >= self.need)
+        mine = np.flatnonzero(near[items])
+        mine = mine[np.argsort(items[mine], kind="stable")]
+        blocks = np.repeat(places // STEP, length)[mine]
+        items, weights = items[mine], weights[mine]
         n = -(-len(ids) // STEP)
-        block, first = np.unique(places // STEP, return_index=True)
-        for at in range(0, len(near), 128):
-            part = near[at : at + 128]
-            sums = np.zeros((n + 1, len(part)), np.int32)
-            sums[block + 1] = np.add.reduceat(self.rare[found[:, None], part] > 0, first, axis=0, dtype=np.int32)
-            np.cumsum(sums, axis=0, out=sums)
-            for width in np.unique(self.blocks[part]):
-                own = np.flatnonzero(self.blocks[part] == width)
-                wide = min(int(width), n)
-                enough = sums[wide:, own] - sums[: n + 1 - wide, own] >= self.least[part[own]]
-                for k in np.flatnonzero(enough.any(axis=0)):
-                    item = self.items[part[own[k]]]
-                    starts = np.flatnonzero(enough[:, k]) * STEP
-                    starts = starts[self._shared(item, ids, starts) >= len(item.words) - item.spare]
-                    if len(starts):
-                        yield item, starts
+        edges = np.flatnonzero(np.diff(items, prepend=-1, append=-1))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            k = int(items[a])
+            wide = min(int(self.blocks[k]), n)
+            sums = np.zeros((2, n + 1))
+            np.cumsum(np.bincount(blocks[a:b], weights[a:b], n), out=sums[0, 1:])
+            np.cumsum(np.bincount(blocks[a:b], minlength=n), out=sums[1, 1:])
+            product, often = sums[:, wide:] - sums[:, : n + 1 - wide]
+            starts = np.flatnonzero((product >= self.need[k] - 1e-9) & (often >= self.least[k])) * STEP
+            if len(starts):
+                item = self.item(k)
+                starts = starts[self._shared(item, ids, starts) >= len(item.words) - item.spare]
+                if len(starts):
+                    yield k, starts
 
     @staticmethod
     def _shared(item: Item, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -302,22 +370,28 @@ class Finder:
             out.append(np.minimum(counts.reshape(len(terms), -1), item.counts).sum(axis=1))
         return np.concatenate(out)
 
-    def cosine(self, item: Item, ids: np.ndarray) -> float:
-        """Product of a window and an item in the latent space over the window's full length."""
-        again = np.concatenate([[False], ids[1:] == ids[:-1]])  # a word repeated on the spot counts once
-        window = self.vectors[ids[~again]].sum(axis=0, dtype=np.float64)
-        own = self.vectors[item.terms, :-1].sum(axis=0, dtype=np.float64)
-        return float(window[:-1] @ own / max(np.linalg.norm(own), 1e-12) / np.sqrt(max(window[-1], 1e-12)))
+    def cosine(self, k: int, ids: np.ndarray) -> float:
+        """Of a window's TF-IDF vector, in the terms that the item has, and the item's image."""
+        kinds, image = (np.array(self.rows[c][k].as_py()) for c in ("kinds", "image"))
+        own = self.item(k)
+        found, counts = np.unique(ids[np.isin(ids, kinds)], return_counts=True)
+        if not len(found):
+            return 0.0
+        at = np.searchsorted(kinds, found)
+        window = np.minimum(counts, own.counts[at]) * self.idf[found]
+        return float(min(1.0, window @ image[at] / max(np.linalg.norm(window) * np.linalg.norm(image), 1e-12)))
 
     def _short_hits(self, words: Words) -> dict:
         """Hits of the items that are too short for windows: their words one after the other."""
         best: dict = {}
         ids = words.terms
         for at in np.flatnonzero(self.anchors[ids]).tolist() if self.short else ():
-            for item, place in self.short[int(ids[at])]:
-                a, b = at - place, at - place + len(item.words)
+            for k in self.short[int(ids[at])]:
+                item = self.item(k)
+                a = at - int(self.least[k])
+                b = a + len(item.words)
                 if item.id not in best and a >= 0 and np.array_equal(ids[a:b], item.terms) and words.part(a, b) == item.words:
-                    best[item.id] = (item.id, 1.0, self.cosine(item, ids[a:b]), 1.0)
+                    best[item.id] = (item.id, 1.0, self.cosine(k, ids[a:b]), 1.0)
         return best
 
     def hits(self, text: str | None) -> list[tuple]:
@@ -329,7 +403,8 @@ class Finder:
             part = ids[at : at + STRETCH + self.reach]
             if len(part) == 0 or (at and len(part) <= self.reach):
                 continue
-            for item, starts in self.candidates(part):
+            for k, starts in self.candidates(part):
+                item = self.item(k)
                 for a in (at + starts).tolist():
                     if best.get(item.id, (0, 0))[1] == 1.0:
                         break
@@ -340,41 +415,60 @@ class Finder:
                         continue
                     answer = common_subsequence(item.answer_places, len(item.answer), window) / len(item.answer)
                     if answer >= ANSWER:
-                        cosine = self.cosine(item, ids[a:b])
+                        cosine = self.cosine(k, ids[a : b + STEP])
                         if (order, cosine) > best.get(item.id, (0, 0, 0))[1:3]:
                             best[item.id] = (item.id, order, cosine, answer)
         return [(i, c, o, a) for i, o, c, a in best.values()]
 
 
+@lru_cache(1)
+def stored_finder(path: str, idf: bytes) -> Finder:
+    """The prepared items at `path`, read once by a worker."""
+    system, place = located(path)
+    files = system.get_file_info(fs.FileSelector(place))
+    names = sorted(f.path for f in files if f.is_file and f.base_name.endswith(".parquet"))
+    return Finder(pa.concat_tables([pq.read_table(n, filesystem=system) for n in names]), np.frombuffer(idf))
+
+
+def store_items(bench: DataFrame, idf: np.ndarray) -> str:
+    """Prepare the items (item_id, item_text) space by space; the folder that holds them."""
+    spark, kind = bench.sparkSession, dict(bench.dtypes)["item_id"]
+    spaces = max(1, round(bench.count() / SPACE))
+    bench = bench.withColumn("space", F.pmod(F.xxhash64("item_id", "item_text"), F.lit(spaces)))
+    bench = bench if spaces == 1 else staged(bench, "decontam-items")
+    path = scratch_path(spark, "decontam-prepared")
+    for k in range(spaces):
+        items = bench.where(F.col("space") == k).select("item_id", "item_text")
+        terms, basis = latent_basis(passages_of(items), idf)
+
+        def run(frames: Iterator[pd.DataFrame], terms=terms, basis=basis) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                yield prepared(frame.item_id.tolist(), frame.item_text.tolist(), idf, terms, basis)
+
+        shape = f"item_id {kind}, {PREPARED}"
+        items.mapInPandas(run, shape).write.mode("append").parquet(path)
+    return path
+
+
 def contaminated(docs: DataFrame, bench: DataFrame, key: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(key, item_id, cosine, order_share, answer_share): one row per row of `docs` and benchmark
     item that it holds; `key` is any column of `docs`."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
     bench = bench.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("item_text"))
+    item_type = dict(bench.dtypes)["item_id"]
     idf = document_frequencies(docs, text)
-    basis = latent_basis(passages_of(bench), idf)
-    rounds = max(1, -(-bench.count() // ITEMS))
-    out = None
-    for k in range(rounds):
-        block = bench.where(F.pmod(F.xxhash64("item_id", "item_text"), F.lit(rounds)) == k).collect()  # about ITEMS rows
-        found = _search(docs, [Item(r.item_id, r.item_text) for r in block], idf, basis, key, text, dict(bench.dtypes)["item_id"])
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
-def _search(docs: DataFrame, items: list[Item], idf, basis, key: str, text: str, item_type: str) -> DataFrame:
-    items = [i for i in items if i.words]
-    finder = Finder(items, idf, basis)
+    path, weights = store_items(bench, idf), idf.tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = stored_finder(path, weights)
         for batch in batches:
-            rows = [(i, h) for i, body in enumerate(batch.column(1)) for h in finder.hits(body.as_py())] if items else []
+            rows = [(i, h) for i, body in enumerate(batch.column(1)) for h in finder.hits(body.as_py())]
             columns = list(zip(*[h for _, h in rows])) or [[], [], [], []]
             keys = batch.column(0).take(pa.array([i for i, _ in rows], pa.int64()))
             kinds = [item_kind, pa.float64(), pa.float64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([keys, *[pa.array(c, k) for c, k in zip(columns, kinds)]], names)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     names = ["key", "item_id", "cosine", "order_share", "answer_share"]
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("body"))
     shape = f"key {dict(source.dtypes)['key']}, item_id {item_type}, cosine double, order_share double, answer_share double"

@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,7 +167,9 @@ def test_basis_matches_a_plain_svd(spark):
     texts = [" ".join(f"w{j}" for j in rng.zipf(1.5, 40) % 300) for _ in range(60)]
     bench = spark.createDataFrame([(t,) for t in texts], "item_text STRING")
     idf = np.ones(decontam.TERMS)
-    basis = decontam.latent_basis(decontam.passages_of(bench), idf)
+    terms, found = decontam.latent_basis(decontam.passages_of(bench), idf)
+    basis = np.zeros((decontam.TERMS, found.shape[1]))
+    basis[terms] = found
     rows = np.zeros((60, decontam.TERMS))
     for i, t in enumerate(texts):
         terms, counts = np.unique(decontam.Words(t).terms, return_counts=True)
@@ -248,17 +251,115 @@ def test_pipeline_edges(spark, edges, empty, stage):
     assert run(spark, empty, sf).count() == 0
 
 
-def hits_of(docs, items, **options):
-    """Hits of plain texts without Spark."""
+def finder_of(docs, items, zero=False):
+    """A finder of plain texts without Spark, over a plain SVD."""
     idf = np.zeros(decontam.TERMS)
     for text in docs:
         idf[np.unique(decontam.Words(text).terms)] += 1
     idf = np.log((1 + len(docs)) / (1 + idf)) + 1e-3
-    basis = np.linalg.qr(np.random.default_rng(1).standard_normal((decontam.TERMS, 8)))[0]
-    finder = decontam.Finder([decontam.Item(i, t) for i, t in items], idf, basis)
+    rows = np.zeros((len(items), decontam.TERMS))
+    for row, (_, text) in zip(rows, items):
+        kinds, counts = np.unique(decontam.Words(text).terms, return_counts=True)
+        row[kinds] = counts * idf[kinds] / max(np.linalg.norm(counts * idf[kinds]), 1e-12)
+    terms = np.flatnonzero(rows.any(axis=0))
+    _, size, right = np.linalg.svd(rows[:, terms], full_matrices=False)
+    basis = right[size > 1e-9].T.astype(np.float32) * (not zero)
+    frame = decontam.prepared([i for i, _ in items], [t for _, t in items], idf, terms, basis)
+    return decontam.Finder(pa.Table.from_pandas(frame), idf)
+
+
+def hits_of(docs, items, **options):
+    finder = finder_of(docs, items, **options)
     return {(d, h[0]) for d, text in enumerate(docs) for h in finder.hits(text)}
 
 
+def brute_hits(docs, items):
+    """Every window of every document against every item: order and answer shares, nothing else."""
+    out = set()
+    for d, text in enumerate(docs):
+        words = decontam.Words(text).part()
+        for i, body in items:
+            item = decontam.Item(i, body)
+            n, width = len(item.words), decontam.STEP * (item.blocks + 1)
+            if n < decontam.LEAST_WORDS:
+                continue
+            for a in range(0, max(1, len(words) - width + decontam.STEP), decontam.STEP):
+                window = words[a : a + width]
+                order = decontam.common_subsequence(item.places, n, window) / n
+                if order >= decontam.ORDER and decontam.common_subsequence(item.answer_places, len(item.answer), window) / len(item.answer) >= decontam.ANSWER:
+                    out.add((d, i))
+                    break
+    return out
+
+
+def paraphrases(seed, n_items=25, n_docs=150):
+    """Documents with items of which words are left out, changed, moved and repeated, to either side of the limits."""
+    rng = random.Random(seed)
+    vocabulary = [f"{a}{b}" for a in "bcdfgh" for b in "aeiou"] + [f"r{i}" for i in range(900)]
+    word = lambda: vocabulary[min(int(rng.expovariate(1 / 60)), len(vocabulary) - 1)]
+    items = [(i, " ".join(word() + ("." if rng.random() < 0.08 else "") for _ in range(rng.randint(8, 45)))) for i in range(n_items)]
+    docs = []
+    for _ in range(n_docs):
+        body = [word() for _ in range(rng.randint(0, 150))]
+        for _ in range(rng.randint(0, 2)):
+            words = rng.choice(items)[1].split()
+            loss = rng.choice([0, 0.1, 0.3, 0.38, 0.42, 0.5])
+            words = [x for w in words for x in ([w] if rng.random() >= loss else rng.choice([[], [word()]]))]
+            at = rng.randint(0, len(body))
+            body[at:at] = words
+        docs.append(" ".join(body))
+    return docs, items
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_search_finds_what_every_window_tells(seed):
+    """Recall 1 and nothing more against a brute-force comparison of all windows."""
+    docs, items = paraphrases(seed)
+    want = brute_hits(docs, items)
+    assert len(want) > 40 and hits_of(docs, items) == want
+
+
+def test_search_goes_through_the_latent_space():
+    docs, items = paraphrases(1)
+    with pytest.raises(RuntimeError, match="lost item"):
+        finder_of(docs, items, zero=True)
+    # images turned away from the items: their limits are never reached
+    finder = finder_of(docs, items)
+    finder.list_weight = np.zeros_like(finder.list_weight)
+    assert not any(finder.hits(text) for text in docs)
+
+
+def test_limits_leave_few_windows():
+    """Most windows are told apart by their product, before words are compared."""
+    docs, items = paraphrases(4, n_docs=60)
+    finder = finder_of(docs, items)
+    asked = []
+    finder._shared = lambda item, ids, starts: asked.extend(starts) or decontam.Finder._shared(item, ids, starts)
+    windows = sum(max(1, len(t.split()) // decontam.STEP) for t in docs) * len(items)
+    for text in docs:
+        finder.hits(text)
+    assert len(asked) < 0.2 * windows
+
+
+def test_many_items_in_several_spaces(spark):
+    """One pass over the documents whatever the number of items; the plan does not grow with them."""
+    rng = random.Random(9)
+    items = [(i, " ".join(f"v{rng.randrange(4000)}" for _ in range(rng.randint(9, 40)))) for i in range(900)]
+    docs = [" ".join(f"v{rng.randrange(4000)}" for _ in range(60)) + (" " + items[i * 3][1] if i < 300 else "") for i in range(400)]
+    found = decontam.contaminated(spark.createDataFrame(list(enumerate(docs)), "doc_id LONG, text STRING"), spark.createDataFrame(items, "item_id LONG, text STRING"))
+    assert {(r.key, r.item_id) for r in found.collect()} >= {(i, 3 * i) for i in range(300)}
+    assert {(r.key, r.item_id) for r in found.collect()} == brute_hits_of_verbatim(docs, items)
+    assert plan_of(found).count("MapInArrow") <= 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def brute_hits_of_verbatim(docs, items):
+    return {(d, i) for d, text in enumerate(docs) for i, body in items if f" {body} " in f" {text} "}
+
+
 def test_passages_among_rare_words():
     rng = random.Random(2)
     common = [f"c{i}" for i in range(40)]
