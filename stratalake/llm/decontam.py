@@ -264,8 +264,8 @@ def rarest(kinds: np.ndarray, counts: np.ndarray, often: np.ndarray, spare: int,
 def prepared(item_id: list, texts: list[str | None], idf: np.ndarray, terms: np.ndarray, basis: np.ndarray) -> pd.DataFrame:
     """What the search needs of the items of a space; items without a word are left out.
 
-    `kinds` are an item's terms and `image` its row in the space there; `chosen` terms count with
-    `weights`, and a hit reaches `need` with them, and `least` of their occurrences. Of a short item
+    `kinds` are an item's terms and `image` its row in the space there; `chosen` terms, of which
+    it has `counts`, weigh `weights`; a hit reaches `need` with them, and `least` of their occurrences. Of a short item
     only the rarest term is `chosen`, its place in the item is `least`."""
     place = np.full(TERMS, -1)
     place[terms] = np.arange(len(terms))
@@ -284,18 +284,24 @@ def prepared(item_id: list, texts: list[str | None], idf: np.ndarray, terms: np.
             raise RuntimeError(f"the space has lost item {name!r}: more directions are needed")
         if len(ids) < LEAST_WORDS:
             at = int(np.argmax(idf[ids]))
-            rows.append((name, text, len(ids), kinds, image, ids[at : at + 1], np.ones(1), at, 0.0))
+            rows.append((name, text, len(ids), kinds, image, ids[at : at + 1], np.ones(1), np.ones(1, np.int32), at, 0.0))
             continue
         spare, width = spare_of(len(ids)), STEP * (-(-len(ids) // STEP) + 2)
         chosen, least = rarest(kinds, counts, often, spare, width)
         weights = idf[kinds[chosen]] * np.maximum(image[chosen], 0.0)
         # The lightest of the chosen words, all but those that a hit may leave out.
         need = np.sort(np.repeat(weights, counts[chosen]))[: max(least, 0)].sum()
-        rows.append((name, text, len(ids), kinds, image, kinds[chosen], weights, least, need))
-    return pd.DataFrame(rows, columns=["item_id", "text", "n", "kinds", "image", "chosen", "weights", "least", "need"])
+        rows.append((name, text, len(ids), kinds, image, kinds[chosen], weights, counts[chosen], least, need))
+    return pd.DataFrame(rows, columns=["item_id", "text", "n", "kinds", "image", "chosen", "weights", "counts", "least", "need"])
 
 
-PREPARED = "text string, n int, kinds array<int>, image array<double>, chosen array<int>, weights array<double>, least int, need double"
+PREPARED = "text string, n int, kinds array<int>, image array<double>, chosen array<int>, weights array<double>, counts array<int>, least int, need double"
+
+
+def _spread(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The numbers from each low up to its high, one after the other."""
+    length = high - low
+    return np.repeat(low - np.cumsum(length) + length, length) + np.arange(length.sum())
 
 
 class Finder:
@@ -315,11 +321,12 @@ class Finder:
             self.short.setdefault(term, []).append(k)
         self.anchors = np.zeros(TERMS, bool)
         self.anchors[list(self.short)] = True
-        # Inverted lists: the items that chose a term, with its weight there.
-        terms, owner, weights = terms[~short], owner[~short], weights[~short]
+        # Inverted lists: the items that chose a term, with its weight and count there.
+        terms, owner, weights, counts = terms[~short], owner[~short], weights[~short], rows["counts"].combine_chunks().flatten().to_numpy()[~short]
         order = np.argsort(terms, kind="stable")
         self.first = np.searchsorted(terms[order], np.arange(TERMS + 1))
-        self.list_item, self.list_weight = owner[order], weights[order]
+        self.listed = np.diff(self.first) > 0
+        self.list_term, self.list_item, self.list_weight, self.list_count = terms[order], owner[order], weights[order], counts[order]
         self.reach = STEP * int(self.blocks[size >= LEAST_WORDS].max(initial=0))
 
     def item(self, k: int) -> Item:
@@ -329,18 +336,26 @@ class Finder:
 
     def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(item number, first words) of the windows of a stretch that may hold an item."""
-        length = self.first[ids + 1] - self.first[ids]
-        places = np.flatnonzero(length)
-        length = length[places]
-        start = self.first[ids[places]] - np.cumsum(length) + length
-        entry = np.repeat(start, length) + np.arange(length.sum())
-        items, weights = self.list_item[entry], self.list_weight[entry]
-        often, product = np.bincount(items, minlength=len(self.need)), np.bincount(items, weights, len(self.need))
-        near = (often >= np.maximum(self.least, 1)) & (product >= self.need)
-        mine = np.flatnonzero(near[items])
-        mine = mine[np.argsort(items[mine], kind="stable")]
-        blocks = np.repeat(places // STEP, length)[mine]
-        items, weights = items[mine], weights[mine]
+        # Items that the stretch as a whole may hold: each of its words as often as the item has it.
+        seen = np.zeros(TERMS, bool)
+        seen[ids] = True
+        distinct = np.flatnonzero(seen & self.listed)
+        lists = _spread(self.first[distinct], self.first[distinct + 1])
+        items, counts = self.list_item[lists], self.list_count[lists]
+        often = np.bincount(items, counts, len(self.need))
+        product = np.bincount(items, counts * self.list_weight[lists], len(self.need))
+        near = (often >= np.maximum(self.least, 1)) & (product >= self.need - 1e-9)
+        lists = lists[near[items]]
+        if not len(lists):
+            return
+        # Their words, block by block.
+        terms = self.list_term[lists]
+        low, high = np.searchsorted(terms, ids), np.searchsorted(terms, ids, "right")
+        places = np.flatnonzero(high > low)
+        entry, length = lists[_spread(low[places], high[places])], (high - low)[places]
+        items = self.list_item[entry]
+        order = np.argsort(items, kind="stable")
+        blocks, items, weights = np.repeat(places // STEP, length)[order], items[order], self.list_weight[entry][order]
         n = -(-len(ids) // STEP)
         edges = np.flatnonzero(np.diff(items, prepend=-1, append=-1))
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
