@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalake.operators.ranges import range_of, sample_bounds
 from stratalake.session import shuffle_width
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -73,15 +74,20 @@ def join_salted_selective(
 
 
 def join_salted_full(fact: DataFrame, dim: DataFrame, key: str, salts: int | None = None, how: str = "left") -> DataFrame:
-    """Every key salted; the dimension is replicated once per salt value. By default there
-    are so many salts that the largest key spreads over shares like those of
-    `join_salted_selective`."""
+    """Every key salted, each with as many salts as its rows ask for: a key gets one more for each
+    share of the fact, a quarter of an average shuffle task's. All keys together get four salts
+    a task beyond their first, whatever the skew, and a dimension row is copied once per salt of its own
+    key. With a fixed number `salts` every key gets that many."""
     if salts is None:
-        sizes = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
-        share = max(1000, (sizes[1] or 0) // (4 * shuffle_width(fact.sparkSession)))
-        salts = max(1, -(-(sizes[0] or 0) // share))
-    salted_fact = fact.withColumn("__salt", salt_of(fact, salts))
-    salted_dim = dim.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+        sizes = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+        share = max(1000, fact.count() // (4 * shuffle_width(fact.sparkSession)))
+        more = sizes.where(F.col("__n") > share).select(key, F.ceil(F.col("__n") / share).cast("int").alias("__salts"))
+        fact, dim = join_small(fact, more, key, "left"), join_small(dim, more, key, "left")
+        salts_of = F.coalesce(F.col("__salts"), F.lit(1))
+    else:
+        salts_of = F.lit(salts)
+    salted_fact = fact.withColumn("__salt", F.pmod(salt_hash(fact), salts_of).cast("int")).drop("__salts")
+    salted_dim = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts_of - 1))).drop("__salts")
     return salted_fact.join(salted_dim, [key, "__salt"], how).drop("__salt")
 
 
@@ -127,10 +133,29 @@ def validity_join(
     return joined.drop(*[f"__p_{k}" for k in keys], "__month")
 
 
-def overlapping_validity(prices: DataFrame, on: list[str], start: str, end: str) -> DataFrame:
-    """Price rows that begin before the previous one of the same product ended: each of
-    them would be counted twice by `validity_join`."""
-    w = Window.partitionBy(*on).orderBy(start)
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.max(F.coalesce(F.col(end), F.lit("9999-12-31").cast("timestamp"))).over(earlier)
-    return prices.withColumn("__reach", reach).where(F.col(start) < F.col("__reach")).drop("__reach")
+def overlapping_validity(prices: DataFrame, on: list[str], start: str, end: str, hot_rows: int = 5_000_000) -> DataFrame:
+    """Price rows that begin before an earlier one of the same product ended: each of them
+    would be counted twice by `validity_join`.
+
+    A sweep in order of the start with the latest end so far. A product with more than `hot_rows`
+    rows is cut into ranges of the start; a range begins with the latest end of those before it."""
+    ends = F.coalesce(F.col(end), F.lit("9999-12-31").cast("timestamp"))
+    hot = hot_keys(prices, on, hot_rows)
+    columns, by = prices.columns, list(on)
+    if not hot.isEmpty():
+        marked = join_small(prices, hot.select(*on, F.lit(True).alias("__hot")), on, "left")
+        big = marked.where("__hot")
+        n = big.count()
+        bounds = sample_bounds(big, [start], 2 + 4 * n // hot_rows, n)
+        # a NULL start, first in order, lies in the first range
+        prices = marked.withColumn("__r", F.when(F.col("__hot"), F.coalesce(range_of(marked, [start], bounds), F.lit(0))).otherwise(F.lit(0)))
+        by = [*on, "__r"]
+    w = Window.partitionBy(*by).orderBy(start)
+    reach = F.max(ends).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    swept = prices.withColumn("__reach", reach)
+    if by != list(on):
+        before = Window.partitionBy(*on).orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+        latest = prices.where("__hot").groupBy(*by).agg(F.max(ends).alias("__end"))
+        carry = latest.select(*by, F.max("__end").over(before).alias("__before"))
+        swept = join_small(swept, carry, by, "left").withColumn("__reach", F.greatest("__reach", "__before"))
+    return swept.where(F.col(start) < F.col("__reach")).select(*columns)

@@ -132,3 +132,35 @@ def test_open_prices_reach_as_far_as_the_usage(spark):
         "cloud STRING, sku_name STRING, price_start_time TIMESTAMP, price_end_time TIMESTAMP, pricing STRUCT<default: DOUBLE>",
     )
     assert [r["list_cost"] for r in cost_at_list_price(usage, prices).collect()] == [6.0]
+
+
+def test_full_salting_copies_only_what_hot_keys_need(spark):
+    fact = spark.range(40_000).select(F.when(F.col("id") < 30_000, 1).otherwise(F.col("id") % 500 + 2).alias("k"), F.col("id").alias("v"))
+    fact = fact.unionByName(spark.createDataFrame([(None, -1)], "k LONG, v LONG"))
+    dim = spark.range(1, 400).select(F.col("id").alias("k"), (F.col("id") * 10).alias("d"))
+    for how in ("left", "inner"):
+        want = fact.join(dim, "k", how)
+        got = joins.join_salted_full(fact, dim, "k", how=how)
+        assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    fixed = joins.join_salted_full(fact, dim, "k", salts=3)
+    assert fixed.count() == fact.count()
+
+
+def test_overlaps_of_a_split_product(spark):
+    import datetime as dt
+    import random
+
+    rng, day = random.Random(3), dt.datetime(2024, 1, 1)
+    starts = rng.sample(range(4000), 400)
+    data = [("hot" if i % 5 else f"p{i % 4}", day + dt.timedelta(hours=s), rng.choice([None] + [day + dt.timedelta(hours=s + rng.randrange(1, 40))] * 400), i) for i, s in enumerate(starts)]
+    prices = spark.createDataFrame(data, "p STRING, a TIMESTAMP, b TIMESTAMP, i INT")
+    want = set()
+    for p in {d[0] for d in data}:
+        reach = None
+        for row in sorted((d for d in data if d[0] == p), key=lambda d: d[1]):
+            if reach is not None and row[1] < reach:
+                want.add(row[3])
+            reach = max(reach or day, row[2] or dt.datetime.max)
+    for hot_rows in (5_000_000, 20):
+        found = joins.overlapping_validity(prices, ["p"], "a", "b", hot_rows)
+        assert found.columns == prices.columns and {r.i for r in found.collect()} == want and found.count() == len(want)
