@@ -106,8 +106,10 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "i
 
     `queries` has the same columns as `vectors`. Each block of queries meets each block of vectors
     once: (queries / BLOCK) x (vectors / BLOCK) rows of matrices, at most k rows per query out of each."""
-    asked = _as_queries(_packed(directions(queries, id_col, vec_col), False)).drop("bucket")
-    return _top(_best_of_blocks(_packed(directions(vectors, id_col, vec_col), False).crossJoin(asked), k), k)
+    # Stored, since each block is read once per block of the other side.
+    asked = _as_queries(_stored(_packed(directions(queries, id_col, vec_col), False))).drop("bucket")
+    blocks = _stored(_packed(directions(vectors, id_col, vec_col), False))
+    return _top(_best_of_blocks(blocks.crossJoin(asked), k), k)
 
 
 class Planes:
