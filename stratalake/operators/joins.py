@@ -96,43 +96,6 @@ def replicate(dim: DataFrame, salts: int, out: str = "salt_val") -> DataFrame:
     return dim.withColumn(out, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
 
 
-def validity_join(
-    usage: DataFrame,
-    prices: DataFrame,
-    on: list[str],
-    at: Column,
-    start: Column,
-    end: Column,
-    ends_before: Column | None = None,
-    month_of: Column | None = None,
-) -> DataFrame:
-    """Match each usage row with the price valid for it.
-
-    Condition: `start <= at` and (`end` is NULL or the usage ends in time). By default the
-    interval is half open (`at < end`); pass `ends_before` for the closed form, which tests
-    `ends_before <= end`.
-
-    With `month_of` (first instant of the month of a usage row) both sides also meet on the
-    month: a long price history is then not compared row by row, and a hot product is spread
-    over its months. Prices are spread over the months that the usage has, so an open price
-    reaches as far as the usage does.
-    """
-    in_time = (at < end) if ends_before is None else (ends_before <= end)
-    residual = (start <= at) & (end.isNull() | in_time)
-    keys = list(on)
-    if month_of is not None:
-        usage = usage.withColumn("__month", month_of)
-        months = usage.select(*on, "__month").distinct()
-        valid = (F.date_trunc("month", start) <= F.col("__month")) & (end.isNull() | (F.col("__month") <= end))
-        prices = prices.join(months, on).where(valid)
-        keys.append("__month")
-    left = usage.alias("u")
-    right = prices.select(*[F.col(k).alias(f"__p_{k}") for k in keys], *[c for c in prices.columns if c not in keys])
-    match = [F.col(f"u.{k}") == F.col(f"__p_{k}") for k in keys]
-    joined = left.join(right, [*match, residual], "inner")
-    return joined.drop(*[f"__p_{k}" for k in keys], "__month")
-
-
 def overlapping_validity(prices: DataFrame, on: list[str], start: str, end: str, hot_rows: int = 5_000_000) -> DataFrame:
     """Price rows that begin before an earlier one of the same product ended: each of them
     would be counted twice by `validity_join`.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions.scalars import minutes_between, percent
 from stratalake.operators.dedup import latest_per_key
-from stratalake.operators.joins import validity_join
+from stratalake.operators.intervals import validity_join
 
 TOP = 20
 
@@ -134,7 +134,6 @@ def cost_at_list_price(usage: DataFrame, prices: DataFrame) -> DataFrame:
         start=F.col("price_start_time"),
         end=F.col("price_end_time"),
         ends_before=F.col("usage_end_time"),
-        month_of=F.date_trunc("month", "usage_start_time"),
     )
     return priced.groupBy("workspace_id", "billing_origin_product", "sku_name").agg(
         F.sum(F.col("usage_quantity") * F.col("unit_price")).alias("list_cost")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import joins
+from stratalake.operators import intervals, joins
 from stratalake.operators.dedup import duplicate_keys
 from stratalake.operators.quality import missing_dimensions
 from stratalake.plans import loads, medallion, monitoring
@@ -116,7 +116,7 @@ def join_aggs(spark, sf):
 )
 def join_validity(spark, sf):
     prices = e.list_prices(spark, sf).withColumn("default_price", F.col("pricing.default")).drop("pricing")
-    matched = joins.validity_join(
+    matched = intervals.validity_join(
         e.usage(spark, sf),
         prices,
         ["cloud", "sku_name"],
@@ -145,13 +145,32 @@ def join_validity_halfopen(spark, sf):
         F.to_date("price_end_time").alias("d1"),
         F.col("pricing.effective_list.default").alias("effective_price"),
     )
-    matched = joins.validity_join(
+    matched = intervals.validity_join(
         e.usage(spark, sf), prices, ["sku_name"], at=F.col("usage_date"), start=F.col("d0"), end=F.col("d1"),
-        month_of=F.trunc("usage_date", "month"),
     )
     return matched.select("usage_date", "usage_start_time", "sku_name", "effective_price")
 
 
+@query(
+    "join_overlap",
+    """WITH transit AS (SELECT o_custkey, l_orderkey, l_linenumber, l_shipdate, l_shipdate + to_days(l_linenumber) AS arrives
+         FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+       SELECT o.o_orderkey, t.l_orderkey, t.l_linenumber FROM orders o JOIN transit t ON o.o_custkey = t.o_custkey
+         AND o.o_orderdate <= t.arrives AND t.l_shipdate <= o.o_orderdate + INTERVAL 30 DAYS""",
+)
+def join_overlap(spark, sf):
+    """Shipments that were under way within thirty days of any order of the same customer."""
+    orders = e.load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    owner = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    transit = e.load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate").join(owner, "l_orderkey")
+    arrives = F.col("l_shipdate") + F.make_dt_interval(F.col("l_linenumber"))
+    met = intervals.overlap_join(
+        orders, transit, ["o_custkey"],
+        (F.col("o_orderdate"), F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")), (F.col("l_shipdate"), arrives),
+    )
+    return met.select("o_orderkey", "l_orderkey", "l_linenumber")
+
+
 @query(
     "join_dedup_side",
     check(

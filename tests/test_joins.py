@@ -61,27 +61,6 @@ PRICES = [
     ("A", datetime(2024, 1, 10), None, 2.0),
     ("B", datetime(2024, 1, 5), datetime(2024, 2, 1), 3.0),
 ]
-USAGE = [("A", d, datetime(d.year, d.month, d.day, 12)) for d in map(lambda n: datetime(2024, 1, n), (1, 9, 10, 11))]
-USAGE += [("B", datetime(2024, 1, 4), datetime(2024, 1, 4, 12)), ("B", datetime(2024, 1, 31), datetime(2024, 2, 1)),
-          ("B", datetime(2024, 1, 31, 1), datetime(2024, 2, 1, 1)), ("A", datetime(2024, 5, 1), datetime(2024, 5, 2))]
-
-
-@pytest.mark.parametrize("by_month", [False, True])
-@pytest.mark.parametrize("closed", [False, True])
-def test_validity_join(spark, by_month, closed):
-    usage = spark.createDataFrame(USAGE, "sku STRING, begins TIMESTAMP, ends TIMESTAMP")
-    prices = spark.createDataFrame(PRICES, "sku STRING, start_at TIMESTAMP, end_at TIMESTAMP, price DOUBLE")
-    months = {"month_of": F.date_trunc("month", "begins")} if by_month else {}
-    got = joins.validity_join(
-        usage, prices, ["sku"], F.col("begins"), F.col("start_at"), F.col("end_at"),
-        ends_before=F.col("ends") if closed else None, **months,
-    ).select("sku", "begins", "price")
-    want = []
-    for sku, begins, ends in USAGE:
-        for psku, a, b, price in PRICES:
-            if sku == psku and a <= begins and (b is None or (ends <= b if closed else begins < b)):
-                want.append((sku, begins, price))
-    assert rows(got) == sorted(want, key=repr)
 
 
 def test_overlapping_prices_are_found(spark):
