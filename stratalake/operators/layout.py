@@ -88,24 +88,58 @@ def z_value(ranks: list[str], bits: int) -> Column:
     return z
 
 
+def hilbert_value(x: str, y: str, bits: int) -> Column:
+    """Place of the cell (x, y) of a 2**bits by 2**bits square on Hilbert's curve; neighbours on the
+    curve are neighbours in the square. One fold over the bits, from the highest."""
+
+    def step(at: Column, bit: Column) -> Column:
+        side = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+        right = at.x.bitwiseAND(side) > 0
+        upper = at.y.bitwiseAND(side) > 0
+        quadrant = F.when(right, F.when(upper, 2).otherwise(3)).otherwise(F.when(upper, 1).otherwise(0))
+        # the curve inside a lower quadrant is the whole one, mirrored at a diagonal
+        turned = right & ~upper
+        a, b = (F.when(turned, side - 1 - v.bitwiseAND(side - 1)).otherwise(v) for v in (at.x, at.y))
+        return F.struct(
+            F.when(upper, a).otherwise(b).alias("x"),
+            F.when(upper, b).otherwise(a).alias("y"),
+            (at.d * 4 + quadrant).alias("d"),
+        )
+
+    start = F.struct(F.col(x).cast("bigint").alias("x"), F.col(y).cast("bigint").alias("y"), F.lit(0).cast("bigint").alias("d"))
+    return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, step, lambda end: end.d)
+
+
+#: Ranks of a clustering column: no more than this, whatever the number of files (two columns make a
+#: million cells of it), so the bounds in plan and driver are few. A cell is cut by the columns themselves.
+MOST_RANKS = 1024
+
+
+def cluster_bounds(df: DataFrame, cols: list[str], files: int) -> dict[str, list[tuple]]:
+    """Sampled bounds by which each clustering column is ranked: four ranks per file, MOST_RANKS at most."""
+    rows = df.count()
+    ranks = min(MOST_RANKS, 2 ** (62 // len(cols)), max(2, 4 * files))
+    return {c: sample_bounds(df, [c], ranks, rows) for c in cols}
+
+
+def curve_place(df: DataFrame, bounds: dict[str, list[tuple]], out: str) -> DataFrame:
+    """`df` with each row's place on the curve through the cells of the ranks: Hilbert's for two columns,
+    bits interleaved for more."""
+    bits = max(1, max(len(b) for b in bounds.values()).bit_length())
+    ranks = {f"__r{i}": range_of(df, [c], b) for i, (c, b) in enumerate(bounds.items())}
+    names = list(ranks)
+    place = hilbert_value(*names, bits) if len(names) == 2 else z_value(names, bits)
+    return df.withColumns(ranks).withColumn(out, place).drop(*names)
+
+
 def cluster(df: DataFrame, cols: list[str], files: int) -> DataFrame:
     """Rows arranged so that each file covers a small range of every clustering column.
 
-    Each column is ranked by sampled bounds, four ranks per file. The table is range-partitioned on the
-    interleaved ranks plus the columns themselves, so a value that fills many files is cut
-    by the other columns.
+    The table is range-partitioned on the place on a curve through the columns' ranks plus the columns
+    themselves, so a value that fills many files is cut by the other columns.
     """
-    bits = min(63 // len(cols), max(1, (4 * files - 1).bit_length()))  # a rank fits into its share of a long
-    ranges = min(2**bits, max(2, 4 * files))
-    rows = df.count()
-    ranks = {f"__r{i}": range_of(df, [c], sample_bounds(df, [c], ranges, rows)) for i, c in enumerate(cols)}
-    return (
-        df.withColumns(ranks)
-        .withColumn("__z", z_value(list(ranks), bits))
-        .repartitionByRange(files, "__z", *cols)
-        .sortWithinPartitions("__z", *cols)
-        .drop("__z", *ranks)
-    )
+    placed = curve_place(df, cluster_bounds(df, cols, files), "__z")
+    return placed.repartitionByRange(files, "__z", *cols).sortWithinPartitions("__z", *cols).drop("__z")
 
 
 def compact_partition(

@@ -16,20 +16,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.session import shuffle_width
+from stratalake.session import scratch_path, shuffle_width
 
 SAMPLE_PER_RANGE = 50
 RANGES_PER_TASK = 3
 #: A table gets no more ranges than it has this many rows, and no fewer than one per so many.
 ROWS_PER_RANGE, MOST_ROWS_PER_RANGE = 50_000, 5_000_000
+#: Bounds kept as literals are no more than this, whatever the size of the table, so the driver sees at most
+#: 1.2 * SAMPLE_PER_RANGE * MOST_RANGES keys. A table that asks for more ranges is numbered in files.
+MOST_RANGES = 2_000
 
 
 def _cuts(df: DataFrame, cols: list[str], ranges: int, rows: int | None = None) -> list[tuple]:
     """`ranges - 1` ascending sort-key values at even places of a sample; a key that is more
     frequent than a range comes several times.
 
-    The driver receives about SAMPLE_PER_RANGE keys per range whatever the size of the table.
+    The driver receives about SAMPLE_PER_RANGE keys per range, for MOST_RANGES ranges at most,
+    whatever the size of the table.
     """
+    ranges = min(ranges, MOST_RANGES)
     keys = df.select(*cols)
     total = keys.count() if rows is None else rows
     want = SAMPLE_PER_RANGE * ranges
@@ -107,9 +112,12 @@ def add_row_number(df: DataFrame, order: list[str], out: str, ranges: int | None
 
     Rows are numbered inside each range; the start of a range is the running count of the
     ranges before it, a table of one row per range. Rows of a key that fills more than a range
-    are cut further by a hash of the row, which settles their order.
+    are cut further by a hash of the row, which settles their order. A table that asks for more
+    than MOST_RANGES ranges is numbered by its place in sorted files.
     """
     wanted, rows = _wanted_ranges(df.select(*order), ranges)
+    if wanted > MOST_RANGES:
+        return numbered_in_files(df, order, out, wanted)
     cuts = _cuts(df, order, wanted, rows)
     if not cuts:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
@@ -121,6 +129,28 @@ def add_row_number(df: DataFrame, order: list[str], out: str, ranges: int | None
     return _numbered(tied.withColumn("__range", range_of(tied, by, bounds)), by, out, F.row_number()).drop("__tie")
 
 
+def numbered_in_files(df: DataFrame, order: list[str], out: str, files: int) -> DataFrame:
+    """`add_row_number` for tables of any length: the rows are stored once in the shared folder, a
+    sorted range per file, and a row's number is its place in its file behind the rows of the files before.
+
+    Spark draws the bounds (at most a million sampled keys, whatever the number of files); rows of one
+    key are dealt over files by a hash. What is stored does not move, so a retried task reads the
+    same numbers. The counts, a row per file, are added up in one task.
+    """
+    spark, path, tie = df.sparkSession, scratch_path(df.sparkSession, "numbered"), "__tie"
+    tied = df.withColumn(tie, F.xxhash64(*[F.col(c) for c in df.columns]))
+    by = [*order, tie]
+    tied.repartitionByRange(files, *by).sortWithinPartitions(*by).write.option("maxRecordsPerFile", 0).parquet(path)
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)-", 1).cast("int")
+    stored = spark.read.schema(tied.schema).parquet(path)
+    placed = stored.select(*df.columns, part.alias("__file"), F.col("_metadata.row_index").alias("__place"))
+    sizes = stored.groupBy(part.alias("__file")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    numbered = placed.join(F.broadcast(starts), "__file")  # one row per file
+    return numbered.select(*df.columns, (F.col("__start") + F.col("__place") + 1).alias(out))
+
+
 def _numbered(cut: DataFrame, order: list[str], out: str, number: Column, count_first: bool = True) -> DataFrame:
     """Numbers inside the ranges plus the highest numbers of the ranges before: one exchange by
     range, which both sides of the closing join read."""
@@ -145,19 +175,24 @@ def add_dense_rank(
     """Global `dense_rank() over (order by order)`.
 
     The range is a function of the key, so all copies of a key are in one range and are ranked
-    there. If the sample shows a key that fills more than a range, the distinct keys are
-    numbered and joined back instead, so that its copies never gather in one task.
+    there. If the sample shows a key that fills more than a range, or the table asks for more than
+    MOST_RANGES ranges, the distinct keys are numbered and joined back instead, so that the
+    copies of a key never gather in one task.
 
     `bounds_from` is a cheaper table with the same order columns to sample the bounds from.
     """
     source = df if bounds_from is None else bounds_from
-    cuts = _cuts(source, order, *_wanted_ranges(source.select(*order), ranges))
+    wanted, rows = _wanted_ranges(source.select(*order), ranges)
+    cuts = _cuts(source, order, wanted, rows) if wanted <= MOST_RANGES else []
     bounds = list(dict.fromkeys(cuts))
-    if len(bounds) == len(cuts):
+    if wanted <= MOST_RANGES and len(bounds) == len(cuts):
         ranked = _numbered(df.withColumn("__range", range_of(df, order, bounds)), order, out, F.dense_rank(), count_first=False)
         return ranked.select(*df.columns, out)
     unique = df.select(*order).distinct()
-    keys = _numbered(unique.withColumn("__range", range_of(unique, order, bounds)), order, out, F.row_number())
+    if wanted <= MOST_RANGES:
+        keys = _numbered(unique.withColumn("__range", range_of(unique, order, bounds)), order, out, F.row_number())
+    else:
+        keys = numbered_in_files(unique, order, out, wanted)
     renamed = keys.select(*[F.col(c).alias(f"__k_{c}") for c in order], out)
     match = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in order]
     joined = df.join(renamed, match, "inner")

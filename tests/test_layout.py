@@ -117,3 +117,16 @@ def test_compaction_of_a_partition_with_an_odd_name(spark, path):
     df.repartition(4).write.partitionBy("d").parquet(f"{path}/t")
     layout.compact_partition(spark, f"{path}/t", "d", "a b/c=%", ["id"])
     assert spark.read.parquet(f"{path}/t").where("d = 'a b/c=%'").count() == 50 and spark.read.parquet(f"{path}/t").count() == 100
+
+
+def test_hilbert_curve_steps_from_cell_to_neighbour(spark):
+    bits, side = 4, 16
+    cells = spark.range(side * side).select((F.col("id") % side).alias("x"), (F.col("id") / side).cast("int").alias("y"))
+    at = {r["d"]: (r["x"], r["y"]) for r in cells.withColumn("d", layout.hilbert_value("x", "y", bits)).collect()}
+    assert sorted(at) == list(range(side * side)) and at[0] == (0, 0)
+    assert all(abs(at[i][0] - at[i + 1][0]) + abs(at[i][1] - at[i + 1][1]) == 1 for i in range(side * side - 1))
+
+
+def test_bounds_of_a_clustering_do_not_grow_with_the_files(spark):
+    df = spark.range(50_000).select(F.col("id").alias("a"), (F.col("id") * 7919 % 50_021).alias("b"))
+    assert all(len(b) < layout.MOST_RANKS for b in layout.cluster_bounds(df, ["a", "b"], 400_000).values())

@@ -7,6 +7,7 @@ from support_core import plan, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from stratalake.operators import ranges
 from stratalake.operators.ranges import add_dense_rank, add_row_number, range_of, sample_bounds
 
 KINDS = {
@@ -86,3 +87,22 @@ def test_dense_rank_of_rare_keys_takes_one_exchange_by_range(spark):
     df = spark.range(20_000).select((F.col("id") / 2).cast("long").alias("k"), "id")
     text = plan(add_dense_rank(df, ["k"], "n", ranges=6), "simple")
     assert text.count("Exchange hashpartitioning(__range") <= 2 and "SortMergeJoin" not in text
+
+
+def test_numbers_from_sorted_files(spark, monkeypatch):
+    """A table that asks for more ranges than the bounds allowed as literals."""
+    rng = random.Random(3)
+    data = [(None if i % 11 == 0 else rng.choice(["hot", "hot", f"k{i % 50}"]), i) for i in range(700)]
+    df = spark.createDataFrame(data, "k STRING, i INT").repartition(5)
+    monkeypatch.setattr(ranges, "MOST_RANGES", 4)
+    got = add_row_number(df, ["k", "i"], "n", ranges=9)
+    want = df.withColumn("n", F.row_number().over(Window.orderBy("k", "i")).cast("bigint"))
+    assert got.schema.simpleString() == want.schema.simpleString() and rows(got) == rows(want)
+    tied = add_row_number(df, ["k"], "n", ranges=9)
+    assert sorted(r["n"] for r in tied.collect()) == list(range(1, 701))
+    assert tied.where("k IS NULL").agg(F.max("n")).first()[0] == tied.where("k IS NULL").count()
+    dense = add_dense_rank(df, ["k"], "n", ranges=9)
+    assert rows(dense) == rows(df.withColumn("n", F.dense_rank().over(Window.orderBy("k")).cast("bigint")))
+    empty = ranges.numbered_in_files(df.limit(0), ["k"], "n", 3)
+    assert empty.count() == 0
+    assert len(sample_bounds(df, ["i"], 10**6)) < 4
