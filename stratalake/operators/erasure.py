@@ -1,16 +1,12 @@
 """Erasing the rows of some subjects from Parquet tables, by rewriting only the files that hold them.
 
-The files with a subject's rows are found by a scan of the key column alone. Their other rows are
-written to a folder below the table that readers skip, then the list of the files to be replaced;
-only then are those files deleted and the new ones moved in. Every step can be repeated: an
-interrupted erasure is finished, or forgotten if its list was not complete, by the next call or by
-`recover`. No reader ever finds a kept row twice; one that reads between the last two steps can miss
-rows. All other files stay as they are. One writer at a time.
+The files with a subject's rows are found by a scan of the key column alone; their other rows are
+written anew by `rewrite.replace_files`, which can be finished after an interruption. All other
+files stay as they are. One writer at a time.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +14,7 @@ from pyspark.sql import functions as F
 
 from stratalake.filesystem import Files
 from stratalake.operators.joins import join_small
-
-WORK = "_erasure"
+from stratalake.operators.rewrite import recover, replace_files
 
 
 @dataclass(frozen=True)
@@ -48,39 +43,16 @@ def erase(spark: SparkSession, root: str, key: str, subjects: DataFrame) -> Repo
     total = sum(1 for _ in files.below(root))
     if not held:
         return Report(0, 0, total)
-    work = f"{root}/{WORK}/{uuid.uuid4().hex[:12]}"
     data = {f.name for f in spark.read.parquet(next(iter(held))).schema}
     folders = [c for c in table.columns if c not in data]
     keys = subjects.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
     kept = spark.read.option("basePath", root).schema(table.schema).parquet(*held)
     # an anti join keeps rows without a key
     kept = join_small(kept, keys, key, "left_anti").select(*table.columns)
-    (kept.write.partitionBy(*folders) if folders else kept.write).parquet(f"{work}/new")
-    spark.createDataFrame([(f,) for f in sorted(held)], "file STRING").write.parquet(f"{work}/old")
-    _finish(spark, root, work)
+    replace_files(spark, root, list(held), kept, folders)
     return Report(sum(held.values()), len(held), total - len(held))
 
 
 def erase_everywhere(spark: SparkSession, tables: dict[str, tuple[str, DataFrame]]) -> dict[str, Report]:
     """`erase` for several tables: root -> (key column, subjects)."""
     return {root: erase(spark, root, key, subjects) for root, (key, subjects) in tables.items()}
-
-
-def recover(spark: SparkSession, root: str) -> None:
-    """Finish what an interrupted erasure had prepared; remove what it had only begun."""
-    files, root = Files(spark), root.rstrip("/")
-    for name in files.children(f"{root}/{WORK}"):
-        work = f"{root}/{WORK}/{name}"
-        if files.exists(f"{work}/old/_SUCCESS"):
-            _finish(spark, root, work)
-        else:
-            files.delete(work)
-
-
-def _finish(spark: SparkSession, root: str, work: str) -> None:
-    files = Files(spark)
-    for row in spark.read.schema("file STRING").parquet(f"{work}/old").toLocalIterator():
-        files.delete(row.file)
-    for name in list(files.below(f"{work}/new")):
-        files.move(f"{work}/new/{name}", f"{root}/{name}")
-    files.delete(work)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import layout, merge, sinks
 from stratalake.operators.caching import LEVELS, kept
+from stratalake.operators.clustered import ClusteredParquet
 from stratalake.operators.keyed import KeyedParquet
 from stratalake.plans import loads
 from stratalake.queries import entities as e
@@ -518,6 +519,24 @@ def lay_cluster(spark, sf):
     return spark.read.parquet(path)
 
 
+@query(
+    "lay_cluster_load",
+    "SELECT count(*) AS n, sum(round(l_extendedprice * 100)) AS total, TRUE AS most_files_untouched, TRUE AS files_listed FROM lineitem",
+)
+def lay_cluster_load(spark, sf):
+    """The newest tenth of the orders loaded into a clustered table of the rest."""
+    lines = _lines(spark, sf)
+    newest = lines.agg(F.percentile_approx("l_orderkey", 0.9, 1000)).first()[0]
+    rows = max(1, lines.count() // (4 * _clustered_files(spark, sf)))
+    table = ClusteredParquet(spark, scratch_path(spark, "clustered"), ["l_orderkey", "l_partkey"], rows)
+    table.create(lines.where(F.col("l_orderkey") <= newest))
+    done = table.load(lines.where(F.col("l_orderkey") > newest))
+    listed = table.files().agg(F.sum("n").alias("n"))
+    found = table.read().agg(F.count("*").alias("n"), F.sum(e.minor("l_extendedprice")).alias("total"))
+    kept = F.lit(done.files_untouched > done.files_rewritten)
+    return found.select("n", "total", kept.alias("most_files_untouched"), (F.col("n") == listed.scalar()).alias("files_listed"))
+
+
 LOOKUP = "count(*) AS n, sum(round(l_extendedprice * 100)) AS total FROM lineitem WHERE l_partkey = 1000"
 
 

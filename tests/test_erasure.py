@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.filesystem import Files
-from stratalake.operators import erasure
+from stratalake.operators import erasure, rewrite
 
 
 def table(spark, root, folders=()):
@@ -34,7 +34,7 @@ def test_only_files_with_subjects_change(spark, path, folders):
     left = spark.read.parquet(root)
     want = rows.where("k IS NULL OR k NOT IN (3, 4, 97)")
     assert left.count() == 389 and left.select("k", "v", "part").exceptAll(want).isEmpty() and want.exceptAll(left.select("k", "v", "part")).isEmpty()
-    assert Files(spark).children(f"{root}/{erasure.WORK}") == []
+    assert Files(spark).children(f"{root}/{rewrite.WORK}") == []
 
 
 def test_nothing_to_erase(spark, path):
@@ -64,7 +64,7 @@ def test_an_interrupted_erasure_is_finished_or_forgotten(spark, path, monkeypatc
         return real(self, name) if len(calls) < 2 else fail()
 
     if stop == "listing":
-        monkeypatch.setattr(erasure, "_finish", fail)
+        monkeypatch.setattr(rewrite, "_finish", fail)
     elif stop == "first delete":
         monkeypatch.setattr(Files, "delete", second)
     else:
@@ -73,9 +73,9 @@ def test_an_interrupted_erasure_is_finished_or_forgotten(spark, path, monkeypatc
         erasure.erase(spark, root, "k", subjects(spark, 3, 50, 97))
     monkeypatch.undo()
     if stop == "listing":  # as if the list had not been written either
-        work = Files(spark).children(f"{root}/{erasure.WORK}")[0]
-        real(Files(spark), f"{root}/{erasure.WORK}/{work}/old/_SUCCESS")
-    erasure.recover(spark, root)
+        work = Files(spark).children(f"{root}/{rewrite.WORK}")[0]
+        real(Files(spark), f"{root}/{rewrite.WORK}/{work}/old/_SUCCESS")
+    rewrite.recover(spark, root)
     gone = () if stop == "listing" else (3, 50, 97)
     want = rows.where(~F.coalesce(F.col("k").isin(*gone), F.lit(False))) if gone else rows
     left = spark.read.parquet(root).select("k", "v", "part")

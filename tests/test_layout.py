@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import layout, sinks
 from stratalake.operators.caching import LEVELS, kept
+from stratalake.operators.clustered import ClusteredParquet
 from stratalake.session import ADAPTIVE, apply_adaptive, scratch_path, shared_dir
 
 
@@ -130,3 +131,30 @@ def test_hilbert_curve_steps_from_cell_to_neighbour(spark):
 def test_bounds_of_a_clustering_do_not_grow_with_the_files(spark):
     df = spark.range(50_000).select(F.col("id").alias("a"), (F.col("id") * 7919 % 50_021).alias("b"))
     assert all(len(b) < layout.MOST_RANKS for b in layout.cluster_bounds(df, ["a", "b"], 400_000).values())
+
+
+def test_a_load_rewrites_only_the_files_it_overlaps(spark, path):
+    df = spark.range(24_000).select(F.col("id").alias("day"), (F.col("id") * 7919 % 997).alias("item"), F.col("id").cast("string").alias("v"))
+    table = ClusteredParquet(spark, f"{path}/t", ["day", "item"], 1_000)
+    first = table.create(df.where("day < 20000"))
+    assert first >= 18
+    before = {r["name"] for r in table.files().collect()}
+    done = table.load(df.where("day >= 20000"))  # the newest days touch one edge of the square
+    after = {r["name"] for r in table.files().collect()}
+    assert done.rows == 4_000 and done.files_untouched >= 0.6 * first
+    assert len(before & after) == done.files_untouched and len(before - after) == done.files_rewritten
+    assert table.read().exceptAll(df).isEmpty() and table.read().count() == 24_000
+    assert table.load(df.limit(0)) == type(done)(0, 0, len(after))
+    again = table.load(df.where("day = 17"))  # one row: the files around it
+    assert again.rows == 1 and again.files_rewritten <= 3 and table.read().count() == 24_001
+
+
+def test_nulls_and_unlisted_files_in_a_clustered_table(spark, path):
+    df = spark.range(3_000).select(F.when(F.col("id") % 5 > 0, F.col("id") % 77).alias("a"), F.col("id").cast("string").alias("b"))
+    table = ClusteredParquet(spark, f"{path}/t", ["a", "b"], 300)
+    table.create(df)
+    df.limit(10).coalesce(1).write.mode("append").parquet(f"{path}/t")  # a file without an entry
+    assert table.files().agg(F.sum("n")).first()[0] == 3_010
+    table.load(df.where("a is null"))
+    assert table.read().count() == 3_610 and table.read().where("a is null").count() >= 1_200
+    assert table.files().where("first > last").isEmpty()
