@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratalake.functions.scalars import percent
-from stratalake.operators import skew
+from stratalake.operators import skew, sketches
 from stratalake.operators.dedup import duplicate_keys
 from stratalake.plans import sales_metrics as sm
 from stratalake.queries import entities as e
 from stratalake.queries.entities import check
 from stratalake.queries.registry import query
+from stratalake.session import scratch_path
 
 
 @query(
@@ -322,3 +323,43 @@ def dash_category(spark, sf):
 @query("dash_category_units", check("categories", "SELECT category, total_units_sold FROM categories"))
 def dash_category_units(spark, sf):
     return sm.category_bars(sm.category_performance(e.items(spark, sf), e.products(spark, sf)), "total_units_sold")
+
+
+# -- periods from stored sketches --------------------------------------------
+
+
+@query(
+    "dash_customers_period",
+    """SELECT kind, CAST(date_trunc(kind, o_orderdate) AS DATE) AS period, count(*) AS orders,
+         CAST(sum(round(o_totalprice * 100)) AS BIGINT) AS cents, TRUE AS customers_close, TRUE AS median_close
+       FROM orders, (VALUES ('week'), ('month'), ('year')) v(kind) GROUP BY 1, 2""",
+)
+def dash_customers_period(spark, sf):
+    """Orders, revenue, customers and median order of weeks, months and years, all from one stored
+    table of days; estimates are held against the exact values."""
+    orders, path = e.load(spark, sf, "orders"), scratch_path(spark, "daily-sketches")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    day = F.to_date("o_orderdate")
+    sketches.daily_sketches(
+        orders, day, [], {"cents": cents}, {"customers": F.col("o_custkey")}, {"price": F.col("o_totalprice")}
+    ).write.parquet(path)
+    daily, out = spark.read.parquet(path), None
+    for kind in ("week", "month", "year"):
+        found = sketches.read_off(sketches.roll_up(daily, F.date_trunc(kind, "day").cast("date"), []), {"median": ("price", 0.5)})
+        found = found.select("day", "n_rows", "cents", "customers", "median")
+        exact = orders.select(F.date_trunc(kind, day).cast("date").alias("day"), "o_custkey", "o_totalprice")
+        people = exact.groupBy("day").agg(F.count_distinct("o_custkey").alias("people"))
+        places = exact.join(found.select("day", "median"), "day").groupBy("day").agg(
+            F.avg((F.col("o_totalprice") < F.col("median")).cast("int")).alias("below"),
+            F.avg((F.col("o_totalprice") <= F.col("median")).cast("int")).alias("upto"),
+        )
+        facts = found.join(people, "day").join(places, "day").select(
+            F.lit(kind).alias("kind"),
+            F.col("day").alias("period"),
+            F.col("n_rows").alias("orders"),
+            "cents",
+            (F.abs(F.col("customers") - F.col("people")) <= 0.05 * F.col("people")).alias("customers_close"),
+            ((F.col("below") <= 0.55) & (F.col("upto") >= 0.45)).alias("median_close"),
+        )
+        out = facts if out is None else out.unionByName(facts)
+    return out

@@ -158,3 +158,17 @@ def test_nulls_and_unlisted_files_in_a_clustered_table(spark, path):
     table.load(df.where("a is null"))
     assert table.read().count() == 3_610 and table.read().where("a is null").count() >= 1_200
     assert table.files().where("first > last").isEmpty()
+
+
+def test_bloom_filters_skip_row_groups(spark, path):
+    df = spark.range(40_000).select((F.col("id") * 2).alias("k"), "id").repartition(8)
+    df.write.option("parquet.enable.dictionary", "false").parquet(f"{path}/plain")
+    df.write.options(**layout.bloom_options({"k": 5_000}, 0.001)).parquet(f"{path}/bloom")
+
+    def scanned(name, key):
+        return layout.rows_scanned(spark.read.parquet(f"{path}/{name}").where(F.col("k") == key))
+
+    assert scanned("plain", 40_001) == (0, 40_000)
+    assert scanned("bloom", 40_001)[0] == 0 and scanned("bloom", 40_001)[1] <= 5_000
+    found, read = scanned("bloom", 40_000)
+    assert found == 1 and read <= 10_000
