@@ -88,26 +88,20 @@ def z_value(ranks: list[str], bits: int) -> Column:
     return z
 
 
-def hilbert_value(x: str, y: str, bits: int) -> Column:
-    """Place of the cell (x, y) of a 2**bits by 2**bits square on Hilbert's curve; neighbours on the
-    curve are neighbours in the square. One fold over the bits, from the highest."""
-
-    def step(at: Column, bit: Column) -> Column:
-        side = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
-        right = at.x.bitwiseAND(side) > 0
-        upper = at.y.bitwiseAND(side) > 0
+def with_hilbert(df: DataFrame, x: str, y: str, bits: int, out: str) -> DataFrame:
+    """`df` with the place of its cell (x, y) of a 2**bits by 2**bits square on Hilbert's curve; neighbours on
+    the curve are neighbours in the square. One projection per bit, from the highest, so that
+    every value is computed once and in generated code."""
+    df = df.withColumns({"__x": F.col(x).cast("bigint"), "__y": F.col(y).cast("bigint"), out: F.lit(0).cast("bigint")})
+    for bit in reversed(range(bits)):
+        side = 1 << bit
+        right, upper = (F.col(c).bitwiseAND(F.lit(side)) > 0 for c in ("__x", "__y"))
         quadrant = F.when(right, F.when(upper, 2).otherwise(3)).otherwise(F.when(upper, 1).otherwise(0))
         # the curve inside a lower quadrant is the whole one, mirrored at a diagonal
-        turned = right & ~upper
-        a, b = (F.when(turned, side - 1 - v.bitwiseAND(side - 1)).otherwise(v) for v in (at.x, at.y))
-        return F.struct(
-            F.when(upper, a).otherwise(b).alias("x"),
-            F.when(upper, b).otherwise(a).alias("y"),
-            (at.d * 4 + quadrant).alias("d"),
-        )
-
-    start = F.struct(F.col(x).cast("bigint").alias("x"), F.col(y).cast("bigint").alias("y"), F.lit(0).cast("bigint").alias("d"))
-    return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, step, lambda end: end.d)
+        inner = [F.col(c).bitwiseAND(F.lit(side - 1)) for c in ("__x", "__y")]
+        a, b = (F.when(right & ~upper, side - 1 - v).otherwise(v) for v in inner)
+        df = df.withColumns({"__x": F.when(upper, a).otherwise(b), "__y": F.when(upper, b).otherwise(a), out: F.col(out) * 4 + quadrant})
+    return df.drop("__x", "__y")
 
 
 #: Ranks of a clustering column: no more than this, whatever the number of files (two columns make a
@@ -128,8 +122,10 @@ def curve_place(df: DataFrame, bounds: dict[str, list[tuple]], out: str) -> Data
     bits = max(1, max(len(b) for b in bounds.values()).bit_length())
     ranks = {f"__r{i}": range_of(df, [c], b) for i, (c, b) in enumerate(bounds.items())}
     names = list(ranks)
-    place = hilbert_value(*names, bits) if len(names) == 2 else z_value(names, bits)
-    return df.withColumns(ranks).withColumn(out, place).drop(*names)
+    ranked = df.withColumns(ranks)
+    if len(names) == 2:
+        return with_hilbert(ranked, *names, bits, out).drop(*names)
+    return ranked.withColumn(out, z_value(names, bits)).drop(*names)
 
 
 def cluster(df: DataFrame, cols: list[str], files: int) -> DataFrame:

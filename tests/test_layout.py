@@ -123,7 +123,7 @@ def test_compaction_of_a_partition_with_an_odd_name(spark, path):
 def test_hilbert_curve_steps_from_cell_to_neighbour(spark):
     bits, side = 4, 16
     cells = spark.range(side * side).select((F.col("id") % side).alias("x"), (F.col("id") / side).cast("int").alias("y"))
-    at = {r["d"]: (r["x"], r["y"]) for r in cells.withColumn("d", layout.hilbert_value("x", "y", bits)).collect()}
+    at = {r["d"]: (r["x"], r["y"]) for r in layout.with_hilbert(cells, "x", "y", bits, "d").collect()}
     assert sorted(at) == list(range(side * side)) and at[0] == (0, 0)
     assert all(abs(at[i][0] - at[i + 1][0]) + abs(at[i][1] - at[i + 1][1]) == 1 for i in range(side * side - 1))
 
