@@ -73,3 +73,24 @@ def bounded_sample(df: DataFrame, key: Column, most: int) -> DataFrame:
     if total <= most:
         return df
     return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) < int((1 << 30) * (most / total)))
+
+
+def one_per_id(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One row per id: that whose text has the smallest hash, then the smallest other columns.
+
+    Every task keeps one row per id before the shuffle, so an id on a third of the rows is one row in
+    whatever task comes next."""
+    others = [c for c in df.columns if c != doc_id]
+    least = F.min(F.struct(F.xxhash64(text).alias("order"), *others)).alias("least")
+    return df.groupBy(doc_id).agg(least).select(doc_id, *[f"least.{c}" for c in others])
+
+
+def bounded_per_group(df: DataFrame, group: Column, key: Column, most: int) -> DataFrame:
+    """About `most` rows of each group at most, drawn by a hash of `key`; small groups stay whole. A count per group
+    goes through the driver: groups are expected to be few."""
+    counts = df.groupBy(group.alias("group")).count().where(F.col("count") > most).collect()
+    if not counts:
+        return df
+    shares = F.create_map(*[F.lit(x) for r in counts for x in (r["group"], int((1 << 30) * (most / r["count"])))])
+    drawn = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30))
+    return df.where(drawn < F.coalesce(F.element_at(shares, group), F.lit(1 << 30)))

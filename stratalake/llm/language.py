@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bounded_sample, fold_is, in_small_batches
+from stratalake.llm.common import bounded_per_group, fold_is, in_small_batches
 
 DIMENSIONS, SEED, GRAMS_HELD, UNKNOWN = 1024, 20, 40_000, "und"
-#: Training texts used at most (drawn by a hash of the id).
-MAX_TRAIN = 20_000
+#: Training texts of each language used at most (drawn by a hash of the id), so a rare language keeps all of its own.
+MAX_TRAIN = 5_000
 
 
 @lru_cache(1)
@@ -143,4 +143,5 @@ def predict(docs: DataFrame, models: dict[str, np.ndarray], doc_id: str, text: s
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", most: int = MAX_TRAIN) -> DataFrame:
     """Learn from the rows that are not held out and have a language, predict all rows."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~fold_is(F.col(doc_id), 5, 0))
-    return predict(docs, profiles(bounded_sample(known, F.col(doc_id), most), lang, text), doc_id, text)
+    training = bounded_per_group(known, F.col(lang).cast("string"), F.col(doc_id), most)
+    return predict(docs, profiles(training, lang, text), doc_id, text)

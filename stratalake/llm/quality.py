@@ -10,7 +10,7 @@ columns, treated like the statistics. The score is the logistic function of
 which is the sum over all pairs of <v_i, v_j> x_i x_j in time linear in the inputs.
 
 Training runs in one task over a bounded sample of labelled texts (`MAX_TRAIN`, drawn by a hash
-of the id); the sampled labels are what is joined with the documents. The model has a fixed
+of the id, one text per id); the sampled labels are what is joined with the documents. The model has a fixed
 size, whatever the corpus.
 
 Null texts count as empty, null metadata as 0. Labels that are null are left out, several for
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bounded_sample, fold_is, in_small_batches
+from stratalake.llm.common import bounded_sample, fold_is, in_small_batches, one_per_id
 
 BUCKETS, FACTORS, BINS, EPOCHS, BATCH, SEED = 1 << 14, 6, 12, 8, 64, 7
 #: Few texts are gone over more often, up to so many row visits or epochs.
@@ -193,12 +193,12 @@ def label_table(labels: DataFrame, label: str, held: Column, doc_id: str = "doc_
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, held: Column, meta: tuple[str, ...], doc_id: str, text: str, most: int = MAX_TRAIN) -> Machine:
-    """Learn from about `most` labelled texts that are not `held` (an expression over the id)."""
+    """Learn from about `most` labelled texts at most that are not `held` (an expression over the id), one text per id."""
     import pickle
 
     sample = bounded_sample(label_table(labels, label, held, doc_id), F.col("doc_id"), most)
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"), F.array(*[F.col(c).cast("double") for c in meta]).alias("meta"))
-    texts = source.join(F.broadcast(sample), "doc_id")  # at most about `most` rows of two numbers
+    texts = one_per_id(source.join(F.broadcast(sample), "doc_id"), "doc_id", "body")  # the sample: about `most` rows of two numbers
 
     def inputs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -11,7 +11,7 @@ when the second term is negative, its gradient is reversed instead, as the metho
 Inputs that are not clearly more frequent among the positives than among the unlabelled texts
 are screened out first, so that rare words of long texts add no noise.
 
-Training runs in one task over bounded samples (`MAX_POSITIVE`, `MAX_UNLABELLED`); the model is
+Training runs in one task over bounded samples (`MAX_POSITIVE`, `MAX_UNLABELLED`), one text per id; the model is
 a table of at most `MAX_INPUTS` weights. Scoring reads whole texts.
 
 Null and empty texts get the score of a text without any input. Null labels are left out,
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import bounded_sample, fold_is, in_small_batches
+from stratalake.llm.common import bounded_sample, fold_is, in_small_batches, one_per_id
 from stratalake.llm.quality import label_table
 
 STEMS, MAX_INPUTS, LEAST_POSITIVE, LEAST_Z, STEPS, PULL = (4, 5, 6), 4096, 3, 4.0, 400, 2e-4
@@ -97,6 +97,37 @@ def screened(positive: np.ndarray, n: int, unlabelled: np.ndarray, m: int) -> np
     return np.sort(names[order[z[order] >= LEAST_Z]])
 
 
+Side = tuple[np.ndarray, np.ndarray, int]
+
+
+def risk(theta: np.ndarray, positive: Side, unlabelled: Side, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """The two parts of the risk under the logistic loss and their slopes: what positive texts cost as positives,
+    and what unlabelled texts cost as negatives less the share of it that is due to positives among them
+    (below zero only by overfitting; the risk counts it as zero there).
+
+    `theta` holds the weights, then the bias; a side is (text, input) pairs and its number of texts."""
+    k = len(theta) - 1
+    pr, pi, n = positive
+    ur, ui, m = unlabelled
+
+    def sigmoid(z):
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+    def slope(row, index, weight):
+        return np.concatenate([np.bincount(index, weight[row], k) if k else np.empty(0), [weight.sum()]])
+
+    gp = theta[k] + np.bincount(pr, theta[pi], n)
+    cost = prior * np.logaddexp(0, -gp).mean()
+    rise = prior * slope(pr, pi, -sigmoid(-gp) / n)
+    negative = -prior * np.logaddexp(0, gp).mean()
+    move = -prior * slope(pr, pi, sigmoid(gp) / n)
+    if m:
+        gu = theta[k] + np.bincount(ur, theta[ui], m)
+        negative += np.logaddexp(0, gu).mean()
+        move = move + slope(ur, ui, sigmoid(gu) / m)
+    return cost, negative, rise, move
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Weights:
     """Full-batch Adam on the non-negative risk."""
     if not positive:
@@ -115,22 +146,9 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     theta = np.zeros(k + 1)
     theta[k] = np.log(prior / (1 - prior))
     first, second = np.zeros(k + 1), np.zeros(k + 1)
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
-    def slope(row, index, weight):
-        return np.concatenate([np.bincount(index, weight[row], k) if k else np.empty(0), [weight.sum()]])
-
     for t in range(1, STEPS + 1):
-        gp = theta[k] + np.bincount(pr, theta[pi], n)
-        as_positive = slope(pr, pi, -sigmoid(-gp) / n)
-        against = slope(pr, pi, sigmoid(gp) / n)
-        negative = -prior * np.logaddexp(0, gp).mean()
-        move = -prior * against
-        if m:
-            gu = theta[k] + np.bincount(ur, theta[ui], m)
-            negative += np.logaddexp(0, gu).mean()
-            move = move + slope(ur, ui, sigmoid(gu) / m)
-        grad = prior * as_positive + (move if negative >= 0 else -move)
+        _, negative, rise, move = risk(theta, (pr, pi, n), (ur, ui, m), prior)
+        grad = rise + (move if negative >= 0 else -move)
         grad[:k] += PULL * theta[:k]
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
         theta -= 0.05 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
@@ -142,8 +160,9 @@ def train(docs: DataFrame, labels: DataFrame, held: Column, doc_id: str = "doc_i
     share = known.agg(F.avg("label")).first()[0]
     sure = bounded_sample(known.where("label = 1"), F.col("doc_id"), MAX_POSITIVE).select("doc_id")
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
-    positive = source.join(F.broadcast(sure), "doc_id").select(F.lit(1).alias("positive"), "body")
-    other = bounded_sample(docs.where(~held), F.col(doc_id), MAX_UNLABELLED).select(F.lit(0).alias("positive"), F.col(text).alias("body"))
+    positive = one_per_id(source.join(F.broadcast(sure), "doc_id"), "doc_id", "body").select(F.lit(1).alias("positive"), "body")
+    drawn = bounded_sample(docs.where(~held), F.col(doc_id), MAX_UNLABELLED).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
+    other = one_per_id(drawn, "doc_id", "body").select(F.lit(0).alias("positive"), "body")
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

@@ -386,6 +386,15 @@ class WarcWriter(DataSourceArrowWriter):
             out.close()
         return Written(names)
 
+    def start(self):
+        """An empty list in a folder without archives: what a failed first job leaves is then in no list."""
+        system, place = located(self.path)
+        system.create_dir(place, recursive=True)
+        if not planned(self.path) and system.get_file_info(f"{place}/{MANIFEST}").type != fs.FileType.File:
+            with system.open_output_stream(f"{place}/{MANIFEST}") as f:
+                f.write(b"[]")
+        return self
+
     def commit(self, messages):
         system, place = located(self.path)
         system.create_dir(place, recursive=True)
@@ -398,7 +407,11 @@ class WarcWriter(DataSourceArrowWriter):
             f.write(json.dumps(names).encode())
 
     def abort(self, messages):
-        """Files of a failed job are in no list; nothing to undo."""
+        """Remove the files of the tasks that ended; what a broken task left is in no list."""
+        system, place = located(self.path)
+        for name in (n for m in messages if m for n in m.names):
+            if system.get_file_info(f"{place}/{name}").type == fs.FileType.File:
+                system.delete_file(f"{place}/{name}")
 
 
 class WarcDataSource(DataSource):
@@ -420,7 +433,7 @@ class WarcDataSource(DataSource):
         if overwrite:
             raise ValueError("archives are only appended to; write to a new folder")
         packed = self.options.get("compression", "gzip") != "none"
-        return WarcWriter(self.options["path"], packed, int(self.options.get("max_file_bytes", FILE_BYTES)))
+        return WarcWriter(self.options["path"], packed, int(self.options.get("max_file_bytes", FILE_BYTES))).start()
 
 
 def write_warc(records: DataFrame, path: str, **options: str) -> None:

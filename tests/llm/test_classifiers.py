@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from stratalake.llm import language, quality, toxicity
-from stratalake.llm.common import fold_is, table
+from stratalake.llm.common import bounded_per_group, fold_is, one_per_id, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -43,6 +43,42 @@ def test_quality_edges(spark, edges, empty):
     assert quality.assess(empty, labels).count() == 0
 
 
+def test_an_id_with_most_rows_is_one_training_row(spark):
+    hot = spark.range(0, 30_000, 1, 8).select(F.lit(1).alias("id"), F.concat(F.lit("text "), F.col("id") % 50).alias("body"), F.lit(3).alias("k"))
+    rest = spark.createDataFrame([(2, None, 1), (2, "b", 1), (3, "", 2), (3, "", 2), (4, "x", 5)], hot.schema.simpleString()[7:-1].replace(":", " "))
+    found = one_per_id(hot.unionByName(rest), "id", "body").collect()
+    assert sorted((r.id, r.k) for r in found) == [(1, 3), (2, 1), (3, 2), (4, 5)]
+    again = one_per_id(rest.unionByName(hot).repartition(3), "id", "body").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, again), key=str)
+
+
+def test_a_rare_group_keeps_all_its_rows(spark):
+    rows = spark.range(20_000).select("id", F.when(F.col("id") % 1000 == 0, "rare").when(F.col("id") % 3 == 0, "mid").otherwise("big").alias("lang"))
+    counts = {r.lang: r["count"] for r in bounded_per_group(rows, F.col("lang"), F.col("id"), 1000).groupBy("lang").count().collect()}
+    assert counts["rare"] == 20 and all(850 < counts[g] < 1150 for g in ("mid", "big"))
+    assert bounded_per_group(rows.where("false"), F.col("lang"), F.col("id"), 1000).count() == 0
+
+
+def test_risk_equals_a_text_by_text_sum():
+    rng = np.random.default_rng(4)
+    prior, k = 0.2, 6
+    for n, m in ((5, 40), (3, 0), (1, 7)):
+        texts = [[rng.choice(k, rng.integers(0, k), replace=False) for _ in range(size)] for size in (n, m)]
+        sides = [(*toxicity.joined(t), len(t)) for t in texts]
+
+        def direct(theta):
+            score = [[sum(theta[i] for i in t) + theta[k] for t in side] for side in texts]
+            mean = lambda side, sign: sum(np.log1p(np.exp(-sign * g)) for g in side) / len(side) if side else 0.0
+            return prior * mean(score[0], 1), mean(score[1], -1) - prior * mean(score[0], -1)
+
+        theta = rng.normal(size=k + 1)
+        cost, negative, rise, move = toxicity.risk(theta, *sides, prior)
+        assert np.allclose((cost, negative), direct(theta))
+        for i, step in enumerate(np.eye(k + 1) * 1e-6):
+            up, down = direct(theta + step), direct(theta - step)
+            assert np.allclose((rise[i], move[i]), [(a - b) / 2e-6 for a, b in zip(up, down)], atol=1e-6)
+
+
 def test_risk_estimator_finds_the_marks():
     rng = np.random.default_rng(2)
     clean = lambda: rng.choice(2000, 30, replace=False) + 100

@@ -39,6 +39,17 @@ def test_round_trip(spark, compression):
     assert {(r.record_id, r.payload_length) for r in lean.collect()} == {(r[0], len(r[8] or b"")) for r in rows}
 
 
+def test_a_failed_first_write_leaves_no_archives(spark):
+    df, rows = records(spark)
+    path = scratch_path(spark, "w")
+    lost = df.repartition(4).withColumn("date", F.when(F.col("record_id") == "urn:r39", F.raise_error(F.lit("lost"))).otherwise(F.col("date")))
+    with pytest.raises(Exception, match="lost"):
+        warc.write_warc(lost, path, max_file_bytes="1000")
+    assert warc.planned(path) == [] and warc.read_warc(spark, path).count() == 0
+    warc.write_warc(df, path)
+    assert warc.read_warc(spark, path).count() == len(rows)
+
+
 def test_predicates_reach_the_reader(spark):
     df, rows = records(spark)
     path = scratch_path(spark, "w")
