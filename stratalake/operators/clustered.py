@@ -39,6 +39,7 @@ class ClusteredParquet:
 
     def __init__(self, spark: SparkSession, root: str, cols: list[str], file_rows: int):
         self.spark, self.root, self.cols, self.file_rows = spark, root.rstrip("/"), cols, file_rows
+        self._frozen: dict[str, list[tuple]] = {}
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.root)
@@ -84,12 +85,12 @@ class ClusteredParquet:
         return max(1, math.ceil(rows / self.file_rows))
 
     def _bounds(self) -> dict[str, list[tuple]]:
-        """At most layout.MOST_RANKS values a column."""
-        found = {}
+        """At most layout.MOST_RANKS values a column; read once, for they never change."""
         for i, c in enumerate(self.cols):
-            stored = self.spark.read.parquet(f"{self.root}/{NOTES}/bounds-{i}").orderBy(c).collect()
-            found[c] = [tuple(r) for r in stored]
-        return found
+            if c not in self._frozen:
+                stored = self.spark.read.parquet(f"{self.root}/{NOTES}/bounds-{i}").orderBy(c).collect()
+                self._frozen[c] = [tuple(r) for r in stored]
+        return self._frozen
 
     def _laid(self, placed: DataFrame, files: int) -> DataFrame:
         by = [PLACE, *self.cols]

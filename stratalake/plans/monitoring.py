@@ -76,18 +76,23 @@ def success_rate(timeline: DataFrame, as_of: Column, days: int = 30) -> DataFram
     )
 
 
-def _named(jobs: DataFrame) -> DataFrame:
-    """One name per job: of a table with a row per change, the newest."""
+def _job_key(runs: DataFrame, jobs: DataFrame) -> list[str]:
+    """Ids of jobs count per workspace where both tables name it."""
+    return [c for c in ("workspace_id", "job_id") if c in runs.columns and c in jobs.columns]
+
+
+def _with_names(runs: DataFrame, jobs: DataFrame, key: list[str]) -> DataFrame:
+    """`runs` with `job_name`: of a table with a row per change, the newest."""
     if "change_time" not in jobs.columns:
-        return jobs.select("job_id", F.col("name").alias("job_name"))
+        return runs.join(jobs.select(*key, F.col("name").alias("job_name")), key)
     newest = F.max_by("name", F.struct("change_time", "name"))
-    return jobs.groupBy("job_id").agg(newest.alias("job_name"))
+    return runs.join(jobs.groupBy(*key).agg(newest.alias("job_name")), key)
 
 
 def recent_failures(runs: DataFrame, jobs: DataFrame, as_of: Column, days: int = 7, top: int = TOP) -> DataFrame:
     failed = runs.where((F.col("result_state") == "FAILED") & (F.col("start_time") >= days_before(as_of, days)))
     return (
-        failed.join(_named(jobs), "job_id")
+        _with_names(failed, jobs, _job_key(runs, jobs))
         .select("job_name", "run_id", "start_time", "end_time", "state_message")
         .orderBy(F.desc("start_time"), "run_id")
         .limit(top)
@@ -97,9 +102,10 @@ def recent_failures(runs: DataFrame, jobs: DataFrame, as_of: Column, days: int =
 def duration_trend(runs: DataFrame, jobs: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
     """Runs are aggregated per (job, day) before the join with the job names."""
     minutes = (F.unix_timestamp("end_time") - F.unix_timestamp("start_time")) / 60
+    key = _job_key(runs, jobs)
     per_job = (
         runs.where(F.col("start_time") >= days_before(as_of, days))
-        .groupBy("job_id", F.to_date("start_time").alias("run_date"))
+        .groupBy(*key, F.to_date("start_time").alias("run_date"))
         .agg(
             F.count(F.lit(1)).alias("run_count"),
             F.avg(minutes).alias("avg_duration_min"),
@@ -108,7 +114,7 @@ def duration_trend(runs: DataFrame, jobs: DataFrame, as_of: Column, days: int =
         )
     )
     return (
-        per_job.join(_named(jobs), "job_id")
+        _with_names(per_job, jobs, key)
         .select("job_name", "run_date", "run_count", "avg_duration_min", "max_duration_min", "failure_count")
         .orderBy("job_name", F.desc("run_date"))
     )

@@ -2,6 +2,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from support_core import order_frame, plan, rows
 
 from stratalake.operators import history
@@ -98,3 +99,21 @@ def test_one_schema_for_hot_and_plain_amounts(spark):
         plain, hot = history.order_features(typed), history.order_features(typed, hot_rows=20)
         assert hot.schema == plain.schema
         assert rows(hot) == rows(plain)
+
+
+def test_job_names_count_per_workspace(spark):
+    from stratalake.plans import monitoring
+
+    runs = spark.createDataFrame(
+        [("a", 1, 10, "FAILED"), ("b", 1, 11, "FAILED"), ("b", 1, 12, "SUCCESS")], "workspace_id STRING, job_id LONG, run_id LONG, result_state STRING"
+    ).selectExpr("*", "TIMESTAMP '2024-05-02 10:00:00' AS start_time", "TIMESTAMP '2024-05-02 10:30:00' AS end_time", "'x' AS state_message")
+    jobs = spark.createDataFrame(
+        [("a", 1, "load", 1), ("a", 1, "load new", 2), ("b", 1, "export", 3)], "workspace_id STRING, job_id LONG, name STRING, change_time LONG"
+    )
+    as_of = F.lit("2024-05-03 00:00:00").cast("timestamp")
+    failed = monitoring.recent_failures(runs, jobs, as_of)
+    assert [(r.job_name, r.run_id) for r in failed.collect()] == [("load new", 10), ("export", 11)]
+    trend = monitoring.duration_trend(runs, jobs, as_of)
+    assert [(r.job_name, r.run_count, r.failure_count) for r in trend.collect()] == [("export", 2, 1), ("load new", 1, 1)]
+    merged = monitoring.duration_trend(runs.drop("workspace_id"), jobs.drop("workspace_id"), as_of)
+    assert [(r.job_name, r.run_count) for r in merged.collect()] == [("export", 3)]
