@@ -380,7 +380,7 @@ def stm_window_30d(spark, sf):
     ),
 )
 def join_stream_static(spark, sf):
-    customers = e.customers(spark, sf).select("customer_id", "country", "state")
+    customers = e.customers(spark, sf).select("customer_id", "country", "state").hint("merge")  # no broadcast per micro-batch
     joined = _order_stream(spark, sf).join(customers, "customer_id")
     return run(joined.select("order_id", "customer_id", "country", "state"), "located")
 

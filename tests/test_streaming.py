@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
-from support_core import rows
+from support_core import plan, rows
 from pyspark.sql import functions as F
 
 from stratalake.operators.keyed import KeyedParquet
@@ -224,3 +224,15 @@ def test_exact_distinct_is_not_offered_on_streams(spark, path):
     batch = geographic_sales(spark.createDataFrame(data[:-1], schema), customers).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in batch]
     assert got[0]["unique_customers"] == 3 and got[0]["revenue_per_customer"] == 30.0
+
+
+def test_customers_are_not_broadcast_to_window_sums(spark, path):
+    from stratalake.plans.sales_metrics import geographic_sales
+
+    orders = spark.createDataFrame([("o1", "c1", "2024-01-03", 5.0, "Delivered")], "order_id STRING, customer_id STRING, order_date STRING, order_total DOUBLE, order_status STRING")
+    spark.createDataFrame([("c1", "Spain", "Leon")], "customer_id STRING, country STRING, state STRING").write.parquet(path + "/c")
+    customers = spark.read.parquet(path + "/c")  # files of a known, small size
+    found = geographic_sales(orders.withColumn("order_date", F.to_timestamp("order_date")), customers)
+    text = plan(found, "simple")
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    assert [(r.country, r.total_orders, r.unique_customers, r.delivered_revenue) for r in found.collect()] == [("Spain", 1, 1, 5.0)]
