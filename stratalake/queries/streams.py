@@ -28,6 +28,10 @@ from stratalake.sources import bus, files
 from stratalake.streaming import devices, jobs
 
 
+#: Micro-batches of a scattered table, and the rows of one of its files.
+SCATTERED, SCATTERED_ROWS = 4, 1_000_000
+
+
 def table_stream(spark, sf, table: str) -> DataFrame:
     """A stream over a test table, whether it is one file or a folder of files."""
     schema = e.load(spark, sf, table).schema
@@ -35,13 +39,15 @@ def table_stream(spark, sf, table: str) -> DataFrame:
 
 
 def scattered_stream(spark, sf, table: str, by: str) -> DataFrame:
-    """A stream over the whole table in at least three micro-batches of unordered rows."""
-    path = scratch_path(spark, "scattered")
-    part = F.pmod(F.xxhash64(by), F.lit(4)).cast("int")
-    e.load(spark, sf, table).withColumn("part", part).repartition(4, "part").drop("part").write.option(
-        "maxRecordsPerFile", 20_000_000
-    ).parquet(path)
-    return files.stream_parquet(spark, path, files_per_batch=1)
+    """A stream over the whole table in four micro-batches of unordered rows.
+
+    A row's file follows from `by`; a table of more rows than four files hold has more files in each
+    micro-batch, dealt by the whole row."""
+    path, rows = scratch_path(spark, "scattered"), e.load(spark, sf, table)
+    files_each = max(1, -(-rows.count() // (SCATTERED * SCATTERED_ROWS)))
+    part = F.pmod(F.xxhash64(by), F.lit(SCATTERED)) * files_each + F.pmod(F.xxhash64(*rows.columns), F.lit(files_each))
+    rows.repartitionById(SCATTERED * files_each, part.cast("int")).write.parquet(path)
+    return files.stream_parquet(spark, path, files_per_batch=files_each)
 
 
 def run(stream: DataFrame, name: str) -> DataFrame:

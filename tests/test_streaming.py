@@ -236,3 +236,19 @@ def test_customers_are_not_broadcast_to_window_sums(spark, path):
     text = plan(found, "simple")
     assert "SortMergeJoin" in text and "Broadcast" not in text
     assert [(r.country, r.total_orders, r.unique_customers, r.delivered_revenue) for r in found.collect()] == [("Spain", 1, 1, 5.0)]
+
+
+def test_scattered_tables_get_more_files_not_longer_ones(spark, path, monkeypatch):
+    from stratalake.queries import streams
+
+    monkeypatch.setattr(streams, "SCATTERED_ROWS", 100, raising=False)
+    spark.range(4000).selectExpr("id", "id % 3 AS part_of").repartition(1).write.parquet(f"{path}/t.parquet")
+    seen = []
+    for by in ("id", "part_of"):  # every value, or one of three
+        stream = streams.scattered_stream(spark, path, "t", by)
+        batches = []
+        query = stream.writeStream.foreachBatch(lambda b, i: batches.append([r[1] for r in b.groupBy(F.input_file_name()).count().collect()])).trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert sum(sum(b) for b in batches) == 4000 and 2 <= len(batches) <= 4
+        seen.append(max(max(b) for b in batches))
+    assert seen[0] < 200 and seen[1] < 500  # rows of one file
