@@ -2,8 +2,8 @@
 
 Both sides are laid one under the other, and the newest payload is carried along each key's time
 order: one exchange and one sort, no comparison of every event with every version. A key with a
-large share of the rows is cut into ranges of time; a range starts with what the ranges before it
-end with, a table of one row per hot key and range.
+large share of the rows is cut into ranges of time, more for a longer key; a range starts with what the
+ranges before it end with, a row per hot key and range that is laid under the others.
 """
 
 from __future__ import annotations
@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.operators.joins import hot_keys, join_small
-from stratalake.operators.ranges import range_of, sample_bounds
+from stratalake.operators.ranges import MOST_RANGES, range_of, sample_bounds
 from stratalake.session import scratch_path
 
 HOT_ROWS = 5_000_000
-TIME, SIDE, TIE, SPREAD, EVENT, FOUND, RANGE = "__t", "__side", "__tie", "__spread", "__event", "__found", "__r"
+TIME, SIDE, TIE, SPREAD, EVENT, FOUND, RANGE, COUNT = "__t", "__side", "__tie", "__spread", "__event", "__found", "__r", "__n"
 VERSION, EVENT_SIDE = 0, 1
+#: Ranges that hot keys share, and how many limits a key may hold before it is cut more finely.
+FEW, LONG = 16, 4
 
 
 def as_of_join(
@@ -61,9 +63,8 @@ def as_of_join(
         *on, F.col(valid_from).alias(TIME), F.lit(VERSION).alias(SIDE), F.lit(0).cast("bigint").alias(SPREAD), tie.alias(TIE), found.alias(FOUND)
     )
     both = event_rows.unionByName(version_rows, allowMissingColumns=True)
-    hot = hot_keys(both, on, hot_rows)
-    n_hot = hot.count()
-    carried = _carried(both, on) if n_hot == 0 else _carried_hot(both, hot.select(*on), on, hot_rows)
+    hot = _stored(hot_keys(both, on, hot_rows).withColumnRenamed("cnt", COUNT))
+    carried = _carried(both, on) if hot.isEmpty() else _carried_hot(both, hot, on, hot_rows)
 
     matched = carried.where(F.col(EVENT).isNotNull())
     if max_age is not None:
@@ -85,23 +86,44 @@ def _carried(both: DataFrame, keys: list[str]) -> DataFrame:
     return both.withColumn(FOUND, F.last(FOUND, ignorenulls=True).over(so_far))
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """The rows in the shared folder, for frames that are read several times."""
+    path = scratch_path(df.sparkSession, "as-of")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _carried_hot(both: DataFrame, hot: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
-    marked = join_small(both, hot.withColumn("__hot", F.lit(True)), on, "left")
-    # Read several times below: stored once.
-    path = scratch_path(both.sparkSession, "as-of")
-    marked.write.parquet(path)
-    rows = both.sparkSession.read.schema(marked.schema).parquet(path)
-    place = [TIME, SIDE, SPREAD]
-    big = rows.where("__hot")
-    n = big.count()
-    bounds = sample_bounds(big, place, 2 + 4 * n // hot_rows, n)
-    cut = rows.withColumn(RANGE, F.when(F.col("__hot"), range_of(rows, place, bounds)).otherwise(F.lit(-1)))
-    local = _carried(cut, [*on, RANGE])
-
-    # What each range of a hot key ends with, and from it what the next ones begin with.
-    newest = F.max_by(FOUND, F.when(F.col(SIDE) == VERSION, F.struct(TIME, TIE)))
-    ends = cut.where("__hot").groupBy(*on, RANGE).agg(newest.alias("__last"))
-    earlier = Window.partitionBy(*on).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    begins = ends.select(*on, RANGE, F.last("__last", ignorenulls=True).over(earlier).alias("__before"))
-    joined = join_small(local, begins, [*on, RANGE], "left")
-    return joined.withColumn(FOUND, F.coalesce(FOUND, "__before")).drop("__before", "__hot", RANGE)
+    rows = _stored(join_small(both, hot, on, "left"))
+    cut = rows.withColumn(RANGE, _range(rows, hot, hot_rows))
+
+    # What each range of a hot key ends with, and from it what the next ones begin with: a row before all others.
+    big = cut.where(F.col(COUNT).isNotNull())
+    newest = F.max_by(FOUND, F.struct(TIME, TIE))
+    ends = big.where(F.col(SIDE) == VERSION).groupBy(*on, RANGE).agg(newest.alias(FOUND))
+    ranges = big.select(*on, RANGE).distinct().withColumn("__first", F.lit(True))
+    earlier = Window.partitionBy(*on).orderBy(RANGE).rangeBetween(Window.unboundedPreceding, -1)
+    begins = ranges.unionByName(ends, allowMissingColumns=True).withColumn(FOUND, F.last(FOUND, ignorenulls=True).over(earlier))
+    first = begins.where(F.col("__first") & F.col(FOUND).isNotNull()).select(*on, RANGE, F.lit(VERSION).alias(SIDE), FOUND)
+    return _carried(cut.unionByName(first, allowMissingColumns=True), [*on, RANGE])
+
+
+def _range(rows: DataFrame, hot: DataFrame, hot_rows: int) -> Column:
+    """The range of time of a hot key's row, -1 for other keys.
+
+    A key gets ranges by its own length: one more than it has multiples of `hot_rows`, merged from FEW common
+    ones, so that many keys just over the limit are not cut into single rows. Only a key
+    that is longer than LONG limits, or than LONG parts of MOST_RANGES of all hot rows, is cut at all the bounds
+    that such keys ask for.
+    """
+    place, length = [TIME, SIDE, SPREAD], F.col(COUNT)
+    n = hot.agg(F.sum(COUNT)).first()[0]
+    long = LONG * max(hot_rows, n // MOST_RANGES)
+    n_long = hot.where(length > long).agg(F.coalesce(F.sum(COUNT), F.lit(0))).first()[0]
+    common = sample_bounds(rows.where(length <= long), place, FEW, n - n_long)
+    wanted = F.least(F.lit(FEW), F.ceil(length / hot_rows) + 1)
+    some = F.floor(range_of(rows, place, common) * wanted / (len(common) + 1)).cast("int")
+    if n_long:
+        bounds = sample_bounds(rows.where(length > long), place, 2 + 4 * n_long // hot_rows, n_long)
+        some = F.when(length > long, range_of(rows, place, bounds)).otherwise(some)
+    return F.when(length.isNotNull(), some).otherwise(F.lit(-1))

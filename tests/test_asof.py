@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from support_core import plan
 
+from stratalake.operators import asof
 from stratalake.operators.asof import as_of_join
 
 DAY = dt.datetime(2024, 1, 1)
@@ -71,3 +72,35 @@ def test_one_exchange(spark, path):
     found = as_of_join(spark.read.parquet(f"{path}/e"), spark.read.parquet(f"{path}/v"), ["k"], "at", "since", ["score"])
     text = plan(found, "simple")
     assert text.count("Exchange") == 1 and text.count("Sort [") == 1 and "Join" not in text
+
+
+@pytest.mark.parametrize("strictly", [False, True])
+def test_long_and_short_hot_keys_like_brute_force(spark, strictly):
+    rng = random.Random(5)
+    key = lambda: rng.choice(["long"] * 12 + ["a", "b", "c", "d", None])
+    day = lambda: DAY + dt.timedelta(days=rng.randrange(40))
+    events = [(i, key(), day()) for i in range(500)]
+    versions = [(key(), day(), float(j), j) for j in range(120)]
+    e, v = spark.createDataFrame(events, "event_id INT, k STRING, at TIMESTAMP_NTZ"), spark.createDataFrame(versions, "k STRING, since TIMESTAMP_NTZ, score DOUBLE, no INT")
+    found = as_of_join(e, v, ["k"], "at", "since", ["score", "no"], ["no"], None, strictly, hot_rows=20)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == brute(events, versions, strictly)
+
+
+def test_keys_just_over_the_limit_stay_in_few_ranges(spark):
+    """200 keys of 12 rows each, of which 10 are allowed: not a range a row, and the rows are computed once to count and once to store."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    e = spark.createDataFrame([(i, i % 200, DAY + dt.timedelta(hours=i)) for i in range(2000)], "event_id INT, k INT, at TIMESTAMP_NTZ")
+    v = spark.createDataFrame([(i % 200, DAY + dt.timedelta(hours=5 * i), float(i)) for i in range(400)], "k INT, since TIMESTAMP_NTZ, score DOUBLE")
+    e = e.mapInArrow(counted, e.schema)
+    both = asof._stored(e.select("k", F.col("at").alias(asof.TIME), F.lit(1).alias(asof.SIDE), F.xxhash64("event_id").alias(asof.SPREAD), F.lit(12).alias(asof.COUNT)))
+    hot = both.groupBy("k").agg(F.lit(12).cast("bigint").alias(asof.COUNT))
+    assert both.withColumn("r", asof._range(both, hot, 10)).select("k", "r").distinct().count() <= 3 * 200
+    made.value = 0
+    assert as_of_join(e, v, ["k"], "at", "since", ["score"], hot_rows=10).count() == 2000
+    assert made.value <= 3 * 2000  # counted, stored, and searched for rows without a key
