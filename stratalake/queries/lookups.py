@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import os
 import urllib.parse
 from collections.abc import Iterator
@@ -175,8 +174,8 @@ ORDER_RECORDS = T.StructType(
 
 def _capture_pages(orders: DataFrame, folder: str) -> int:
     """A service's answers, one file per page, written by tasks; a repeated task writes the same."""
+    last = -(-orders.count() // PAGE_ROWS)
     numbered = add_row_number(orders, ["o_orderkey"], "n").withColumn("page", F.expr(f"(n - 1) div {PAGE_ROWS} + 1"))
-    last = numbered.agg(F.coalesce(F.max("page"), F.lit(0))).first()[0]
     record = F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("customer"), F.col("o_totalprice").alias("total"), F.col("o_orderpriority").alias("priority"))
     pages = numbered.groupBy("page").agg(F.to_json(F.sort_array(F.collect_list(record))).alias("data"))  # PAGE_ROWS rows each
 
@@ -186,7 +185,7 @@ def _capture_pages(orders: DataFrame, folder: str) -> int:
         for batch in batches:
             for page, data in zip(*[c.to_pylist() for c in batch.columns]):
                 with system.open_output_stream(f"{place}/page-{page}.json") as out:
-                    out.write(json.dumps({"page": page, "total_pages": last, "data": json.loads(data)}).encode())
+                    out.write(f'{{"page": {page}, "total_pages": {last}, "data": {data}}}'.encode())
             yield batch.select(["page"])
 
     return pages.select("page", "data").mapInArrow(write, "page long").count()
@@ -205,6 +204,10 @@ def src_rest_pages(spark, sf):
     pages = _capture_pages(e.load(spark, sf, "orders"), folder)
     url = folder if "://" in folder else "file://" + urllib.parse.quote(os.path.abspath(folder))
     found = rest.numbered_pages(spark, url + "/page-{page}.json", ORDER_RECORDS, pages_per_task="4", timeout="60")
-    planned = found.select(F.spark_partition_id().alias("task"), F.col("page")).groupBy("task").agg(F.min("page").alias("a"), F.max("page").alias("b"))
+    # Stored with the task that read it: every page is fetched once.
+    stored = found.select(*ORDER_RECORDS.fieldNames(), "page", F.spark_partition_id().alias("task"))
+    stored.write.parquet(f"{base}-read")
+    read = spark.read.schema(stored.schema).parquet(f"{base}-read")
+    planned = read.groupBy("task").agg(F.min("page").alias("a"), F.max("page").alias("b"))
     ranges = planned.agg(F.count(F.lit(1)), F.every((F.col("a") % 4 == 1) & (F.col("b") < F.col("a") + 4))).first()
-    return found.select(*ORDER_RECORDS.fieldNames(), "page", F.lit(ranges[0] == -(-pages // 4) and bool(ranges[1])).alias("one_task_per_range"))
+    return read.select(*ORDER_RECORDS.fieldNames(), "page", F.lit(ranges[0] == -(-pages // 4) and bool(ranges[1])).alias("one_task_per_range"))

@@ -63,3 +63,25 @@ def test_retries():
     with pytest.raises(OSError):
         rest.fetch("u", 1, 1, 0.0, opener)
     assert len(asked) == 2
+
+
+def test_each_page_of_the_query_is_fetched_once(spark, path, monkeypatch):
+    from stratalake.queries import lookups
+
+    orders = spark.range(900).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "id / 4 AS o_totalprice", "IF(id % 5 = 0, NULL, 'p\u00e9\"') AS o_orderpriority")
+    orders.write.parquet(f"{path}/orders.parquet")
+    seen, read = spark.sparkContext.accumulator(0), rest.numbered_pages
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def numbered_pages(*args, **options):
+        found = read(*args, **options)
+        return found.mapInArrow(counted, found.schema)
+
+    monkeypatch.setattr(rest, "numbered_pages", numbered_pages)
+    rows = lookups.src_rest_pages(spark, path).orderBy("id").collect()
+    assert [(r.id, r.customer, r.total, r.priority, r.page) for r in rows] == [(i, i % 7, i / 4, None if i % 5 == 0 else 'p\u00e9"', i // 200 + 1) for i in range(900)]
+    assert all(r.one_task_per_range for r in rows) and seen.value == 900
