@@ -163,7 +163,8 @@ def _numbered(cut: DataFrame, order: list[str], out: str, number: Column, count_
         sizes = inside.groupBy(part).agg(F.max(inner).alias(n))
     starts = sizes.select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
     return (
-        inside.join(F.broadcast(starts), part)  # one row per range
+        # one row per range, and one for every row: a left join, which Spark leaves out where nobody reads the number
+        inside.join(F.broadcast(starts), part, "left")
         .withColumn(out, (F.col(inner) + F.col(start)).cast("bigint"))
         .drop(part, inner, start)
     )

@@ -106,3 +106,13 @@ def test_numbers_from_sorted_files(spark, monkeypatch):
     empty = ranges.numbered_in_files(df.limit(0), ["k"], "n", 3)
     assert empty.count() == 0
     assert len(sample_bounds(df, ["i"], 10**6)) < 4
+
+
+@pytest.mark.parametrize("add", [add_dense_rank, add_row_number])
+def test_a_number_that_nobody_reads_costs_nothing(spark, path, add):
+    spark.range(1000).selectExpr("id % 400 AS k", "id AS v").write.parquet(path + "/t")
+    df = spark.read.parquet(path + "/t")
+    numbered = add(df, ["k", "v"], "n", ranges=4)
+    text = plan(numbered.agg(F.sum("v")), "simple")
+    assert "Join" not in text and "lambda" not in text
+    assert sorted(r.n for r in numbered.collect()) == list(range(1, 1001))
